@@ -36,12 +36,12 @@ class _Search:
     high: float = math.inf
     value: float | None = None
 
-    def resolve(self, below: int, counts: Sequence[tuple[float, int]]) -> bool:
-        """Read both ranks off the ordered (value, count) pairs of the bracket."""
-        found, rank = {}, below
-        for value, n in counts:
+    def resolve(self, ordered: Sequence[tuple[float | None, int]]) -> bool:
+        """Read both ranks off (value, count) pairs in order; a pair without value is a gap."""
+        found, rank = {}, 0
+        for value, n in ordered:
             for wanted in (self.first, self.last):
-                if rank <= wanted < rank + n:
+                if rank <= wanted < rank + n and value is not None:
                     found[wanted] = value
             rank += n
         if self.first not in found or self.last not in found:
@@ -80,26 +80,37 @@ def _start(df: DataFrame, columns, probs, interpolate, accuracy) -> tuple[list[_
 
 
 def _read_brackets(df: DataFrame, searches: list[_Search]) -> None:
-    """Fetch the distinct values of each bracket with counts, and the count below it."""
+    """Per column, count the distinct values inside the brackets, and the rows of each gap between them."""
+    by_column: dict[str, list[_Search]] = {}
+    for s in searches:
+        by_column.setdefault(s.column, []).append(s)
     parts = []
-    for i, s in enumerate(searches):
-        c = _double(s.column)
+    for i, (name, group) in enumerate(by_column.items()):
+        spans: list[list[float]] = []
+        for s in sorted(group, key=lambda s: s.low):
+            if spans and s.low <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], s.high)
+            else:
+                spans.append([s.low, s.high])
+        v, passed, inside = F.col("v"), F.lit(0), F.lit(False)
+        for low, high in spans:
+            passed = passed + (v > high).cast("int")
+            inside = inside | v.between(low, high)
         parts.append(
-            df.select(c.alias("v"))
-            .filter(F.col("v") <= s.high)
-            .groupBy(F.when(F.col("v") >= s.low, F.col("v")).alias("v"))
+            df.select(_double(name).alias("v"))
+            .filter(v.isNotNull())
+            .groupBy(passed.alias("gap"), F.when(inside, v).alias("v"))
             .agg(F.count(F.lit(1)).alias("n"))
-            .select(F.lit(i).alias("i"), "v", "n")
+            .select(F.lit(i).alias("i"), "gap", "v", "n")
         )
-    below, inside = {}, {}
-    for r in reduce(DataFrame.unionByName, parts).collect():  # at most BRACKET_LIMIT values each
-        if r["v"] is None:
-            below[r["i"]] = r["n"]
-        else:
-            inside.setdefault(r["i"], []).append((r["v"], r["n"]))
-    for i, s in enumerate(searches):
-        if not s.resolve(below.get(i, 0), sorted(inside.get(i, []))):
-            s.low, s.high = -math.inf, math.inf
+    ordered: dict[int, list] = {}
+    for r in reduce(DataFrame.unionByName, parts).collect():  # at most BRACKET_LIMIT values a bracket
+        ordered.setdefault(r["i"], []).append((r["gap"], r["v"] is not None, r["v"] or 0.0, r["n"]))
+    for i, group in enumerate(by_column.values()):
+        pairs = [(v if known else None, n) for _, known, v, n in sorted(ordered.get(i, []))]
+        for s in group:
+            if not s.resolve(pairs):
+                s.low, s.high = -math.inf, math.inf
 
 
 def _narrow(df: DataFrame, searches: list[_Search], accuracy: int) -> list[tuple[_Search, int]]:
