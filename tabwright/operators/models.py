@@ -10,7 +10,6 @@ import math
 from dataclasses import dataclass, field
 from typing import Any
 
-import numpy as np
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -19,9 +18,10 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 
+from tabwright.operators.fourier import FourierFeatures
+
 # The search space, in search order.
 GRIDS = [
     (
@@ -99,8 +99,7 @@ DEFAULT_TREES = 100
 DEFAULT_SEED = 42
 MAX_DEPTH = 30  # deepest tree MLlib builds; stands for "no limit"
 MAX_CLASSES = 20
-FOURIER_FEATURES = 128
-SCALAR = "_x"  # scalar copies of the features: _x0, _x1, ...
+PER_CLASS_PARALLEL = 4
 NORMAL_SOLVER_FEATURES = 4096
 
 CLASSIFIERS = [
@@ -191,26 +190,11 @@ def effective_params(family: str, params: dict[str, Any], task: str = "classific
     return used, sorted(p)
 
 
-def _fourier(table: FeatureTable, gamma: Any, seed: int) -> tuple[list, str]:
-    """Random Fourier features of the Gaussian kernel, as stages that can be saved.
-
-    They read the scalar copies ``_x0, _x1, ...`` of the features.
-    """
-    d = len(table.names)
-    width = {"scale": 1.0 / (d * (table.variance or 1.0)), "auto": 1.0 / d}.get(gamma, gamma)
-    rng = np.random.default_rng(seed)
-    weights = rng.normal(0.0, math.sqrt(2.0 * float(width)), (FOURIER_FEATURES, d)).tolist()
-    shifts = rng.uniform(0.0, 2.0 * math.pi, FOURIER_FEATURES).tolist()
-    scale = math.sqrt(2.0 / FOURIER_FEATURES)
-    columns = []
-    for j, (row, shift) in enumerate(zip(weights, shifts)):
-        angle = " + ".join(f"({w!r}D) * {SCALAR}{i}" for i, w in enumerate(row))
-        columns.append(f"{scale!r}D * cos({angle} + {shift!r}D) AS _fourier_{j}")
-    names = [f"_fourier_{j}" for j in range(FOURIER_FEATURES)]
-    return [
-        SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__"),
-        VectorAssembler(inputCols=names, outputCol="_fourier"),
-    ], "_fourier"
+def _gamma(gamma: Any, table: FeatureTable) -> float:
+    """Kernel width: 1/(d var X) for ``scale``, 1/d for ``auto``, or the number given."""
+    d = max(len(table.names), 1)
+    named = {"scale": 1.0 / (d * (table.variance or 1.0)), "auto": 1.0 / d}
+    return float(named.get(gamma, gamma))
 
 
 def _per_class(classifier: Estimator, table: FeatureTable, features: str) -> Estimator:
@@ -219,7 +203,9 @@ def _per_class(classifier: Estimator, table: FeatureTable, features: str) -> Est
         return classifier
     if table.n_classes > MAX_CLASSES:
         raise ValueError(f"one model per class: {table.n_classes} classes exceed {MAX_CLASSES}")
-    return OneVsRest(classifier=classifier, featuresCol=features, labelCol=table.label)
+    return OneVsRest(
+        classifier=classifier, featuresCol=features, labelCol=table.label, parallelism=PER_CLASS_PARALLEL
+    )
 
 
 def build_model(family: str, params: dict[str, Any], task: str, table: FeatureTable) -> Model:
@@ -271,7 +257,16 @@ def build_model(family: str, params: dict[str, Any], task: str, table: FeatureTa
     elif family in ("svm", "svr"):
         stages, features = [], table.features
         if used["kernel"] == "rbf":
-            stages, features = _fourier(table, used["gamma"], used["random_state"])
+            features = "_fourier"
+            stages = [
+                FourierFeatures(
+                    inputCol=table.features,
+                    outputCol=features,
+                    dim=len(table.names),
+                    gamma=_gamma(used["gamma"], table),
+                    seed=used["random_state"],
+                )
+            ]
         reg = 1.0 / (used["C"] * table.n_train)
         shared = {"featuresCol": features, "labelCol": table.label, "standardization": False, "maxIter": used["max_iter"]}
         if family == "svm":

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tabwright.functions.schema import quoted
 from tabwright.operators.knn import knn_predict
 from tabwright.operators.metrics import evaluate
-from tabwright.operators.models import SCALAR, FeatureTable, Model, build_model
+from tabwright.operators.models import FeatureTable, Model, build_model
 from tabwright.operators.select import select_k_best, selected_features
 from tabwright.operators.split import hash_split
 from tabwright.plans.preprocess import Preprocessor, choose_roles, fit_preprocessor
@@ -134,13 +134,6 @@ def _reassemble(table: DataFrame, names: Sequence[str]) -> DataFrame:
     return packed.toDF("row_id", "is_test", "label", *names, "features")
 
 
-def model_input(table: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """What a model reads: the vector, and scalar copies of the features under safe names."""
-    return table.select(
-        *keep, "features", *[F.col(quoted(n)).alias(f"{SCALAR}{i}") for i, n in enumerate(names)]
-    )
-
-
 def dataset_info(prepared: Prepared, name: str) -> DataFrame:
     """One row describing a prepared table."""
     spark = prepared.table.sparkSession
@@ -186,8 +179,9 @@ def fit_and_score(
             task=prepared.task,
         ).join(prepared.test.select("row_id", "label"), "row_id")
     else:
-        fitted = model.estimator.fit(model_input(prepared.train, prepared.names, ["label"]))
-        scored = fitted.transform(model_input(prepared.test, prepared.names, ["label"]))
+        # the named columns stay out: MLlib cannot read names that hold a dot
+        fitted = model.estimator.fit(prepared.train.select("label", "features"))
+        scored = fitted.transform(prepared.test.select("label", "features"))
     # rows are counted by a metric aggregate: one row per metric comes back
     metrics = {r["metric"]: r["value"] for r in evaluate(scored, "label", "prediction", prepared.task).collect()}
     return metrics, fitted, model

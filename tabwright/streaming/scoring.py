@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tabwright.functions.schema import quoted
-from tabwright.operators.models import SCALAR
 from tabwright.plans.preprocess import Preprocessor
 
 
@@ -33,9 +32,9 @@ class Scorer:
         shown = [f"_keep{i}" for i in range(len(keep))]
         tagged = df.withColumns({s: F.col(c) for s, c in zip(shown, keep)})
         table = self.preprocessor.transform(tagged, shown, label=False, vector=None)
-        scalars = [f"{SCALAR}{i}" for i in range(len(self.names))]
+        scalars = [f"_x{i}" for i in range(len(self.names))]
         ready = table.select(*shown, *[F.col(quoted(n)).alias(s) for s, n in zip(scalars, self.names)])
-        ready = VectorAssembler(inputCols=scalars, outputCol="features").transform(ready)
+        ready = VectorAssembler(inputCols=scalars, outputCol="features").transform(ready).drop(*scalars)
         scored = self.model.transform(ready)
         out = [F.col(s).alias(c) for s, c in zip(shown, keep)] + [F.col("prediction")]
         if self.preprocessor.classes:
