@@ -20,6 +20,7 @@ from tabwright.session import written
 
 ACCURACY = 10_000
 BRACKET_LIMIT = 200_000
+SMALLEST_LIMIT = 64  # a sketch cannot narrow a bracket much below this
 HOT_SHARE = 1_000
 
 
@@ -113,7 +114,7 @@ def _read_brackets(df: DataFrame, searches: list[_Search]) -> None:
                 s.low, s.high = -math.inf, math.inf
 
 
-def _narrow(df: DataFrame, searches: list[_Search], accuracy: int) -> list[tuple[_Search, int]]:
+def _narrow(df: DataFrame, searches: list[_Search], accuracy: int, limit: int) -> list[tuple[_Search, int]]:
     """One scan: how many values lie strictly inside each bracket, and tighter cuts there."""
     grid = [k / 64 for k in range(65)]
     figures = []
@@ -137,14 +138,15 @@ def _narrow(df: DataFrame, searches: list[_Search], accuracy: int) -> list[tuple
         start = b["below"] + b["at_low"]
         if s.first < b["below"] or s.last >= start + b["inside"] + b["at_high"]:
             s.low, s.high = -math.inf, math.inf
-            out.append((s, BRACKET_LIMIT + 1))
+            out.append((s, limit + 1))
         elif s.last < start:
             s.value = s.low
         elif s.first >= start + b["inside"]:
             s.value = s.high
         else:
             size = b["inside"] + sum(1 for _, n in edges if n)
-            if size > BRACKET_LIMIT:
+            before = (s.low, s.high)
+            if size > limit:
                 slack = 2 * b["inside"] / accuracy + 1
                 low_at = math.floor(64 * (s.first - start - slack) / b["inside"]) - 1
                 high_at = math.ceil(64 * (s.last - start + slack) / b["inside"]) + 1
@@ -152,6 +154,8 @@ def _narrow(df: DataFrame, searches: list[_Search], accuracy: int) -> list[tuple
                     s.low = b["cuts"][low_at]
                 if high_at <= 64:
                     s.high = b["cuts"][high_at]
+                # cuts that cannot split the bracket leave few values in it
+                size = 0 if (s.low, s.high) == before else size
             out.append((s, size))
     return out
 
@@ -172,6 +176,7 @@ def exact_quantiles(
     per quantile. ``interpolate`` takes the midpoint rule of the median;
     otherwise the value at rank ceil(n*p) is returned.
     """
+    bracket_limit = max(bracket_limit, SMALLEST_LIMIT)
     searches, counts = _start(df, columns, probs, interpolate, accuracy)
     pending = searches
     # A bracket spans about 6/accuracy of the rows, by the bound of the sketch.
@@ -180,7 +185,7 @@ def exact_quantiles(
         _read_brackets(df, small)
     pending = [s for s in pending if s.value is None]
     while pending:
-        sized = _narrow(df, pending, accuracy)
+        sized = _narrow(df, pending, accuracy, bracket_limit)
         ready = [s for s, size in sized if size <= bracket_limit and s.value is None]
         if ready:
             _read_brackets(df, ready)
