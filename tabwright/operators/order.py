@@ -20,6 +20,7 @@ from tabwright.session import written
 
 ACCURACY = 10_000
 BRACKET_LIMIT = 200_000
+MAX_SCANS = 40
 SMALLEST_LIMIT = 64  # a sketch cannot narrow a bracket much below this
 HOT_SHARE = 1_000
 
@@ -184,12 +185,16 @@ def exact_quantiles(
     if small:
         _read_brackets(df, small)
     pending = [s for s in pending if s.value is None]
-    while pending:
+    for _ in range(MAX_SCANS):
+        if not pending:
+            break
         sized = _narrow(df, pending, accuracy, bracket_limit)
         ready = [s for s, size in sized if size <= bracket_limit and s.value is None]
         if ready:
             _read_brackets(df, ready)
         pending = [s for s in pending if s.value is None]
+    if pending:
+        raise RuntimeError("the rows changed between scans: quantiles cannot be settled")
     result: dict[tuple[str, float], float | None] = {(c, p): None for c in columns for p in probs}
     result.update({(s.column, s.prob): s.value for s in searches})
     return result, counts
