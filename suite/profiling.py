@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -35,6 +36,13 @@ NORMALIZED_SQL = f"""(SELECT c_custkey,
     CASE WHEN with_bad NOT IN ({TOKENS_SQL}) THEN with_bad END AS with_bad FROM {NUMERIC_TEXT_SQL})"""
 
 
+def profiled_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """Sketch-first profile of every table; small jobs of several tables run side by side."""
+    with ThreadPoolExecutor(6) as pool:
+        found = pool.map(lambda t: P.profile(table(spark, sf_dir, t), distinct="adaptive"), COLUMNS)
+        return dict(zip(COLUMNS, found))
+
+
 def union_all(parts) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -63,10 +71,8 @@ def profile_documents(spark, sf_dir):
 def profile_kinds(spark, sf_dir):
     """Kinds of every column of every table by the sketch-first profile."""
     return union_all(
-        P.profile(table(spark, sf_dir, t), distinct="adaptive").select(
-            F.lit(t).alias("table_name"), "column", "kind"
-        )
-        for t in COLUMNS
+        profiled.select(F.lit(t).alias("table_name"), "column", "kind")
+        for t, profiled in profiled_tables(spark, sf_dir).items()
     )
 
 
@@ -143,10 +149,8 @@ def infer_target_sql(name: str, by_kind: bool = True, names=TG.TARGET_NAMES) ->
 @query("infer_target", "\nUNION ALL\n".join(infer_target_sql(t) for t in COLUMNS))
 def infer_target(spark, sf_dir):
     return union_all(
-        TG.infer_target(P.profile(table(spark, sf_dir, t), distinct="adaptive")).select(
-            F.lit(t).alias("table_name"), "target"
-        )
-        for t in COLUMNS
+        TG.infer_target(profiled).select(F.lit(t).alias("table_name"), "target")
+        for t, profiled in profiled_tables(spark, sf_dir).items()
     )
 
 
@@ -156,12 +160,10 @@ def infer_target(spark, sf_dir):
 )
 def infer_target_names_only(spark, sf_dir):
     return union_all(
-        TG.infer_target(
-            P.profile(table(spark, sf_dir, t), distinct="adaptive"),
-            names=TG.SEARCH_TARGET_NAMES,
-            by_kind=False,
-        ).select(F.lit(t).alias("table_name"), "target")
-        for t in COLUMNS
+        TG.infer_target(profiled, names=TG.SEARCH_TARGET_NAMES, by_kind=False).select(
+            F.lit(t).alias("table_name"), "target"
+        )
+        for t, profiled in profiled_tables(spark, sf_dir).items()
     )
 
 

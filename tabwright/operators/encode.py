@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.functions.schema import TEXT, is_fractional, quoted, type_class
-from tabwright.functions.values import float_text, label_text, nan_to_null, number_from_text
+from tabwright.functions.schema import TEXT, quoted, type_class
+from tabwright.functions.values import label_text, nan_to_null, number_from_text
 from tabwright.operators.order import exact_quantiles, global_rank, hot_key_join
 from tabwright.operators.profile import ENCODE_MAX
 
@@ -30,21 +30,17 @@ MAX_CATEGORIES = 1000
 def label_codes(df: DataFrame, column: str) -> tuple[DataFrame, bool]:
     """(value, n, code): codes rank the distinct label texts; and whether there are under 1000.
 
-    Few values are ranked in one sorted array. More are ranked by a distributed
+    Up to 1000 values are fetched and sorted. More are ranked by a distributed
     sort, so no task ever holds them all.
     """
     text = label_text(F.col(quoted(column)), df.schema[column].dataType.simpleString())
     values = df.groupBy(text.alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    few = values.limit(MAX_CATEGORIES + 1).count() <= MAX_CATEGORIES
-    if not few:
+    head = values.limit(MAX_CATEGORIES + 1).collect()
+    if len(head) > MAX_CATEGORIES:
         ranked = global_rank(values, [F.col("value")], "code")
         return ranked.withColumn("code", F.col("code") - 1), False
-    codes = (
-        values.agg(F.array_sort(F.collect_list(F.struct("value", "n"))).alias("v"))
-        .select(F.posexplode("v").alias("code", "v"))
-        .select("v.value", "v.n", F.col("code").cast("long").alias("code"))
-    )
-    return codes, True
+    rows = [(v, n, code) for code, (v, n) in enumerate(sorted((r["value"], r["n"]) for r in head))]
+    return df.sparkSession.createDataFrame(rows, "value string, n long, code long"), True
 
 
 def label_encode(
@@ -68,14 +64,13 @@ def label_encode(
         if few:
             return tagged.join(F.broadcast(keyed.drop("n")), "_label").drop("_label")
         return hot_key_join(tagged, keyed, "_label", "n").drop("_label")
-    known = codes.limit(MAX_CATEGORIES + 1).count()
+    known = codes.count()
     keyed = codes.select(F.col("value").alias("_label"), F.col("code").alias(output))
     keyed = F.broadcast(keyed) if known <= MAX_CATEGORIES else keyed
     joined = df.withColumn("_label", text).join(keyed, "_label", "left")
     if handle_invalid == "keep":
-        free = codes.agg(F.count(F.lit(1)).alias("_free"))
-        joined = joined.join(F.broadcast(free))  # one row
-        return joined.withColumn(output, F.coalesce(output, "_free")).drop("_label", "_free")
+        free = F.lit(known).cast("long")
+        return joined.withColumn(output, F.coalesce(F.col(output), free)).drop("_label")
     unseen = F.raise_error(F.concat(F.lit(f"{column}: label not seen in fit: "), F.col("_label")))
     return joined.withColumn(output, F.coalesce(F.col(output), unseen.cast("long"))).drop("_label")
 

@@ -20,7 +20,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tabwright.functions.schema import quoted
 from tabwright.session import written

@@ -236,6 +236,7 @@ def hot_key_join(big: DataFrame, small: DataFrame, key: str, weight: str, how: s
     ``weight`` is the column of ``small`` that tells how many rows of ``big``
     hold the key. Keys above a thousandth of all rows number fewer than a
     thousand, so they are broadcast; the rest is joined by a plain shuffle.
+    Keys are not null.
     """
     total = small.agg(F.sum(weight)).first()[0] or 0
     hot = small.filter(F.col(weight) * HOT_SHARE > total)

@@ -63,12 +63,13 @@ def target_classes(df: DataFrame, label: str) -> DataFrame:
         .agg(F.array_sort(F.collect_list("label")).alias("seen"))
     )
     total = counts.agg(F.count(F.lit(1)).alias("n_classes"))
-    return total.join(F.broadcast(smallest)).select(  # one row on either side
+    # two rows folded into one
+    both = total.unionByName(smallest, allowMissingColumns=True)
+    few = F.col("n_classes") <= MAX_CLASSES
+    return both.agg(F.max("n_classes").alias("n_classes"), F.max("seen").alias("seen")).select(
         "n_classes",
-        F.when(F.col("n_classes") <= MAX_CLASSES, F.col("seen")).alias("classes"),
-        F.when(F.col("n_classes") <= MAX_CLASSES, "classification")
-        .otherwise("regression")
-        .alias("target_type"),
+        F.when(few, F.col("seen")).alias("classes"),
+        F.when(few, "classification").otherwise("regression").alias("target_type"),
     )
 
 

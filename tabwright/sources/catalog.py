@@ -41,20 +41,27 @@ def catalog(
     parts = []
     for name, df in tables.items():
         # the count reads no column, only Parquet footers
-        shape = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("dataset"), "n_rows", F.lit(len(df.columns)).cast("long").alias("n_columns")
-        )
+        shape = df.agg(F.count(F.lit(1)).alias("n_rows"))
         if name in profiles:
             kinds = profiles[name].agg(
                 F.count_if(F.col("kind").isin("numerical", "binary")).alias("n_numerical"),
                 F.count_if(F.col("kind") == "categorical").alias("n_categorical"),
             )
-            parts.append(shape.join(F.broadcast(kinds)))  # one row on either side
+            # two rows folded into one
+            both = shape.unionByName(kinds, allowMissingColumns=True)
+            shape = both.agg(*[F.max(c).alias(c) for c in both.columns])
         else:
             classes = [type_class(f.dataType) for f in df.schema.fields]
-            parts.append(
-                shape.withColumn("n_numerical", F.lit(classes.count(NUMBER)).cast("long")).withColumn(
-                    "n_categorical", F.lit(classes.count(TEXT)).cast("long")
-                )
+            shape = shape.withColumns(
+                {
+                    "n_numerical": F.lit(classes.count(NUMBER)).cast("long"),
+                    "n_categorical": F.lit(classes.count(TEXT)).cast("long"),
+                }
+            )
+        width = F.lit(len(df.columns)).cast("long")
+        parts.append(
+            shape.select(
+                F.lit(name).alias("dataset"), "n_rows", width.alias("n_columns"), "n_numerical", "n_categorical"
             )
+        )
     return reduce(DataFrame.unionByName, parts)

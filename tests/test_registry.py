@@ -1,8 +1,6 @@
 """The registry over its event table."""
 
 import pytest
-from pyspark.sql import functions as F
-
 from tabwright.operators import registry as G
 from tabwright.streaming.registry_log import watch, write_log
 
