@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import exact_dedup, lang_id, packing, token_store
+from tabwright.llm import exact_dedup, lang_id, ngram_join, packing, secrets, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +69,25 @@ def op9(spark, sf_dir):
 @query("op10_retrieval_packing")
 def op10(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query("op2_secrets")
+def op2(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    models = secrets.train(secrets.labelled_samples(docs))
+    found = secrets.find(docs, models, ["doc_id"])
+    counts = [
+        F.size(F.filter("_llm_base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+        for k, name in enumerate(secrets.KINDS[:3])
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secrets.spelled(F.col("_llm_base")), 256).alias("base_sha256"),
+        secrets.spelled(F.col("_llm_spans")).alias("spans"),
+    )
+
+
+@query("op4_ngram_join")
+def op4(spark, sf_dir):
+    return ngram_join.join(table(spark, sf_dir, "documents"))
