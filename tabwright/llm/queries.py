@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import exact_dedup, lang_id, ngram_join, packing, secrets, token_store
+from tabwright.llm import bpe, exact_dedup, lang_id, ngram_join, packing, secrets, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,15 @@ def op2(spark, sf_dir):
 @query("op4_ngram_join")
 def op4(spark, sf_dir):
     return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+@query("op3_forced_boundary_bpe")
+def op3(spark, sf_dir):
+    path = tokenizer_path("word_bpe_49k.json")
+    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return both.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
