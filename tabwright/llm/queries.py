@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import bpe, exact_dedup, lang_id, ngram_join, packing, secrets, token_store
+from tabwright.llm import bpe, exact_dedup, lang_id, ngram_join, packing, ppm, secrets, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +103,8 @@ def op3(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op6_ppm_score")
+def op6(spark, sf_dir):
+    return ppm.score(table(spark, sf_dir, "documents"), ppm.held_out())
