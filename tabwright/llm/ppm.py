@@ -11,9 +11,9 @@ that UTF-8 never uses), and its ASCII capitals as small letters.
 
 Contexts beyond the first level are nodes if they make up at least a
 ``SHARE``-th of all positions; shorter contexts of a node are nodes too. A level
-has at most ``SHARE`` nodes, so the finished table has a fixed bound (25 MB) at
-every size of the corpus, and is what the tasks get. Counts cover all training
-texts.
+has at most ``SHARE`` nodes, so the finished table has a fixed bound at every
+size of the corpus (64 MB a level; natural text fills a fifth of it), and is
+what the tasks get. Counts cover all training texts.
 
 The baseline needs counts of all words, which have no such bound. Texts are
 dealt to blocks; each block adds up its distinct words, the counts of all blocks
@@ -36,8 +36,8 @@ from pyspark.sql.window import Window
 from tabwright.llm.common import parts_for, slices, text_of, total_bytes
 from tabwright.session import written
 
-ORDER = 4
-SHARE = 1 << 13
+ORDER = 5
+SHARE = 1 << 16
 BLOCK_BYTES = 32 << 20
 SLICE_BYTES = 2 << 20
 START, END = 0xFE, 0xFF  # never in UTF-8

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import bpe, exact_dedup, lang_id, ngram_join, packing, ppm, secrets, token_store
+from tabwright.llm import bpe, exact_dedup, lang_id, ngram_join, packing, ppm, secrets, substring, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,3 +108,8 @@ def op3(spark, sf_dir):
 @query("op6_ppm_score")
 def op6(spark, sf_dir):
     return ppm.score(table(spark, sf_dir, "documents"), ppm.held_out())
+
+
+@query("op8_substring_dedup")
+def op8(spark, sf_dir):
+    return substring.digests(table(spark, sf_dir, "documents"))
