@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import bpe, exact_dedup, lang_id, ngram_join, packing, ppm, secrets, substring, token_store
+from tabwright.llm import bpe, embed_forest, exact_dedup, lang_id, ngram_join, packing, ppm, secrets, substring, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +113,8 @@ def op6(spark, sf_dir):
 @query("op8_substring_dedup")
 def op8(spark, sf_dir):
     return substring.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op5_embedding_forest")
+def op5(spark, sf_dir):
+    return embed_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
