@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import exact_dedup, lang_id, packing
+from tabwright.llm import exact_dedup, lang_id, ngram_join, packing, secrets
 from tabwright.llm.queries import tokenizer_path
 from tabwright.session import written
 
@@ -19,6 +19,17 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.distinct_rows(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares five-word shingles to 0.8 or more."""
+    return ngram_join.representatives(docs)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets replaced and n_chars counted anew."""
+    models = secrets.train(secrets.labelled_samples(docs))
+    return secrets.redact(docs, models)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 tokens."""
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
@@ -27,6 +38,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language_id", language),
     ("exact_dedup", exact_copies),
+    ("ngram_join", near_copies),
+    ("secrets", without_secrets),
     ("packing", packed),
 ]
 

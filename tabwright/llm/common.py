@@ -75,7 +75,7 @@ _POWERS: dict = {}
 def _powers(n: int):
     import numpy as np
 
-    if len(_POWERS.get("up", ())) < n:
+    if len(_POWERS.get("up", ())) < max(n, 1):
         size = max(n, 2 * CHUNK_BYTES)
         base = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
         up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)

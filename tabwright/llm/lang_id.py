@@ -77,7 +77,7 @@ def gram_keys(codes, starts, n: int):
     key = np.full(len(codes), n, np.uint64)
     for back in range(n - 1, -1, -1):
         c = np.zeros(len(codes), np.uint64)
-        c[back:] = codes[: len(codes) - back or None]
+        c[back:] = codes[: max(len(codes) - back, 0)]
         c[since < back] = 0
         key = (key ^ c) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(32)
@@ -148,7 +148,7 @@ def context_keys(codes, starts, n: int):
     key = np.full(len(codes), n, np.uint64)
     for back in range(n - 1, 0, -1):
         c = np.zeros(len(codes), np.uint64)
-        c[back:] = codes[: len(codes) - back]
+        c[back:] = codes[: max(len(codes) - back, 0)]
         c[since < back] = 0
         key = (key ^ c) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(32)
