@@ -1,7 +1,8 @@
 """Model, experiment, search and scoring queries.
 
-Trained models have no SQL twin, so these are checked by row count here and by
-bounds in the tests; linear regression and the dataset row are stated in SQL.
+Where a target is a step function of one column, or the model is a straight
+line, SQL states what a trained model must give; the other models are checked by
+row count here and by bounds in the tests.
 """
 
 from __future__ import annotations
@@ -13,13 +14,16 @@ from pyspark.sql import functions as F
 from suite import query, table
 from suite.encoding import DIGEST, LIMIT
 from tabwright.operators import trials as TR
+from tabwright.operators.metrics import confusion_matrix
 from tabwright.operators.models import FeatureTable, build_model
+from tabwright.operators.runs import get_run
 from tabwright.plans.experiment import dataset_info, fit_and_score, prepare, run_experiment, save_scorer
 from tabwright.plans.search import save_results, search
 from tabwright.session import fresh_path
 from tabwright.streaming.scoring import Scorer
 
 KEYS = ["l_orderkey", "l_partkey", "l_suppkey"]
+LINE_KEYS = ["l_orderkey", "l_partkey", "l_linenumber"]
 
 
 def sales(spark, sf_dir) -> DataFrame:
@@ -44,18 +48,66 @@ def model_query(name, family, target, task, **params):
     return run
 
 
-model_query("random_forest_classifier", "random_forest", "l_returnflag", "classification", n_estimators=20, max_depth=5)
-model_query("random_forest_regressor", "random_forest", "l_extendedprice", "regression", n_estimators=10, max_depth=5)
-model_query("gradient_boosting_classifier", "gradient_boosting", "l_linestatus", "classification", n_estimators=5, max_depth=3)
-model_query("gradient_boosting_one_vs_rest", "gradient_boosting", "l_returnflag", "classification", n_estimators=2, max_depth=3)
-model_query("gradient_boosting_regressor", "gradient_boosting", "l_extendedprice", "regression", n_estimators=5, max_depth=3)
-model_query("logistic_regression", "logistic_regression", "l_returnflag", "classification", C=1.0, max_iter=50)
-model_query("linear_regression_scores", "linear_regression", "l_extendedprice", "regression")
-model_query("svm_linear", "svm", "l_linestatus", "classification", kernel="linear", max_iter=10)
-model_query("svm_rbf", "svm", "l_linestatus", "classification", kernel="rbf", max_iter=5)
-model_query("svr_rbf", "svr", "l_extendedprice", "regression", max_iter=20)
-model_query("xgboost_classifier", "xgboost", "l_linestatus", "classification", n_estimators=5, max_depth=3, subsample=0.8, colsample_bytree=0.8)
-model_query("lightgbm_classifier", "lightgbm", "l_linestatus", "classification", n_estimators=5, max_depth=7, num_leaves=20)
+ORDER_ROW = DIGEST.format(keys="CAST(o_orderkey AS VARCHAR)")
+
+
+def threshold_query(name, family, classes=2, **params):
+    """A target that is a step function of one column with few values must be predicted for every test row.
+
+    The result counts test rows by label and prediction; SQL states that they agree.
+    """
+    step = "extract(month FROM o_orderdate)"
+    label = f"CAST({step} > 6 AS INTEGER)" if classes == 2 else f"CAST(floor(({step} - 1) / 4) AS INTEGER)"
+
+    @query(
+        name,
+        f"SELECT CAST(y AS DOUBLE) AS label, CAST(y AS DOUBLE) AS prediction, count(*) AS n "
+        f"FROM (SELECT {label} AS y FROM orders WHERE {ORDER_ROW} < '{LIMIT}') GROUP BY y",
+    )
+    def run(spark, sf_dir):
+        orders = table(spark, sf_dir, "orders").withColumn("month", F.month("o_orderdate"))
+        y = (F.col("month") > 6).cast("int") if classes == 2 else F.floor((F.col("month") - 1) / 4).cast("int")
+        df = orders.withColumn("y", y).select("o_orderkey", "month", "o_orderpriority", "y")
+        prepared = prepare(df, "y", "classification", keys=["o_orderkey"], exclude=["o_orderkey"])
+        _, fitted, _ = fit_and_score(prepared, family, params)
+        return confusion_matrix(fitted.transform(prepared.test.select("label", "features")), "label", "prediction")
+
+    return run
+
+
+# Settings of the smallest grids of the shipped search space.
+threshold_query("random_forest_classifier", "random_forest", n_estimators=50, max_depth=10)
+threshold_query("gradient_boosting_classifier", "gradient_boosting", n_estimators=50, max_depth=3)
+threshold_query("gradient_boosting_one_vs_rest", "gradient_boosting", classes=3, n_estimators=50, max_depth=3)
+threshold_query("xgboost_classifier", "xgboost", n_estimators=50, max_depth=3)
+threshold_query("lightgbm_classifier", "lightgbm", n_estimators=50, max_depth=7, num_leaves=20)
+threshold_query("svm_linear", "svm", kernel="linear", max_iter=100, C=10.0)
+model_query("random_forest_regressor", "random_forest", "l_extendedprice", "regression", n_estimators=50, max_depth=10)
+model_query("gradient_boosting_regressor", "gradient_boosting", "l_extendedprice", "regression", n_estimators=50, max_depth=3)
+model_query("logistic_regression", "logistic_regression", "l_returnflag", "classification", C=1.0, max_iter=100)
+model_query("svm_rbf", "svm", "l_linestatus", "classification", kernel="rbf", max_iter=100)
+model_query("svr_rbf", "svr", "l_extendedprice", "regression", max_iter=100)
+
+LINE_ROW = DIGEST.format(keys="CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)")
+
+
+@query(
+    "linear_regression_scores",
+    f"""WITH t AS (SELECT l_quantity AS x, l_extendedprice AS y, {LINE_ROW} < '{LIMIT}' AS is_test FROM lineitem),
+    m AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM t WHERE NOT is_test),
+    e AS (SELECT y, y - (a * x + b) AS e FROM t, m WHERE is_test),
+    s AS (SELECT avg(e * e) AS mse, avg(abs(e)) AS mae, 1 - sum(e * e) / (var_pop(y) * count(*)) AS r2 FROM e)
+    SELECT 'linear_regression' AS family, metric, round(value, 3) AS value FROM
+    (SELECT 'mse' AS metric, round(mse / 1000) AS value FROM s UNION ALL SELECT 'mae', mae FROM s UNION ALL SELECT 'r2', r2 FROM s)""",
+)
+def linear_regression_scores(spark, sf_dir):
+    """One-feature regression: SQL states the metrics on the test rows (mse in thousands)."""
+    df = table(spark, sf_dir, "lineitem").select(*LINE_KEYS, "l_quantity", "l_extendedprice")
+    prepared = prepare(df, "l_extendedprice", "regression", keys=LINE_KEYS, exclude=LINE_KEYS)
+    metrics, _, model = fit_and_score(prepared, "linear_regression", {})
+    shown = {"mse": round(metrics["mse"] / 1000), "mae": metrics["mae"], "r2": metrics["r2"]}
+    rows = [(model.family, k, round(float(v), 3)) for k, v in shown.items()]
+    return spark.createDataFrame(rows, "family string, metric string, value double")
 
 
 @query(
@@ -72,9 +124,8 @@ def linear_regression(spark, sf_dir):
 
 
 def labelled(spark, sf_dir) -> DataFrame:
-    """Documents with a quality label."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source")
-    return documents.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    """Documents with their labels, texts included."""
+    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
 
 
 DOC_ROW = DIGEST.format(keys="CAST(doc_id AS VARCHAR)")
@@ -82,12 +133,13 @@ DOC_ROW = DIGEST.format(keys="CAST(doc_id AS VARCHAR)")
 
 @query(
     "dataset_info",
-    f"""WITH t AS (SELECT doc_id, n_chars, lang, source, quality FROM documents JOIN labels USING (doc_id)),
+    f"""WITH t AS (SELECT * FROM documents JOIN labels USING (doc_id)),
     tr AS (SELECT * FROM t WHERE {DOC_ROW} >= '{LIMIT}')
     SELECT 'documents' AS dataset, (SELECT count(*) FROM t) AS n_samples, 'quality' AS target_column,
-    'n_chars,source_encoded,' || (SELECT string_agg('lang_' || lang, ',' ORDER BY lang) FROM (SELECT DISTINCT lang FROM tr)
+    'n_chars,toxic,' || (SELECT CASE WHEN count(DISTINCT text) < least(1000, count(*)) THEN 'text_encoded,' ELSE '' END FROM t)
+        || 'source_encoded,' || (SELECT string_agg('lang_' || lang, ',' ORDER BY lang) FROM (SELECT DISTINCT lang FROM tr)
         WHERE lang > (SELECT min(lang) FROM tr)) AS feature_names,
-    (SELECT string_agg(q, ',' ORDER BY q) FROM (SELECT DISTINCT CAST(quality AS VARCHAR) AS q FROM tr)) AS target_classes""",
+    (SELECT string_agg(q, ',' ORDER BY q) FROM (SELECT DISTINCT CAST(quality AS VARCHAR) AS q FROM t)) AS target_classes""",
 )
 def describe_dataset(spark, sf_dir):
     prepared = prepare(labelled(spark, sf_dir), "quality", keys=["doc_id"], exclude=["doc_id"])
@@ -107,7 +159,7 @@ def single_experiment(spark, sf_dir):
     params = {
         "target_column": "quality",
         "model_type": "logistic_regression",
-        "model_params": {"max_iter": 20},
+        "model_params": {"max_iter": 100},
         "keys": ["doc_id"],
         "exclude": ["doc_id"],
         "select_features": True,
@@ -126,7 +178,7 @@ def run_log(spark, sf_dir):
         params = {
             "target_column": "quality",
             "model_type": family,
-            "model_params": {"n_estimators": 5, "max_depth": 3} if family == "random_forest" else {"max_iter": 10},
+            "model_params": {"n_estimators": 50} if family == "random_forest" else {"max_iter": 100},
             "keys": ["doc_id"],
             "exclude": ["doc_id"],
         }
@@ -135,29 +187,36 @@ def run_log(spark, sf_dir):
     return runs.select("experiment", "status", F.col("params")["model_type"].alias("model_type"), F.col("metrics")["accuracy"].alias("accuracy"))
 
 
-def quick_plan(spark) -> DataFrame:
-    """A few cheap trials over four families."""
-    grids = [
-        ("RandomForest", "random_forest", {"n_estimators": [5, 10], "max_depth": [3]}),
-        ("GradientBoosting", "gradient_boosting", {"n_estimators": [3], "max_depth": [2]}),
-        ("LogisticRegression", "logistic_regression", {"C": [0.1, 1.0], "max_iter": [20]}),
-        ("KNN", "knn", {"n_neighbors": [5], "weights": ["uniform"], "metric": ["euclidean"]}),
-    ]
-    return TR.trial_plan(TR.param_grid(TR.grid_table(spark, grids)), n_trials=6)
-
-
 @query("trial_leaderboard")
 def trial_leaderboard(spark, sf_dir):
-    df = labelled(spark, sf_dir)
-    result = search(df, "quality", keys=["doc_id"], exclude=["doc_id"], plan=quick_plan(spark))
-    return result.leaderboard()
+    """The shipped plan of ten different trials on the labelled documents."""
+    return search(labelled(spark, sf_dir), "quality", keys=["doc_id"], exclude=["doc_id"]).leaderboard()
 
 
-@query("search_results_file")
+@query(
+    "search_winner_scores",
+    "SELECT o_orderkey, CAST(extract(month FROM o_orderdate) > 6 AS VARCHAR) AS late, 'true' AS tracked FROM orders",
+)
+def search_winner_scores(spark, sf_dir):
+    """A search whose winner scores the whole table, and whose run is in the run table. The target is a step of the month."""
+    orders = table(spark, sf_dir, "orders").withColumn("month", F.month("o_orderdate"))
+    df = orders.select("o_orderkey", "month", "o_orderpriority", (F.col("month") > 6).cast("string").alias("late"))
+    path = fresh_path(spark, "winner-runs")
+    families = ["random_forest", "gradient_boosting"]
+    result = search(df, "late", keys=["o_orderkey"], exclude=["o_orderkey"], models=families, n_trials=4, runs_path=path)
+    tracked = get_run(spark.read.parquet(path), result.best()).count() == 1
+    scored = result.scorer().score(df, keep=["o_orderkey"])
+    return scored.select("o_orderkey", F.col("predicted_class").alias("late"), F.lit(str(tracked).lower()).alias("tracked"))
+
+
+@query(
+    "search_results_file",
+    "SELECT 'orders' AS data, 'o_orderstatus' AS target, 'classification' AS task, 2::BIGINT AS total_trials, 2::BIGINT AS successful",
+)
 def search_results_file(spark, sf_dir):
     """Search on orders, with the result header and trials saved and read back."""
     plan = TR.trial_plan(
-        TR.param_grid(TR.grid_table(spark, [("LogisticRegression", "logistic_regression", {"C": [0.1, 1.0], "max_iter": [10]})]))
+        TR.param_grid(TR.grid_table(spark, [("LogisticRegression", "logistic_regression", {"C": [0.1, 1.0], "max_iter": [100]})]))
     )
     result = search(table(spark, sf_dir, "orders"), "o_orderstatus", keys=["o_orderkey"], exclude=["o_orderkey", "o_custkey"], plan=plan)
     path = fresh_path(spark, "results")
@@ -167,7 +226,7 @@ def search_results_file(spark, sf_dir):
 
 def saved_scorer(spark, sf_dir) -> Scorer:
     prepared = prepare(table(spark, sf_dir, "orders"), "o_orderstatus", keys=["o_orderkey"], exclude=["o_orderkey", "o_custkey"])
-    _, fitted, _ = fit_and_score(prepared, "logistic_regression", {"max_iter": 10})
+    _, fitted, _ = fit_and_score(prepared, "logistic_regression", {"max_iter": 100})
     path = fresh_path(spark, "scorer")
     save_scorer(spark, prepared, fitted, path)
     return Scorer.load(spark, path)

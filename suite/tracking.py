@@ -181,7 +181,7 @@ def best_run_min(spark, sf_dir):
 @query(
     "best_run_per_experiment",
     f"""SELECT experiment, run_id, accuracy AS value FROM {RUNS_SQL} WHERE accuracy IS NOT NULL AND NOT isnan(accuracy)
-    QUALIFY row_number() OVER (PARTITION BY experiment ORDER BY accuracy DESC, start_time DESC, run_id DESC) = 1""",
+    QUALIFY row_number() OVER (PARTITION BY experiment ORDER BY accuracy DESC, start_time DESC, run_id) = 1""",
 )
 def best_run_per_experiment(spark, sf_dir):
     return R.best_runs(runs(spark, sf_dir))
@@ -288,7 +288,8 @@ def registry_list(spark, sf_dir):
     return found.select("id", "name", "status", F.date_format("created_at", "yyyy-MM-dd").alias("created"))
 
 
-@query("registry_get", f"SELECT id, status FROM {LATEST_SQL} WHERE starts_with(id, 'exp-1') ORDER BY id <> 'exp-1', id LIMIT 2")
+@query("registry_get", f"""SELECT id, status FROM (SELECT id, status, bool_or(id = 'exp-1') OVER () AS hit FROM {LATEST_SQL}
+    WHERE starts_with(id, 'exp-1')) WHERE NOT hit OR id = 'exp-1' ORDER BY id LIMIT 2""")
 def registry_get(spark, sf_dir):
     return G.by_id(G.latest(registry_events(spark, sf_dir)), "exp-1").select("id", "status")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,53 @@ class Rule:
     kind: str = "categorical"
 
 
+# Builders by name: a rule is saved as the names and arguments of its steps.
+BUILDERS: dict[str, Callable] = {}
+
+
+def builder(make: Callable) -> Callable:
+    """Register a function that returns a build step; what it returns remembers how it was made."""
+
+    @wraps(make)
+    def made(*args, **options):
+        step = make(*args, **options)
+        step.spec = {"step": make.__name__, "args": [_spec(a) for a in args], "options": options}
+        return step
+
+    BUILDERS[make.__name__] = made
+    return made
+
+
+def _spec(value):
+    return {"build": spec_of(value)} if callable(value) else value
+
+
+def spec_of(build: Callable) -> dict:
+    """A build step as plain data."""
+    if build is strip:
+        return {"step": "strip"}
+    if not hasattr(build, "spec"):
+        raise ValueError("a rule built by a function of its own cannot be saved; register it with `builder`")
+    return build.spec
+
+
+def build_of(spec: dict) -> Callable:
+    """The build step of plain data."""
+    if spec["step"] == "strip":
+        return strip
+    args = [build_of(a["build"]) if isinstance(a, dict) and a.keys() == {"build"} else a for a in spec["args"]]
+    return BUILDERS[spec["step"]](*args, **spec["options"])
+
+
+def rules_to_data(rules: Sequence[Rule]) -> list[dict]:
+    return [{"output": r.output, "sources": list(r.sources), "kind": r.kind, "build": spec_of(r.build)} for r in rules]
+
+
+def rules_from_data(data: Sequence[dict]) -> list[Rule]:
+    return [Rule(d["output"], tuple(d["sources"]), build_of(d["build"]), d["kind"]) for d in data]
+
+
+@builder
 def extract(pattern: str, group: int = 1, default: str | None = None) -> Callable[[Column], Column]:
     """First match of a pattern, or the default; texts are matched whole."""
 
@@ -32,10 +80,12 @@ def extract(pattern: str, group: int = 1, default: str | None = None) -> Callabl
     return build
 
 
+@builder
 def char_at(position: int, default: str) -> Callable[[Column], Column]:
     return lambda c: F.coalesce(empty_to_null(F.substring(c, position + 1, 1)), F.lit(default))
 
 
+@builder
 def map_values(mapping: dict[str, str], default: str) -> Callable[[Column], Column]:
     """Replace values by a fixed table; values outside it get the default."""
 
@@ -46,10 +96,12 @@ def map_values(mapping: dict[str, str], default: str) -> Callable[[Column], Colu
     return build
 
 
+@builder
 def to_number(default: float) -> Callable[[Column], Column]:
     return lambda c: F.coalesce(c.try_cast("double"), F.lit(default))
 
 
+@builder
 def sum_plus(constant: int) -> Callable[..., Column]:
     """Sum of the sources plus a constant; missing if any source is."""
 
@@ -62,11 +114,13 @@ def sum_plus(constant: int) -> Callable[..., Column]:
     return build
 
 
+@builder
 def equals_flag(value: int) -> Callable[[Column], Column]:
     """1 where the source equals the value, 0 otherwise and where missing."""
     return lambda c: F.coalesce((c == value).cast("int"), F.lit(0))
 
 
+@builder
 def then(*steps: Callable) -> Callable[..., Column]:
     """Chain builders: the first takes the sources, each next one the result."""
 

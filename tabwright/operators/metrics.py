@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.schema import is_fractional, quoted
-from tabwright.operators.target import MAX_CLASSES
+from tabwright.functions.schema import quoted
+from tabwright.operators.target import detect_task
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -45,15 +45,15 @@ def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFr
     """One row: accuracy, precision, recall, f1.
 
     Up to two label classes: the scores of the positive class, which is the
-    larger label (1 of 0/1). More: averages weighted by support.
+    larger label (1 of 0/1); a class that is only predicted is none of them. More:
+    averages weighted by support.
     """
     scores = per_class_metrics(df, label, prediction)
     support, names = F.col("support"), ("precision", "recall", "f1")
     numeric = dict(scores.dtypes)["cls"] not in ("string", "boolean")
-    alone_and_negative = (F.count("cls") == 1) & (
-        F.max("cls") == F.lit(0) if numeric else F.lit(False)
-    )
-    positive = F.max_by(F.struct(*names), "cls")
+    labelled = F.when(support > 0, F.col("cls"))
+    alone_and_negative = (F.count(labelled) == 1) & (F.max(labelled) == F.lit(0) if numeric else F.lit(False))
+    positive = F.max_by(F.struct(*names), labelled)
     many = F.count_if(support > 0) > 2
     return scores.agg(
         (F.sum("hits") / F.sum("support")).alias("accuracy"),
@@ -86,12 +86,9 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def evaluate(df: DataFrame, label: str, prediction: str, task: str | None = None) -> DataFrame:
     """(metric, value) rows of the metric family of the task.
 
-    Without a task the test labels decide: over 20 distinct labels or a float
-    label is regression.
+    Without a task the test labels decide, by :func:`detect_task`.
     """
     if task is None:
-        few = df.select(quoted(label)).distinct().limit(MAX_CLASSES + 1).count() <= MAX_CLASSES
-        fractional = is_fractional(df.schema[label].dataType)
-        task = "classification" if few and not fractional else "regression"
+        task = detect_task(df, label).first()["task"]
     family = regression_metrics if task == "regression" else classification_metrics
     return family(df, label, prediction).unpivot([], None, "metric", "value")

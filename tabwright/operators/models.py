@@ -98,7 +98,6 @@ GRIDS = [
 DEFAULT_TREES = 100
 DEFAULT_SEED = 42
 MAX_DEPTH = 30  # deepest tree MLlib builds; stands for "no limit"
-MAX_CLASSES = 20
 PER_CLASS_PARALLEL = 4
 NORMAL_SOLVER_FEATURES = 4096
 
@@ -198,11 +197,9 @@ def _gamma(gamma: Any, table: FeatureTable) -> float:
 
 
 def _per_class(classifier: Estimator, table: FeatureTable, features: str) -> Estimator:
-    """Two-class learners are wrapped one-vs-rest where the target has more classes."""
+    """Two-class learners are wrapped one-vs-rest where the target has more classes, a few models at a time."""
     if table.n_classes <= 2:
         return classifier
-    if table.n_classes > MAX_CLASSES:
-        raise ValueError(f"one model per class: {table.n_classes} classes exceed {MAX_CLASSES}")
     return OneVsRest(
         classifier=classifier, featuresCol=features, labelCol=table.label, parallelism=PER_CLASS_PARALLEL
     )

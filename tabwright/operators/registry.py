@@ -16,6 +16,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
+from pyspark.sql.window import Window
 
 EVENT_SCHEMA = (
     "id string, seq long, at timestamp, created boolean, deleted boolean, name string, status string, "
@@ -72,9 +73,11 @@ def by_status(current: DataFrame, status: str | None = None) -> DataFrame:
 
 
 def by_id(current: DataFrame, text: str) -> DataFrame:
-    """The experiment with this id, else those whose id starts with it, exact match first."""
-    hits = current.filter((F.col("id") == text) | F.col("id").startswith(text))
-    return hits.orderBy(F.col("id") != text, "id").limit(2)
+    """The experiment with this id; else the first two whose id starts with it, so that a second one tells ambiguity."""
+    exact = F.col("id") == text
+    hits = current.filter(F.col("id").startswith(text)).orderBy(~exact, "id").limit(2)
+    found = F.max(exact).over(Window.partitionBy(F.lit(0)))  # over two rows at most
+    return hits.withColumn("_found", found).filter(~F.col("_found") | exact).drop("_found")
 
 
 def by_name(current: DataFrame, name: str) -> DataFrame:
@@ -135,7 +138,7 @@ class Registry:
     def get(self, text: str):
         """Experiment by id or unambiguous prefix, or None."""
         hits = by_id(self.current(), text).collect()
-        if len(hits) > 1 and hits[0]["id"] != text:
+        if len(hits) > 1:
             raise ValueError(f"several experiments start with {text!r}")
         return hits[0] if hits else None
 

@@ -47,7 +47,7 @@ def get_run(runs: DataFrame, run_id: str) -> DataFrame:
 
 
 def experiment_metrics(
-    runs: DataFrame, experiment: str, max_results: int | None = MAX_RESULTS
+    runs: DataFrame, experiment: str, max_results: int | None = None
 ) -> DataFrame:
     """Run id, status, times, metrics and parameters of an experiment's runs."""
     return search_runs(runs, experiment, None, max_results).select(
@@ -55,11 +55,9 @@ def experiment_metrics(
     )
 
 
-def metrics_wide(runs: DataFrame, names: list[str]) -> DataFrame:
-    """One column per metric."""
-    return runs.select(
-        "run_id", "experiment", *[F.element_at("metrics", n).alias(n) for n in names]
-    )
+def _comparable(value: Column, mode: str) -> Column:
+    """Whether a run's value may win: a number, and not the worst one there is."""
+    return value.isNotNull() & ~F.isnan(value) & (value != (float("-inf") if mode == "max" else float("inf")))
 
 
 def best_run(
@@ -76,21 +74,22 @@ def best_run(
     if max_results is not None:
         source = source.orderBy(F.col("start_time").desc(), "run_id").limit(max_results)
     value = F.element_at("metrics", metric)
-    usable = value.isNotNull() & ~F.isnan(value) & (value != (float("-inf") if mode == "max" else float("inf")))
+    usable = _comparable(value, mode)
     order = value.desc() if mode == "max" else value.asc()
     return source.filter(usable).orderBy(order, F.col("start_time").desc(), "run_id").limit(1)
 
 
 def best_runs(runs: DataFrame, metric: str = "accuracy", mode: str = "max") -> DataFrame:
-    """Best run of every experiment at once, by one partial aggregate."""
+    """:func:`best_run` of every experiment at once, by one partial aggregate."""
     value = F.element_at("metrics", metric)
-    usable = runs.filter(value.isNotNull() & ~F.isnan(value)).withColumn(
-        "score", value if mode == "max" else -value
+    place = F.struct(
+        (-value if mode == "max" else value).alias("score"),
+        F.col("start_time").isNull().alias("undated"),
+        (-F.unix_micros(F.col("start_time").cast("timestamp"))).alias("age"),
+        F.col("run_id").alias("id"),
     )
-    return usable.groupBy("experiment").agg(
-        F.max_by(
-            F.struct("run_id", value.alias("value")), F.struct("score", "start_time", "run_id")
-        ).alias("b")
+    return runs.filter(_comparable(value, mode)).groupBy("experiment").agg(
+        F.min_by(F.struct("run_id", value.alias("value")), place).alias("b")
     ).select("experiment", "b.run_id", "b.value")
 
 
@@ -118,8 +117,9 @@ def register_models(models: DataFrame, new: DataFrame) -> DataFrame:
     """Rows to append: ``new`` (name, run_id, source, created_at) with the next versions per name.
 
     A name may hold any share of the new rows: they are numbered by a
-    distributed sort, not in one window.
+    distributed sort, not in one window. A name must be given.
     """
+    new = new.withColumn("name", F.coalesce("name", F.raise_error(F.lit("a model version needs a name")).cast("string")))
     numbered = group_rank(new, "name", [F.col("created_at"), F.col("run_id")], "_place")
     taken = models.groupBy("name").agg(F.max("version").alias("_taken"))
     sizes = new.groupBy("name").agg(F.count(F.lit(1)).alias("_n"))

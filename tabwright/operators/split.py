@@ -36,11 +36,11 @@ def hash_split(
     The test share is close to ``test_size``; ``exact=True`` takes the rows
     with the ceil(n * test_size) smallest digests, for unique keys.
     """
+    if test_size <= 0.0 or test_size >= 1.0:
+        return df.withColumn(output, F.lit(test_size >= 1.0))
     digest = row_digest(keys, seed)
     if not exact:
         limit = format(round(test_size * 16**DIGITS), f"0{DIGITS}x")
-        if test_size >= 1.0:
-            return df.withColumn(output, F.lit(True))
         return df.withColumn(output, digest < F.lit(limit))
     number = F.conv(digest, 16, 10).cast("double").alias("h")
     cut, _ = exact_quantiles(df.select(number), ["h"], [test_size], interpolate=False)

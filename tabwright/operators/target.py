@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.schema import is_fractional, quoted
+from tabwright.functions.schema import TEXT, is_fractional, quoted, type_class
 
 # Names searched for a target, in order of preference.
 TARGET_NAMES = ["target", "label", "class", "y", "survived", "price", "outcome", "result"]
@@ -74,12 +74,14 @@ def target_classes(df: DataFrame, label: str) -> DataFrame:
 
 
 def detect_task(df: DataFrame, label: str) -> DataFrame:
-    """One row ``n_classes, task``: over 20 labels or a float label is regression."""
+    """One row ``n_classes, task``: over 20 labels or a float label is regression, a text label never.
+
+    This is the one rule of preparing, evaluating and describing a target.
+    """
     fractional = is_fractional(df.schema[label].dataType)
+    many = (F.col("n_classes") > MAX_CLASSES) & F.lit(type_class(df.schema[label].dataType) != TEXT)
     counts = class_counts(df, label).filter(F.col("label").isNotNull())
     return counts.agg(F.count(F.lit(1)).alias("n_classes")).withColumn(
         "task",
-        F.when((F.col("n_classes") > MAX_CLASSES) | F.lit(fractional), "regression").otherwise(
-            "classification"
-        ),
+        F.when(many | F.lit(fractional), "regression").otherwise("classification"),
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import math
 import time
 import uuid
 from collections.abc import Callable, Sequence
@@ -15,6 +14,7 @@ from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tabwright.functions.schema import quoted
 from tabwright.operators.knn import knn_predict
@@ -22,6 +22,7 @@ from tabwright.operators.metrics import evaluate
 from tabwright.operators.models import FeatureTable, Model, build_model
 from tabwright.operators.select import select_k_best, selected_features
 from tabwright.operators.split import hash_split
+from tabwright.operators.features import PASSENGER_RULES, Rule
 from tabwright.plans.preprocess import Preprocessor, choose_roles, fit_preprocessor
 from tabwright.session import written
 
@@ -30,7 +31,14 @@ RUN_SCHEMA = (
     "end_time timestamp, metrics map<string,double>, params map<string,string>, model_path string"
 )
 
-ROWS_PER_PARTITION = 20_000
+# Options of `prepare` that an experiment or a search passes on as they are.
+PREPARE_OPTIONS = ("strategy", "fit_on", "rules", "string_categoricals", "encoded", "method")
+
+
+def run_experiment_schema(spark: SparkSession):
+    """The schema of a run table."""
+    return spark.createDataFrame([], RUN_SCHEMA).schema
+
 
 # User-defined families: name -> function(params, task, FeatureTable) returning an estimator.
 CUSTOM_FAMILIES: dict[str, Callable] = {}
@@ -50,14 +58,11 @@ class Prepared:
     names: list[str]
     n_samples: int
     n_train: int
+    n_unlabelled: int = 0
 
     @property
     def train(self) -> DataFrame:
-        """Training rows; a small table is kept in few partitions, as fits run many short jobs."""
-        rows = self.table.filter("NOT is_test")
-        parts = math.ceil(self.n_train / ROWS_PER_PARTITION) or 1
-        small = parts < self.table.sparkSession.sparkContext.defaultParallelism
-        return rows.coalesce(parts) if small else rows
+        return self.table.filter("NOT is_test")
 
     @property
     def test(self) -> DataFrame:
@@ -101,28 +106,40 @@ def prepare(
     strategy: str = "median",
     fit_on: str = "train",
     exclude: Sequence[str] = (),
+    rules: Sequence[Rule] = PASSENGER_RULES,
+    string_categoricals: str = "onehot",
+    encoded: bool = True,
+    method: str = "f_classif",
 ) -> Prepared:
-    """Profile, split, fit and project once.
+    """Profile, split, write what is used once, fit on that and project.
 
     ``keys`` identify a row for the split (all columns by default). Statistics
     and selection are fitted on the training rows; ``fit_on='all'`` uses all.
+    Target classes are those of all rows. Rows without a label are left out and
+    counted in ``n_unlabelled``. ``method`` ranks the features to select.
     """
     if fit_on not in ("train", "all"):
         raise ValueError(f"fit_on must be 'train' or 'all', not {fit_on!r}")
-    roles = choose_roles(df, target, task, exclude=exclude)
-    marked = hash_split(df, list(keys or df.columns), test_size, seed)
+    roles = choose_roles(
+        df, target, task, rules=rules, exclude=exclude, string_categoricals=string_categoricals, encoded=encoded
+    )
+    sources = {s for r in rules for s in r.sources}
+    used = sources.union(roles.numeric, roles.categorical, roles.coded, [roles.target])
+    split = hash_split(df, list(keys or df.columns), test_size, seed)
+    # no fit reads the source, its other columns or the split digest again
+    marked = written(split.select(*[quoted(c) for c in df.columns if c in used], "is_test"), "split")
     basis = marked.filter("NOT is_test") if fit_on == "train" else marked
-    fitted = fit_preprocessor(basis, roles, strategy)
+    fitted = fit_preprocessor(basis, roles, strategy, rules, marked)
     table = fitted.transform(marked, ["is_test"]).filter(F.col("label").isNotNull())
     names = fitted.names
     # the written table fixes the row numbers and spares every trial the preparation
     table = written(table.withColumn("row_id", F.monotonically_increasing_id()), "features")
     if select_features and len(names) > k:
         rows = table.filter("NOT is_test") if fit_on == "train" else table
-        names = selected_features(select_k_best(rows, names, "label", k, task=roles.task))
+        names = selected_features(select_k_best(rows, names, "label", k, method=method, task=roles.task))
         table = _reassemble(table, names)
     counts = table.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_test")).alias("train")).first()
-    return Prepared(table, fitted, names, counts["n"], counts["train"])
+    return Prepared(table, fitted, names, counts["n"], counts["train"], marked.count() - counts["n"])
 
 
 def _reassemble(table: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -198,7 +215,8 @@ def run_experiment(
     """Run one experiment and return its run as one row.
 
     ``params`` takes target_column, task, model_type, model_params, test_size,
-    random_state, select_features, n_features and keys.
+    random_state, select_features, n_features, keys, exclude, and the names in
+    ``PREPARE_OPTIONS``.
     """
     spark = df.sparkSession
     tell = progress or (lambda percent, message: None)
@@ -214,20 +232,22 @@ def run_experiment(
         params.get("select_features", False),
         params.get("n_features", 10),
         exclude=params.get("exclude", ()),
+        **{name: params[name] for name in PREPARE_OPTIONS if name in params},
     )
     tell(50, f"training on {prepared.n_train} of {prepared.n_samples} rows")
     family = params.get("model_type", "auto")
     given = {"random_state": params.get("random_state", 42), **params.get("model_params", {})}
     metrics, fitted, model = fit_and_score(prepared, family, given)
     tell(90, "scored the test rows")
-    if model_path and fitted is not None:
-        save_scorer(spark, prepared, fitted, model_path)
+    if model_path:
+        save_scorer(spark, prepared, fitted if fitted is not None else neighbours(prepared, model), model_path)
     logged = {
-        **{k: str(v) for k, v in params.items() if k != "model_params"},
+        **{k: str(v) for k, v in params.items() if k not in ("model_params", "rules")},
         **{k: str(v) for k, v in model.used.items()},
         "target_column": prepared.preprocessor.roles.target,
         "model_type": model.family,
         "n_samples": str(prepared.n_samples),
+        "n_unlabelled": str(prepared.n_unlabelled),
         "n_features": str(len(prepared.names)),
     }
     row = (
@@ -248,9 +268,51 @@ def run_experiment(
     return run
 
 
-def save_scorer(spark: SparkSession, prepared: Prepared, fitted: Transformer, path: str) -> None:
+@dataclass
+class Neighbours:
+    """The neighbour model: its settings and the training rows it looks in."""
+
+    train: DataFrame
+    k: int
+    metric: str
+    weights: str
+    task: str
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` (with a features vector) and its ``prediction``."""
+        rows = written(df.withColumn("row_id", F.monotonically_increasing_id()), "neighbour-rows")
+        found = knn_predict(
+            rows, self.train, "label", self.k, id_col="row_id", metric=self.metric, weights=self.weights, task=self.task
+        )
+        return rows.join(found.select("row_id", "prediction"), "row_id").drop("row_id")
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.train.select("row_id", "label", "features").write.parquet(f"{path}/neighbours/train")
+        settings = [(self.k, self.metric, self.weights, self.task)]
+        frame = spark.createDataFrame(settings, "k int, metric string, weights string, task string")
+        frame.coalesce(1).write.parquet(f"{path}/neighbours/settings")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Neighbours | None:
+        """The saved model, or None where ``path`` holds a model of another family."""
+        try:
+            s = spark.read.parquet(f"{path}/neighbours/settings").first()
+        except AnalysisException:
+            return None
+        return cls(spark.read.parquet(f"{path}/neighbours/train"), s["k"], s["metric"], s["weights"], s["task"])
+
+
+def neighbours(prepared: Prepared, model: Model) -> Neighbours:
+    used = model.used
+    return Neighbours(prepared.train, used["n_neighbors"], used["metric"], used["weights"], prepared.task)
+
+
+def save_scorer(spark: SparkSession, prepared: Prepared, fitted: Transformer | Neighbours, path: str) -> None:
     """Save the fitted statistics, the chosen features and the model below ``path``."""
     prepared.preprocessor.save(spark, f"{path}/preprocess")
     spark.createDataFrame([(n,) for n in prepared.names], "name string").coalesce(1).write.parquet(f"{path}/names")
+    if isinstance(fitted, Neighbours):
+        fitted.save(spark, path)
+        return
     pipeline = fitted if isinstance(fitted, PipelineModel) else PipelineModel([fitted])
     pipeline.write().overwrite().save(f"{path}/model")

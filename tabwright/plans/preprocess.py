@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from tabwright.functions.schema import TEXT, quoted, type_class
 from tabwright.functions.values import label_text
 from tabwright.operators.encode import FittedStats, apply_stats, feature_names, fit_stats, label_codes
-from tabwright.operators.features import PASSENGER_RULES, USED_UP, Rule, extract_features
+from tabwright.operators.features import PASSENGER_RULES, USED_UP, Rule, extract_features, rules_from_data, rules_to_data
 from tabwright.operators.profile import BINARY_MAX, ENCODE_MAX, profile
-from tabwright.operators.target import TARGET_NAMES, infer_target
+from tabwright.operators.target import TARGET_NAMES, detect_task, infer_target
 
 
 @dataclass
@@ -54,11 +54,8 @@ def choose_roles(
     rows = _rows(profiled)
     if target is None:
         target = infer_target(profiled, names=target_names).first()[0]
-    kinds = {r["column"]: r for r in rows}
-    kind = kinds[target]["kind"]
-    is_text = type_class(df.schema[target].dataType) == TEXT
     if task == "auto":
-        task = "classification" if is_text or kind in ("categorical", "binary") else "regression"
+        task = detect_task(df, target).first()["task"]
 
     shaped, applied = extract_features(candidates, rules)
     used = {s for r in applied for s in r.sources if s in USED_UP}
@@ -132,28 +129,35 @@ class Preprocessor:
         return apply_stats(shaped, self.stats, keep, vector=vector)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Save statistics and roles below ``path``."""
+        """Save statistics, roles and feature rules below ``path``."""
         self.stats.save(spark, f"{path}/stats")
-        info = {**self.roles.__dict__, "classes": self.classes}
+        info = {**self.roles.__dict__, "classes": self.classes, "rules": rules_to_data(self.rules)}
         spark.createDataFrame([(json.dumps(info),)], "roles string").coalesce(1).write.text(f"{path}/roles")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, rules: Sequence[Rule] = PASSENGER_RULES) -> Preprocessor:
+    def load(cls, spark: SparkSession, path: str) -> Preprocessor:
         info = json.loads(spark.read.text(f"{path}/roles").first()[0])
-        classes = info.pop("classes")
+        classes, rules = info.pop("classes"), rules_from_data(info.pop("rules"))
         return cls(ColumnRoles(**info), FittedStats.load(spark, f"{path}/stats"), classes, tuple(rules))
 
 
 def fit_preprocessor(
-    df: DataFrame, roles: ColumnRoles, strategy: str = "median", rules: Sequence[Rule] = PASSENGER_RULES
+    df: DataFrame,
+    roles: ColumnRoles,
+    strategy: str = "median",
+    rules: Sequence[Rule] = PASSENGER_RULES,
+    labels: DataFrame | None = None,
 ) -> Preprocessor:
-    """Fit statistics and target classes on ``df`` (the training rows, to avoid leakage)."""
+    """Fit statistics on ``df`` (the training rows, to avoid leakage).
+
+    The target classes are those of ``labels``, all rows of the table, so that
+    no row drops out because its class is rare; by default those of ``df``.
+    """
     shaped, _ = extract_features(df, rules)
     stats = fit_stats(shaped, roles.numeric, roles.categorical, strategy, roles.coded)
     classes = None
     if roles.task == "classification":
-        codes, few = label_codes(df, roles.target)
-        if not few:
-            raise ValueError(f"{roles.target}: too many classes")
-        classes = [r["value"] for r in codes.orderBy("code").collect()]
+        source = df if labels is None else labels
+        codes, _ = label_codes(source.filter(F.col(quoted(roles.target)).isNotNull()), roles.target)
+        classes = [r["value"] for r in codes.orderBy("code").collect()]  # every model holds its classes
     return Preprocessor(roles, stats, classes, tuple(rules))

@@ -11,21 +11,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tabwright.functions.schema import quoted
+from tabwright.plans.experiment import Neighbours
 from tabwright.plans.preprocess import Preprocessor
 
 
 class Scorer:
     """A saved scorer; the same projection serves a table and a stream."""
 
-    def __init__(self, preprocessor: Preprocessor, names: Sequence[str], model: PipelineModel):
+    def __init__(self, preprocessor: Preprocessor, names: Sequence[str], model: PipelineModel | Neighbours):
         self.preprocessor, self.names, self.model = preprocessor, list(names), model
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Scorer:
         names = [r["name"] for r in spark.read.parquet(f"{path}/names").collect()]
-        return cls(
-            Preprocessor.load(spark, f"{path}/preprocess"), names, PipelineModel.load(f"{path}/model")
-        )
+        model = Neighbours.load(spark, path) or PipelineModel.load(f"{path}/model")
+        return cls(Preprocessor.load(spark, f"{path}/preprocess"), names, model)
 
     def score(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """``keep`` columns with ``prediction`` and, for classes, ``predicted_class``."""
@@ -45,7 +45,13 @@ class Scorer:
     def score_stream(
         self, stream: DataFrame, path: str, checkpoint: str, keep: Sequence[str] = (), once: bool = True
     ) -> StreamingQuery:
-        """Score a stream into a folder of Parquet files."""
+        """Score a stream into a folder of Parquet files; the neighbour model scores each batch by itself."""
+        if isinstance(self.model, Neighbours):
+            started = stream.writeStream.foreachBatch(
+                lambda batch, _: self.score(batch, keep).write.mode("append").parquet(path)
+            ).option("checkpointLocation", checkpoint)
+            started = started.trigger(availableNow=True) if once else started.trigger(processingTime="10 seconds")
+            return started.start()
         writer = (
             self.score(stream, keep)
             .writeStream.format("parquet")

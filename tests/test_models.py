@@ -3,11 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tabwright.operators import metrics as M
 from tabwright.operators import runs as R
 from tabwright.operators import trials as TR
 from tabwright.operators.models import FeatureTable, build_model, effective_params
 from tabwright.plans import experiment as X
-from tabwright.plans.search import run_trials, save_results, search
+from tabwright.plans.search import different_plan, run_trials, save_results, search
 from tabwright.streaming.scoring import Scorer
 
 
@@ -122,8 +123,63 @@ def test_search_keeps_failures_and_saves(spark, separable, folder):
     save_results(result, "toy", folder)
     head = spark.read.json(f"{folder}/header").first()
     assert (head["total_trials"], head["successful"], head["target"]) == (3, 2, "target")
-    fewer = run_trials(result.prepared, plan, skip_repeats=True)
-    assert fewer.count() == 2
+    best = result.best()
+    assert best in {r["run_id"] for r in result.run_rows("toy").collect()}
+    assert result.run_rows("toy").schema.simpleString() == X.run_experiment_schema(spark).simpleString()
+    result.save_best(f"{folder}/best")
+    ours = result.scorer().score(separable, keep=["id"]).collect()
+    assert sorted(Scorer.load(spark, f"{folder}/best").score(separable, keep=["id"]).collect()) == sorted(ours)
+
+
+def test_plan_has_no_repeats(spark):
+    plan = different_plan(spark, None, 10, "classification").collect()
+    assert len(plan) == 10 and [r["trial_no"] for r in plan] == list(range(1, 11))
+    assert {r["params"]["min_samples_split"] for r in plan if "min_samples_split" in r["params"]} <= {"2"}
+
+
+def test_saved_neighbours_equal_the_join(spark, separable, folder):
+    params = {"model_type": "knn", "model_params": {"n_neighbors": 3}, "keys": ["id"], "exclude": ["id"]}
+    run = X.run_experiment(separable, params, "toy", model_path=f"{folder}/knn").first()
+    assert run["model_path"] == f"{folder}/knn"
+    scored = Scorer.load(spark, f"{folder}/knn").score(separable, keep=["id", "target"])
+    right = scored.filter(F.col("predicted_class") == F.col("target").cast("string")).count()
+    assert scored.count() == 400 and right > 360
+
+
+def test_own_rules_are_saved(spark, folder):
+    from tabwright.operators.features import Rule, char_at, equals_flag, then
+
+    df = spark.createDataFrame([(i, f"{'AB'[i % 2]}{i}", float(i % 7), i % 2) for i in range(200)], "id int, code string, x double, y int")
+    rules = [Rule("first", ("code",), then(char_at(0, "?"), equals_flag("A")), "numerical")]
+    params = {"target_column": "y", "model_type": "logistic_regression", "keys": ["id"], "exclude": ["id"], "rules": rules}
+    X.run_experiment(df, params, "own", model_path=f"{folder}/own")
+    scored = Scorer.load(spark, f"{folder}/own").score(df, keep=["y"])
+    assert scored.filter("predicted_class = cast(y AS string)").count() == 200
+
+
+def test_rare_classes_keep_their_rows(spark):
+    df = spark.createDataFrame([(i, float(i % 9), "rare" if i == 3 else "ab"[i % 2]) for i in range(200)], "id int, x double, y string")
+    for seed in range(12):
+        prepared = X.prepare(df, "y", keys=["id"], exclude=["id"], seed=seed)
+        assert prepared.n_samples == 200 and prepared.preprocessor.classes == ["a", "b", "rare"]
+    missing = df.withColumn("y", F.when(F.col("id") > 4, F.col("y")))
+    assert X.prepare(missing, "y", keys=["id"], exclude=["id"]).n_unlabelled == 5
+
+
+def test_more_than_twenty_classes(spark):
+    df = spark.createDataFrame([(i, float(i % 23), f"c{i % 23:02d}") for i in range(460)], "id int, x double, y string")
+    prepared = X.prepare(df, "y", keys=["id"], exclude=["id"])
+    metrics, _, _ = X.fit_and_score(prepared, "gradient_boosting", {"n_estimators": 1, "max_depth": 5})
+    assert metrics["accuracy"] > 0.9
+
+
+def test_class_that_is_only_predicted(spark):
+    rows = [(0, 0), (1, 1), (1, 1), (0, 2)]
+    df = spark.createDataFrame(rows, "label int, prediction int")
+    row = M.classification_metrics(df, "label", "prediction").first()
+    assert (row["accuracy"], row["precision"], row["recall"], row["f1"]) == (0.75, 1.0, 1.0, 1.0)
+    one = spark.createDataFrame([(0, 0), (0, 1)], "label int, prediction int")
+    assert M.classification_metrics(one, "label", "prediction").first()["recall"] == 0.0
 
 
 def test_search_stops_at_its_deadline(spark, prepared):
