@@ -255,6 +255,24 @@ def mutual_info_binned(spark, sf_dir):
     return scores.withColumn("mi", F.round("mi", 8))
 
 
+PRICE_RANKS = " OR ".join(f"r = greatest(CAST(ceil(c * {k / 10}) AS BIGINT), 1)" for k in range(1, 10))
+PRICE_BINS = f"""(WITH o AS (SELECT l_extendedprice AS v, row_number() OVER (ORDER BY l_extendedprice) AS r, count(*) OVER () AS c FROM lineitem),
+    edges AS (SELECT DISTINCT v AS e FROM o WHERE {PRICE_RANKS})
+    SELECT l.*, (SELECT count(*) FROM edges WHERE e < l.l_extendedprice) AS y FROM lineitem l)"""
+
+
+@query(
+    "mutual_info_regression",
+    f"SELECT feature, pos, round(mi, 8) AS mi FROM ({mutual_sql(['l_quantity', 'l_discount'], 'y', PRICE_BINS)})",
+)
+def mutual_info_regression(spark, sf_dir):
+    """A numeric label is binned like the features."""
+    scores = S.mutual_information(
+        table(spark, sf_dir, "lineitem"), ["l_quantity", "l_discount"], "l_extendedprice", label_bins=S.LABEL_BINS
+    )
+    return scores.withColumn("mi", F.round("mi", 8))
+
+
 DIGEST = "substr(md5(concat_ws('|', {keys}, '42')), 1, 13)"
 LIMIT = format(round(0.2 * 16**13), "013x")
 

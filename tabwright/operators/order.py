@@ -19,7 +19,9 @@ from tabwright.functions.schema import quoted
 from tabwright.session import written
 
 ACCURACY = 10_000
-BRACKET_LIMIT = 200_000
+BRACKET_LIMIT = 200_000  # values of one bracket that may be fetched
+TOTAL_LIMIT = 2_000_000  # values of all brackets of a call
+NARROWED_AT_ONCE = 32  # brackets in one aggregate
 MAX_SCANS = 40
 SMALLEST_LIMIT = 64  # a sketch cannot narrow a bracket much below this
 HOT_SHARE = 1_000
@@ -174,10 +176,11 @@ def exact_quantiles(
     A sketch brackets each quantile, a scan counts what lies below, and the
     values left in the bracket decide. Brackets still too wide are narrowed by
     further scans, so no task or driver holds more than ``bracket_limit`` values
-    per quantile. ``interpolate`` takes the midpoint rule of the median;
+    per quantile, nor ``TOTAL_LIMIT`` in all. ``interpolate`` takes the midpoint rule of the median;
     otherwise the value at rank ceil(n*p) is returned.
     """
-    bracket_limit = max(bracket_limit, SMALLEST_LIMIT)
+    wanted = max(1, len(columns) * len(probs))
+    bracket_limit = max(min(bracket_limit, TOTAL_LIMIT // wanted), SMALLEST_LIMIT)
     searches, counts = _start(df, columns, probs, interpolate, accuracy)
     pending = searches
     # A bracket spans about 6/accuracy of the rows, by the bound of the sketch.
@@ -188,7 +191,8 @@ def exact_quantiles(
     for _ in range(MAX_SCANS):
         if not pending:
             break
-        sized = _narrow(df, pending, accuracy, bracket_limit)
+        batches = [pending[i : i + NARROWED_AT_ONCE] for i in range(0, len(pending), NARROWED_AT_ONCE)]
+        sized = [found for batch in batches for found in _narrow(df, batch, accuracy, bracket_limit)]
         ready = [s for s, size in sized if size <= bracket_limit and s.value is None]
         if ready:
             _read_brackets(df, ready)

@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 EVENT_SCHEMA = (
     "id string, seq long, at timestamp, created boolean, deleted boolean, name string, status string, "
     "model_type string, metrics map<string,double>, parameters map<string,string>, artifacts_path string, "
-    "run_id string, container_id string, deployed_endpoint string, error string"
+    "run_id string, container_id string, deployed_endpoint string, error string, cleared array<string>"
 )
 FIELDS = [
     "name",
@@ -42,13 +42,21 @@ TERMINAL = ["completed", "failed", "stopped"]
 
 
 def latest(events: DataFrame) -> DataFrame:
-    """Current experiments: created, not deleted, each field at its last value."""
+    """Current experiments: created, not deleted, each field at its last value; an event may clear fields.
+
+    Of experiments created under one name by two writers at once, the one created first keeps it: ``by_name``.
+    """
     seq = F.col("seq")
+
+    def told(field):
+        given = F.col(field).isNotNull()
+        return given | F.coalesce(F.array_contains("cleared", field), F.lit(False)) if "cleared" in events.columns else given
+
     state = events.groupBy("id").agg(
         F.min(F.when(F.col("created"), F.col("at"))).alias("created_at"),
         F.max("at").alias("updated_at"),
         F.max(F.coalesce(F.col("deleted"), F.lit(False))).alias("gone"),
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), seq)).alias(c) for c in FIELDS],
+        *[F.max_by(c, F.when(told(c), seq)).alias(c) for c in FIELDS],
     )
     return state.filter(F.col("created_at").isNotNull() & ~F.col("gone")).drop("gone")
 
@@ -153,15 +161,21 @@ class Registry:
         return by_status(self.current(), status)
 
     def update(self, experiment_id: str, **fields: Any):
-        """Set known fields, ignore others; None for an unknown id."""
+        """Set known fields, ignore others; a field given as None is cleared. None for an unknown id."""
         if self.current().filter(F.col("id") == experiment_id).isEmpty():
             return None
         known = {k: v for k, v in fields.items() if k in FIELDS}
         if known.get("status", STATUSES[0]) not in STATUSES:
             raise ValueError(f"unknown status {known['status']!r}")
-        self._append(experiment_id, **known)
+        cleared = [k for k, v in known.items() if v is None]
+        self._append(experiment_id, **known, cleared=cleared or None)
         return self.get(experiment_id)
 
+    def compact(self, path: str) -> Registry:
+        """Write all events, in order, to few files in another folder and return the registry over it."""
+        self.events().repartitionByRange("seq").sortWithinPartitions("seq").write.parquet(path)
+        return Registry(self.spark, path)
+
     def delete(self, experiment_id: str) -> bool:
         if self.current().filter(F.col("id") == experiment_id).isEmpty():
             return False
@@ -175,7 +189,8 @@ class Registry:
         return self.update(experiment_id, status="stopped")
 
     def complete(self, experiment_id: str, metrics: dict[str, float], run_id: str | None = None):
-        return self.update(experiment_id, status="completed", metrics=metrics, run_id=run_id)
+        given = {} if run_id is None else {"run_id": run_id}
+        return self.update(experiment_id, status="completed", metrics=metrics, **given)
 
     def fail(self, experiment_id: str, error: str):
         return self.update(experiment_id, status="failed", error=error)

@@ -6,8 +6,14 @@ params map. History: run_id, key, value, step, seq. All are append-only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime
+import time
+import uuid
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tabwright.operators.order import group_rank, hot_key_join
 
@@ -129,3 +135,68 @@ def register_models(models: DataFrame, new: DataFrame) -> DataFrame:
         .withColumn("version", F.col("_taken") + F.col("_place"))
         .drop("_taken", "_place", "_n")
     )
+
+
+RUN_EVENTS = (
+    "run_id string, seq long, experiment string, run_name string, status string, start_time timestamp, end_time timestamp"
+)
+PARAMS = "run_id string, key string, value string, seq long"
+HISTORY = "run_id string, key string, value double, step long, seq long"
+VERSIONS = "name string, version long, run_id string, source string, created_at timestamp"
+
+
+class Tracking:
+    """Writers over the tracking tables below a folder; every call appends one small file.
+
+    One writer per run is assumed: events are put in order by the writer's clock.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def _append(self, table: str, schema: str, rows: list[tuple]) -> None:
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.path}/{table}")
+
+    def _read(self, table: str, schema: str) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{table}")
+        except AnalysisException:  # nothing written yet
+            return self.spark.createDataFrame([], schema)
+
+    def start_run(self, experiment: str, run_name: str | None = None) -> str:
+        run_id, now = uuid.uuid4().hex, datetime.datetime.now(datetime.timezone.utc)
+        self._append("events", RUN_EVENTS, [(run_id, time.time_ns(), experiment, run_name, "RUNNING", now, None)])
+        return run_id
+
+    def end_run(self, run_id: str, status: str = "FINISHED") -> None:
+        now = datetime.datetime.now(datetime.timezone.utc)
+        self._append("events", RUN_EVENTS, [(run_id, time.time_ns(), None, None, status, None, now)])
+
+    def log_params(self, run_id: str, params: dict[str, Any]) -> None:
+        self._append("params", PARAMS, [(run_id, k, str(v), time.time_ns()) for k, v in params.items()])
+
+    def log_metrics(self, run_id: str, metrics: dict[str, float], step: int = 0) -> None:
+        self._append("history", HISTORY, [(run_id, k, float(v), step, time.time_ns()) for k, v in metrics.items()])
+
+    def history(self) -> DataFrame:
+        return self._read("history", HISTORY)
+
+    def runs(self) -> DataFrame:
+        """Runs with the last value of each metric and parameter."""
+        metrics = metric_history_latest(self.history()).groupBy("run_id").agg(
+            F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("metrics")
+        )
+        params = self._read("params", PARAMS).groupBy("run_id", "key").agg(F.max_by("value", "seq").alias("value"))
+        params = params.groupBy("run_id").agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("params"))
+        return runs_latest(self._read("events", RUN_EVENTS)).join(metrics, "run_id", "left").join(params, "run_id", "left")
+
+    def register_model(self, name: str, run_id: str, source: str) -> int:
+        """Append the next version of a model and return its number."""
+        taken = self.versions().filter(F.col("name") == name).agg(F.max("version")).first()[0] or 0
+        self._append(
+            "versions", VERSIONS, [(name, taken + 1, run_id, source, datetime.datetime.now(datetime.timezone.utc))]
+        )
+        return taken + 1
+
+    def versions(self) -> DataFrame:
+        return self._read("versions", VERSIONS)

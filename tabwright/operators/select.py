@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.schema import quoted
 from tabwright.operators.order import exact_quantiles
+from tabwright.session import written
 
 BATCH = 64
+LABEL_BINS = 10  # of a numeric label
 
 
 def _batches(features: Sequence[str]) -> list[list[tuple[int, str]]]:
@@ -88,36 +90,55 @@ def f_regression(df: DataFrame, features: Sequence[str], label: str) -> DataFram
     return reduce(DataFrame.unionByName, parts).select("feature", "pos", score.alias("f_score"))
 
 
+def _bins(c: Column, cuts: Sequence[float]) -> Column:
+    """Number of cuts below a value; -1 where it is missing."""
+    above = F.lit(0)
+    for cut in cuts:
+        above = above + (c > cut).cast("int")
+    return F.when(c.isNotNull(), above).otherwise(-1)
+
+
 def mutual_information(
-    df: DataFrame, features: Sequence[str], label: str, bins: int = 10
+    df: DataFrame, features: Sequence[str], label: str, bins: int = 10, label_bins: int | None = None
 ) -> DataFrame:
     """(feature, pos, mi): mutual information of label and feature in quantile bins.
 
     Bin edges are exact quantiles of each feature, so the score is repeatable.
+    ``label_bins`` cuts a numeric label the same way; without it every label is
+    a class, and the joint table has bins times classes rows per feature.
     """
-    probs = [k / bins for k in range(1, bins)]
-    edges, _ = exact_quantiles(df, features, probs, interpolate=False)
-    parts = []
-    for pos, name in enumerate(features):
-        cuts = sorted({edges[(name, p)] for p in probs if edges[(name, p)] is not None})
-        c = F.col(quoted(name)).cast("double")
-        bin_no = F.size(F.filter(F.array(*[F.lit(x) for x in cuts]), lambda e: c > e)) if cuts else F.lit(0)
-        parts.append(
-            df.select(F.when(c.isNotNull(), bin_no).alias("bin"), F.col(quoted(label)).alias("label"))
-            .groupBy("bin", "label")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select(F.lit(name).alias("feature"), F.lit(pos).alias("pos"), "bin", "label", "n")
-        )
-    joint = reduce(DataFrame.unionByName, parts)  # bins x labels rows per feature
-    total = F.sum("n").over(Window.partitionBy("pos"))
-    by_bin = F.sum("n").over(Window.partitionBy("pos", "bin"))
-    by_label = F.sum("n").over(Window.partitionBy("pos", "label"))
+    cut = {name: bins for name in features} | ({label: label_bins} if label_bins else {})
+    probs = {name: [k / n for k in range(1, n)] for name, n in cut.items()}
+    cuts: dict[str, list[float]] = {}
+    for n in sorted(set(cut.values())):
+        names = [name for name in cut if cut[name] == n]
+        edges, _ = exact_quantiles(df, names, probs[names[0]], interpolate=False)
+        cuts |= {c: sorted({edges[(c, p)] for p in probs[c] if edges[(c, p)] is not None}) for c in names}
+    value = F.col(quoted(label))
+    marked = df.withColumn("_label", _bins(value.cast("double"), cuts[label]) if label_bins else value)
+    joint = written(
+        reduce(
+            DataFrame.unionByName,
+            [
+                marked.select(_bins(F.col(quoted(name)).cast("double"), cuts[name]).alias("bin"), "_label")
+                .groupBy("bin", "_label")
+                .agg(F.count(F.lit(1)).alias("n"))
+                .select(F.lit(name).alias("feature"), F.lit(pos).alias("pos"), "bin", F.col("_label").alias("label"), "n")
+                for pos, name in enumerate(features)
+            ],
+        ),
+        "joint-counts",
+    )
+    by_bin = joint.groupBy("pos", "bin").agg(F.sum("n").alias("n_bin"))
+    # every feature has the same rows, so the first one tells the labels
+    by_label = joint.filter("pos = 0").groupBy(F.col("label").alias("own")).agg(F.sum("n").alias("n_label"))
+    total = by_label.agg(F.sum("n_label")).first()[0] or 0
+    n, expected = F.col("n"), F.col("n_bin") * F.col("n_label") / F.lit(float(total))
     return (
-        joint.select(
-            "feature", "pos", (F.col("n") / total).alias("p"), (by_bin * by_label / total).alias("expected"), "n"
-        )
+        joint.join(F.broadcast(by_bin), ["pos", "bin"])  # bins of each feature
+        .join(by_label, F.col("label").eqNullSafe(F.col("own")))
         .groupBy("feature", "pos")
-        .agg(F.sum(F.col("p") * F.log(F.col("n") / F.col("expected"))).alias("mi"))
+        .agg(F.sum(n / F.lit(float(total)) * F.log(n / expected)).alias("mi"))
     )
 
 
@@ -138,7 +159,8 @@ def select_k_best(
     elif method == "f_classif":
         scores = anova_f(df, features, label).withColumnRenamed("f_score", "score")
     elif method == "mutual_info":
-        scores = mutual_information(df, features, label).withColumnRenamed("mi", "score")
+        label_bins = LABEL_BINS if task == "regression" else None
+        scores = mutual_information(df, features, label, label_bins=label_bins).withColumnRenamed("mi", "score")
     else:
         raise ValueError(f"unknown method {method!r}")
     keep = min(k or len(features), len(features))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pathlib
+import shutil
 import tempfile
 import uuid
 
@@ -55,3 +57,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to all executors, for a driver that was started from another folder.
+
+    Not needed where executors have the package on their path.
+    """
+    folder = pathlib.Path(__file__).resolve().parent
+    target = pathlib.Path(tempfile.mkdtemp()) / folder.name
+    spark.sparkContext.addPyFile(shutil.make_archive(str(target), "zip", folder.parent, folder.name))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +21,28 @@ def watch(spark: SparkSession, path: str, experiment_id: str | None = None) -> D
     )
 
 
+def follow(log: DataFrame, path: str, checkpoint: str, seconds: float = 2.0) -> None:
+    """Append the log to a folder until an end state has come in."""
+    ended = threading.Event()
+
+    def batch(rows: DataFrame, _: int) -> None:
+        rows.persist()  # written and looked through
+        rows.write.mode("append").parquet(path)
+        if not rows.filter("ended").isEmpty():
+            ended.set()
+        rows.unpersist()
+
+    writer = log.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    query = writer.trigger(processingTime=f"{seconds} seconds").start()
+    try:
+        while query.isActive and not ended.wait(0.2):
+            pass
+    finally:
+        query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def write_log(log: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Append the log to a folder; ``once`` stops when what is there has been read."""
     writer = log.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)

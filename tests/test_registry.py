@@ -2,7 +2,7 @@
 
 import pytest
 from tabwright.operators import registry as G
-from tabwright.streaming.registry_log import watch, write_log
+from tabwright.streaming.registry_log import follow, watch, write_log
 
 
 @pytest.fixture
@@ -98,3 +98,48 @@ def test_same_name_twice_in_one_batch(spark):
     current = spark.createDataFrame([("i0", "taken")], "id string, name string")
     asked = spark.createDataFrame([("i1", "new", 2), ("i2", "new", 1), ("i3", "taken", 3)], "id string, name string, seq long")
     assert [(r["name"], r["id"]) for r in G.create_events(current, asked).collect()] == [("new", "i2")]
+
+
+def test_update_clears_a_field_and_compacts(spark, registry, sample, folder):
+    registry.fail(sample["id"], "boom")
+    assert registry.update(sample["id"], error=None, status="running")["error"] is None
+    packed = registry.compact(f"{folder}/packed")
+    assert packed.get(sample["id"])["status"] == "running" and packed.get(sample["id"])["error"] is None
+
+
+def test_follow_stops_at_an_end_state(spark, registry, sample, folder):
+    registry.complete(sample["id"], {"accuracy": 1.0})
+    follow(watch(spark, registry.path, sample["id"]), f"{folder}/log", f"{folder}/state", 0.5)
+    assert spark.read.parquet(f"{folder}/log").filter("ended").count() == 1
+
+
+def test_datasets_by_name(spark, sf_dir, folder):
+    from tabwright.sources import catalog as C
+
+    region = spark.read.parquet(f"{sf_dir}/region.parquet")
+    C.upload(region, folder, "mine")
+    region.write.parquet(f"{folder}/plain.parquet")
+    assert C.dataset_names(spark, folder) == ["mine", "plain"]
+    assert C.open_dataset(spark, folder, "mine").count() == C.open_dataset(spark, folder, "plain").count() == 5
+    with pytest.raises(ValueError):
+        C.open_dataset(spark, folder, "other")
+    assert {r["dataset"]: r["n_rows"] for r in C.folder_catalog(spark, folder).collect()} == {"mine": 5, "plain": 5}
+    assert "lineitem" in C.dataset_names(spark, sf_dir)
+
+
+def test_tracking_writers(spark, folder):
+    from tabwright.operators.runs import Tracking, best_run
+
+    tracking = Tracking(spark, folder)
+    first = tracking.start_run("toy", "one")
+    tracking.log_params(first, {"depth": 3})
+    tracking.log_metrics(first, {"accuracy": 0.5}, step=1)
+    tracking.log_metrics(first, {"accuracy": 0.75, "loss": 1.0}, step=2)
+    tracking.end_run(first)
+    second = tracking.start_run("toy")
+    row = {r["run_id"]: r for r in tracking.runs().collect()}
+    assert row[first]["status"] == "FINISHED" and row[first]["metrics"] == {"accuracy": 0.75, "loss": 1.0}
+    assert row[first]["params"] == {"depth": "3"} and row[first]["end_time"] is not None
+    assert row[second]["status"] == "RUNNING" and row[second]["metrics"] is None
+    assert best_run(tracking.runs(), "toy").first()["run_id"] == first
+    assert [tracking.register_model("m", first, "path"), tracking.register_model("m", second, "path")] == [1, 2]
