@@ -1,16 +1,17 @@
 """Near-duplicate vectors through a forest of random projection trees.
 
 Equal vectors are one class. Every tree splits a node along a random direction
-at the median of a sample; vectors within a band around the cut go to both
-sides. Nodes of at most ``LEAF`` classes are leaves: their members are compared
-by cosine in double precision, verified against the threshold and united. A pair
-counts in the smallest leaf that its classes share, so trees add up without
-gathering pairs, and a leaf answers with a row per class.
-
-Splits are fitted in rounds on at most about ``SAMPLE`` sampled vectors a round, so what is
-sent to the tasks has a fixed bound; nodes that are still too large go through
-another round. A node that does not get smaller (its vectors are too much
-alike) is compared tile by tile.
+at the median; vectors within a band around the cut go to both sides. Nodes of
+at most ``LEAF`` classes are leaves: their members are compared by cosine in
+double precision, verified against the threshold and united. A pair counts in
+the smallest leaf that its classes share, so trees add up without gathering
+pairs, and a leaf answers with a row per class.
+
+The upper levels of all trees are fitted on one bounded sample of ``SAMPLE``
+vectors, about, and sent to the tasks. A node of at most ``NODE`` vectors is then
+finished by one task; a larger one is split level by level at the median of an
+aggregate. A node that hardly shrinks (its vectors are too much alike) is
+compared tile by tile.
 
 Decisions: a vector that is missing, empty, zero, or holds a missing or
 non-finite component links with nothing; vectors of different length never
@@ -33,12 +34,12 @@ from tabwright.session import written
 THRESHOLD = 0.9
 TREES = 12
 LEAF = 256
-SPILL = 0.08  # half width of the band around a cut, for vectors of length one
-SAMPLE = 100_000  # sampled rows of a round
-LEAST_SAMPLE = 64  # sampled rows of a node from which a split is fitted
-LEVELS = 6  # splits of a node in one round
-ROUNDS = 40
-SHRINK = 0.95  # a node whose parts all hold more than this share is compared as it is
+SPILL = 0.02  # half width of the band around a cut, for vectors of length one
+SAMPLE = 50_000  # vectors that the upper levels are fitted on, about
+NODE = 20_000  # vectors of a node that one task splits to its leaves
+LEAST = 64  # vectors from which a cut is fitted
+LEVELS = 40
+SHRINK = 0.9  # a node of which both parts hold more than this share is compared as it is
 
 
 def direction(node: int, size: int):
@@ -61,7 +62,7 @@ def fit_cuts(node: int, vectors, levels: int, expected: float, leaf: int, cuts:
     """Add the cut of a node and its parts; ``expected`` is how many rows of the table the node holds."""
     import numpy as np
 
-    if not levels or len(vectors) < LEAST_SAMPLE or expected <= leaf:
+    if not levels or len(vectors) < min(LEAST, 2 * leaf) or expected <= leaf:
         return
     along = vectors @ direction(node, vectors.shape[1])
     cut = float(np.median(along))
@@ -90,99 +91,124 @@ def _stacked(column):
     return values.reshape(len(flat), -1)
 
 
-def _route(handle):
-    """Send each row (path, node, vector) down the cuts of its node."""
+def routed(vectors, start: int, cuts: dict[int, float]) -> list[tuple[int, object]]:
+    """Leaves below a node, each with the rows of ``vectors`` that reach it."""
+    import numpy as np
 
-    def kernel(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
+    out, work = [], [(start, np.arange(len(vectors)))]
+    while work:
+        node, rows = work.pop()
+        if node not in cuts:
+            out.append((node, rows))
+            continue
+        along = vectors[rows] @ direction(node, vectors.shape[1])
+        for side, part in ((0, along <= cuts[node] + SPILL), (1, along >= cuts[node] - SPILL)):
+            if part.any():
+                work.append((child(node, side), rows[part]))
+    return out
+
+
+def _placed(found: list, nodes):
+    """Rows (path, node) of routed rows."""
+    import numpy as np
+    import pyarrow as pa
+
+    paths = np.concatenate([np.full(len(rows), path, np.int64) for path, rows in found])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(paths), nodes.take(pa.array(np.concatenate([rows for _, rows in found])))], names=["path", "node"]
+    )
 
-        cuts = handle.value
+
+def _route(handle, trees: int):
+    """Send each vector down the upper levels of all trees."""
+
+    def kernel(batches: Iterator) -> Iterator:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors, paths = unit(_stacked(batch["vector"])), batch["path"].to_numpy()
-            rows_out, paths_out = [], []
-            order = np.argsort(paths, kind="stable")
-            ends = np.flatnonzero(np.diff(paths[order])) + 1
-            work = [(int(paths[part[0]]), part) for part in np.split(order, ends)]
-            while work:
-                node, rows = work.pop()
-                if node not in cuts:
-                    rows_out.append(rows)
-                    paths_out.append(np.full(len(rows), node, np.int64))
-                    continue
-                along = vectors[rows] @ direction(node, vectors.shape[1])
-                for side, part in ((0, along <= cuts[node] + SPILL), (1, along >= cuts[node] - SPILL)):
-                    if part.any():
-                        work.append((child(node, side), rows[part]))
-            at = pa.array(np.concatenate(rows_out))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(paths_out)), batch["node"].take(at), batch["vector"].take(at)],
-                names=["path", "node", "vector"],
-            )
+            if batch.num_rows:
+                vectors = unit(_stacked(batch["vector"]))
+                found = [leaf for tree in range(1, trees + 1) for leaf in routed(vectors, tree, handle.value)]
+                yield _placed(found, batch["node"])
 
     return kernel
 
 
-def leaves(classes: DataFrame, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE) -> DataFrame:
+def _finish(leaf: int):
+    """Split whole nodes to their leaves; rows come sorted by path."""
+
+    def kernel(batches: Iterator) -> Iterator:
+        for table in groups(batches, ["path"]):
+            vectors, path = unit(_stacked(table["vector"])), table["path"][0].as_py()
+            cuts: dict[int, float] = {}
+            fit_cuts(path, vectors, LEVELS, float(len(vectors)), leaf, cuts)
+            yield _placed(routed(vectors, path, cuts), table["node"].combine_chunks())
+
+    return kernel
+
+
+def _project(batches: Iterator) -> Iterator:
+    """Place of each vector along the direction of its node; rows come sorted by path."""
+    import pyarrow as pa
+
+    for table in groups(batches, ["path"]):
+        vectors = unit(_stacked(table["vector"]))
+        along = vectors @ direction(table["path"][0].as_py(), vectors.shape[1])
+        yield pa.RecordBatch.from_arrays(
+            [table["path"].combine_chunks(), table["node"].combine_chunks(), pa.array(along)], names=["path", "node", "along"]
+        )
+
+
+def leaves(classes: DataFrame, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, node: int = NODE) -> DataFrame:
     """Rows (path, node, m): every class (node, vector) in its leaves of every tree, m classes in a leaf."""
     spark = classes.sparkSession
-    kind = classes.schema["vector"].dataType.simpleString()
-    open_ = classes.withColumn("path", F.explode(F.array(*[F.lit(t + 1).cast("long") for t in range(trees)])))
-    open_ = open_.select("path", "node", "vector")
-    done, seen = [], None
-    for turn in range(ROUNDS):
-        open_ = written(open_, "forest-open")
-        sizes = open_.groupBy("path").agg(F.count(F.lit(1)).alias("m"))
-        if seen is not None:  # nodes that the last round left as they were are compared as they are
-            sizes = sizes.join(seen, "path", "left")
-        else:
-            sizes = sizes.withColumn("was", F.lit(None).cast("long"))
-        sizes = written(sizes, "forest-sizes")
-        stuck = F.coalesce(F.col("m") == F.col("was"), F.lit(False))
-        sized = open_.join(sizes, "path")
-        done.append(sized.filter((F.col("m") <= leaf) | stuck).select("path", "node", "m"))
-        large = sizes.filter((F.col("m") > leaf) & ~stuck)
-        total = large.agg(F.sum("m")).first()[0] or 0
-        if not total:
+    total = classes.count()
+    draw = F.pmod(F.xxhash64("node", F.lit("forest")), F.lit(1 << 30))
+    drawn = classes.filter(draw < int(min(1.0, sample / max(total, 1)) * (1 << 30))).select("vector").toArrow()
+    cuts: dict[int, float] = {}
+    if drawn.num_rows:
+        vectors = unit(_stacked(drawn["vector"]))
+        for tree in range(1, trees + 1):
+            fit_cuts(tree, vectors, LEVELS, float(total), leaf, cuts)
+    handle = spark.sparkContext.broadcast(cuts)  # fewer cuts than sampled vectors
+    placed = classes.select("node", "vector").mapInArrow(_route(handle, trees), "path long, node binary")
+    placed = placed.withColumn("was", F.lit(None).cast("long"))
+    done = []
+    while True:
+        placed = written(placed, "forest-open")
+        sizes = placed.groupBy("path").agg(F.count(F.lit(1)).alias("m"), F.max("was").alias("was"))
+        sizes = written(sizes.withColumn("ready", (F.col("m") <= leaf) | F.coalesce(F.col("m") > SHRINK * F.col("was"), F.lit(False))), "forest-sizes")
+        done.append(placed.select("path", "node").join(sizes.filter("ready").select("path", "m"), "path"))
+        middle = sizes.filter(~F.col("ready") & (F.col("m") <= node)).select("path")
+        large = sizes.filter(~F.col("ready") & (F.col("m") > node)).select("path", "m")
+        if not middle.isEmpty():
+            rows = placed.select("path", "node").join(middle, "path", "left_semi").join(classes, "node")
+            parts = written(
+                rows.select("path", "node", "vector")
+                .repartition(F.col("path"))
+                .sortWithinPartitions("path")
+                .mapInArrow(_finish(leaf), "path long, node binary"),
+                "forest-finished",
+            )
+            done.append(parts.join(parts.groupBy("path").agg(F.count(F.lit(1)).alias("m")), "path"))
+        if large.isEmpty():
             break
-        rows = sized.join(large.select("path"), "path", "left_semi")
-        share = min(1.0, sample / total)
-        # at least LEAST_SAMPLE rows of a node where that keeps the sample within its bound
-        draw = F.pmod(F.xxhash64("path", "node", F.lit(turn)), F.lit(1 << 30))
-        nodes = large.count()
-        wanted = F.lit(share)
-        if nodes * 4 * LEAST_SAMPLE <= sample:
-            wanted = F.greatest(wanted, F.lit(4.0 * LEAST_SAMPLE) / F.col("m"))
-        drawn = rows.filter(draw < wanted * (1 << 30)).select("path", "m", "vector").toArrow()  # about ``sample`` rows
-        cuts = _fit(drawn, leaf)
-        handle = spark.sparkContext.broadcast(cuts)
-        if share < 1 and nodes * 4 * LEAST_SAMPLE > sample:
-            seen = None  # a node without enough sampled rows gets another turn
-        else:
-            seen = large.select("path", F.col("m").alias("was"))
-        open_ = rows.select("path", "node", "vector").mapInArrow(_route(handle), f"path long, node binary, vector {kind}")
-    else:
-        done.append(open_.join(open_.groupBy("path").agg(F.count(F.lit(1)).alias("m")), "path").select("path", "node", "m"))
+        rows = placed.select("path", "node").join(large.select("path"), "path", "left_semi").join(classes, "node")
+        along = written(
+            rows.select("path", "node", "vector").sortWithinPartitions("path").mapInArrow(_project, "path long, node binary, along double"),
+            "forest-along",
+        )
+        medians = along.groupBy("path").agg(F.percentile_approx("along", 0.5, 1000).alias("cut")).join(large, "path")
+        sides = F.array(
+            F.when(F.col("along") <= F.col("cut") + SPILL, F.lit(0)), F.when(F.col("along") >= F.col("cut") - SPILL, F.lit(1))
+        )
+        placed = (
+            along.join(medians, "path")
+            .withColumn("side", F.explode(F.array_compact(sides)))
+            .select(F.shiftrightunsigned(F.xxhash64("path", "side"), 1).alias("path"), "node", F.col("m").alias("was"))
+        )
     every = done[0]
     for more in done[1:]:
         every = every.unionByName(more)
-    return every.filter("m > 1")
-
-
-def _fit(drawn, leaf: int) -> dict[int, float]:
-    import numpy as np
-
-    cuts: dict[int, float] = {}
-    if not drawn.num_rows:
-        return cuts
-    paths, sizes = drawn["path"].to_numpy(), drawn["m"].to_numpy()
-    vectors = unit(_stacked(drawn["vector"]))
-    order = np.argsort(paths, kind="stable")
-    for part in np.split(order, np.flatnonzero(np.diff(paths[order])) + 1):
-        fit_cuts(int(paths[part[0]]), vectors[part], LEVELS, float(sizes[part[0]]), leaf, cuts)
-    return cuts
+    return every.filter("m > 1").select("path", "node", "m")
 
 
 def _compare(threshold: float):
@@ -218,9 +244,12 @@ def near_duplicates(
     threshold: float = THRESHOLD,
     trees: int = TREES,
     leaf: int = LEAF,
+    node: int = NODE,
 ) -> DataFrame:
     """One row per row of ``vectors``: key, n_links, component_id, kept."""
-    rows = vectors.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"))
+    rows = vectors.select(F.col(key).alias("key"), F.col(vector).alias("vector"))
+    if rows.schema["vector"].dataType.elementType.simpleString() not in ("float", "double"):
+        rows = rows.withColumn("vector", F.col("vector").cast("array<double>"))
     usable = (
         F.col("vector").isNotNull()
         & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
@@ -240,7 +269,7 @@ def near_duplicates(
     results = []
     for size in lengths:
         own = classes.filter(F.col("size") == size)
-        members = written(leaves(own.select("node", "vector"), trees, leaf), "forest-leaves")
+        members = written(leaves(own.select("node", "vector"), trees, leaf, node=node), "forest-leaves")
         lists = members.groupBy("node").agg(F.sort_array(F.collect_list("path")).alias("leaves"))
         full = members.join(lists, "node").join(own.select("node", "vector", "copies"), "node")
         results.append(link_nodes(full, _compare(threshold), "binary", "forest"))

@@ -139,7 +139,7 @@ def brute_vectors(rows, threshold=0.9):
     )
 
 
-def test_vectors_equal_brute_force(spark):
+def test_vectors_equal_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(7)
     base = rng.standard_normal((60, 16))
     rows = [(i, [float(x) for x in base[i % 60] + rng.standard_normal(16) * 0.12]) for i in range(240)]
@@ -149,8 +149,10 @@ def test_vectors_equal_brute_force(spark):
         [(k, v, "x") for k, v in rows], "vec_id long, embedding array<double>, node string"
     )
     want = brute_vectors(rows)
-    for leaf in (256, 20):
-        got = sorted((low(r.vec_id), r.n_links, low(r.component_id)) for r in embed_forest.near_duplicates(table, leaf=leaf).collect())
+    for leaf, node, sample in ((256, 20_000, 50_000), (20, 20_000, 50_000), (20, 50, 10)):
+        monkeypatch.setattr(embed_forest.leaves, "__defaults__", (embed_forest.TREES, leaf, sample, node))
+        found = embed_forest.near_duplicates(table, leaf=leaf, node=node)
+        got = sorted((low(r.vec_id), r.n_links, low(r.component_id)) for r in found.collect())
         found, all_links = sum(g[1] for g in got), sum(w[1] for w in want)
         assert all(g[1] <= w[1] for g, w in zip(got, want))
         assert found >= 0.97 * all_links
