@@ -16,6 +16,7 @@ import re
 from array import array
 
 CACHE_UNITS = 250_000  # of each of two generations
+PLAIN_MARKS = (".", ",", ";", ":", "!", "?")
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed by the file format
 _CERTAIN = re.compile(r"(?<=\S) (?=\S)")
 _RUN = re.compile(r"\s\s")
@@ -48,6 +49,7 @@ class UnitEncoder:
         self.special = re.compile("|".join(map(re.escape, special)) if special else r"(?!)").search
         self.findall = regex.compile(PATTERN).findall
         self.letters = byte_letters()
+        self.marks = {c: self._piece(c) for c in PLAIN_MARKS if c}
         self.cache_units = cache_units
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -59,26 +61,42 @@ class UnitEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        if piece.isascii() and piece.isprintable():
+            spelled = piece.replace(" ", self.letters[0x20])
+        else:
+            spelled = piece.encode().decode("latin-1").translate(self.letters)
         return array(self.code, [t.id for t in self.tokenize(spelled)]).tobytes()
 
     def _learn(self, units: set[str]) -> None:
-        older, pieces = self.older, self.pieces
+        older, pieces, cache = self.older, self.pieces, self.cache
         known = units.intersection(older)
-        self.cache.update((u, older[u]) for u in known)
+        cache.update((u, older[u]) for u in known)
         if len(pieces) > self.cache_units:
             pieces.clear()
-        for unit in units - known:
+        tokenize, code, space = self.tokenize, self.code, self.letters[0x20]
+        for unit in units - known if known else units:
+            if unit.isalpha():  # one pre-token with the space before it
+                if unit.isascii():
+                    cache[unit] = array(code, [t.id for t in tokenize(space + unit)]).tobytes()
+                else:
+                    cache[unit] = self._piece(" " + unit)
+                continue
+            head = unit[:-1]
+            if unit[-1:] in PLAIN_MARKS and head.isalpha():  # a word and a mark
+                ids = cache.get(head) or older.get(head) or self._piece(" " + head)
+                cache[head] = ids
+                cache[unit] = ids + self.marks[unit[-1]]
+                continue
             text = unit if unit[:1] == "\n" else " " + unit
             if self.special(text):
-                self.cache[unit] = self.whole(text)
+                cache[unit] = self.whole(text)
                 continue
             ids = []
             for piece in self.findall(text):
                 if piece not in pieces:
                     pieces[piece] = self._piece(piece)
                 ids.append(pieces[piece])
-            self.cache[unit] = b"".join(ids)
+            cache[unit] = b"".join(ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian integers of ``dtype``."""
@@ -95,18 +113,17 @@ class UnitEncoder:
                 cut.append((None, units))
         if len(self.cache) > self.cache_units:
             self.older, self.cache = self.cache, {}
-        missing: set[str] = set()
-        for _, units in cut:
-            missing.update(units)
-        missing.difference_update(self.cache)
-        self._learn(missing)
-        known = self.cache.__getitem__
-        width = self.dtype.itemsize
-        out = []
-        for first, units in cut:
-            ids = b"".join(map(known, units))
-            out.append(ids[width:] if first is None else first + ids)  # without the break put before the text
-        return out
+        known, width = self.cache.get, self.dtype.itemsize
+        found = [list(map(known, units)) for _, units in cut]
+        lacking = [i for i, ids in enumerate(found) if None in ids]
+        if lacking:
+            self._learn({u for i in lacking for u, ids in zip(cut[i][1], found[i]) if ids is None})
+            for i in lacking:
+                found[i] = map(known, cut[i][1])
+        # without the break put before the text
+        return [
+            b"".join(ids)[width:] if first is None else first + b"".join(ids) for (first, _), ids in zip(cut, found)
+        ]
 
 
 def opened(path: str) -> UnitEncoder:
