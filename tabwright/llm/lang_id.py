@@ -33,6 +33,7 @@ SAMPLE_DOCS = 1_500  # learning documents of each language, about
 CALIBRATION_SHARE = 4  # one in so many of them calibrates
 ORDER = 4
 SLICE_BYTES = 1 << 20
+FIT_CHARS = 1 << 20  # characters counted at once while learning
 UNKNOWN = "und"
 ROOM = 1.5  # times the largest deviation of the calibration documents
 SURE_CHARS = 200  # characters beyond which a text gets no more room
@@ -166,6 +167,33 @@ def found(sorted_keys, keys):
     return row, sorted_keys[row] == keys
 
 
+def distinct_grams(texts: list[str]):
+    """For each distinct gram of the full order its shorter endings, their contexts, and how often it occurs.
+
+    Texts are taken a few at a time, so only distinct grams are held.
+    """
+    import numpy as np
+
+    parts, start = [], 0
+    while start < len(texts):
+        end, size = start, 0
+        while end < len(texts) and (end == start or size + len(texts[end]) <= FIT_CHARS):
+            size += len(texts[end])
+            end += 1
+        codes, starts = coded(texts[start:end])
+        columns = [gram_keys(codes, starts, n) for n in range(1, ORDER + 1)]
+        _, first, count = np.unique(columns[-1], return_index=True, return_counts=True)
+        columns = [c[first] for c in columns]
+        columns += [context_keys(codes, starts, n)[first] for n in range(1, ORDER + 1)]
+        parts.append((columns, count))
+        start = end
+    columns = [np.concatenate([c[i] for c, _ in parts]) for i in range(2 * ORDER)]
+    _, first, inverse = np.unique(columns[ORDER - 1], return_index=True, return_inverse=True)
+    count = np.bincount(inverse, weights=np.concatenate([n for _, n in parts]))
+    columns = [c[first] for c in columns]
+    return columns[:ORDER], columns[ORDER:], count
+
+
 def fit_models(texts: dict[str, list[str]]) -> Models:
     """Interpolated Kneser-Ney models, one per language, finished for all grams that any of them has seen."""
     import numpy as np
@@ -173,21 +201,18 @@ def fit_models(texts: dict[str, list[str]]) -> Models:
     languages = sorted(texts)
     seen: list[list] = [[] for _ in range(ORDER)]
     for language in languages:
-        codes, starts = coded(texts[language])
-        columns = [(gram_keys(codes, starts, n), context_keys(codes, starts, n)) for n in range(1, ORDER + 1)]
-        higher = None
+        grams_of, contexts_of, held = distinct_grams(texts[language])
+        at = np.arange(len(held))
         for n in range(ORDER, 0, -1):
-            gram, context = columns[n - 1]
-            # shorter is the gram without its first character
-            shorter = columns[n - 2][0] if n > 1 else np.zeros(len(gram), np.uint64)
-            if higher is None:
-                key, first, count = np.unique(gram, return_index=True, return_counts=True)
+            gram = grams_of[n - 1][at]
+            if n == ORDER:
+                first, count = at, held
             else:
                 # continuation count: distinct longer grams that end in this one
-                key, first, count = np.unique(higher, return_index=True, return_counts=True)
-                first = higher_first[first]
-            seen[n - 1].append((key, context[first], shorter[first], count.astype(np.float64)))
-            higher, higher_first = shorter[first], first
+                gram, first, count = np.unique(gram, return_index=True, return_counts=True)
+            at = at[first]
+            shorter = grams_of[n - 2][at] if n > 1 else np.zeros(len(at), np.uint64)
+            seen[n - 1].append((gram, contexts_of[n - 1][at], shorter, count.astype(np.float64)))
     alphabet = len(np.unique(np.concatenate([s[0] for s in seen[0]]))) if seen[0] else 1
     floor = float(-np.log(alphabet + 1))
     grams, probs, contexts, masses = [], [], [], []
@@ -235,7 +260,8 @@ def calibrate(models: Models, texts: dict[str, list[str]]) -> Models:
         own = [t for t in texts.get(language, []) if any(c.isalpha() for c in t)]
         if not own:
             continue
-        ce, n, _ = models.entropies(own)
+        parts = [models.entropies(own[i : i + 50])[:2] for i in range(0, len(own), 50)]
+        ce, n = (np.concatenate(x) for x in zip(*parts))
         models.mean[j] = np.median(ce[:, j])
         off = (ce[:, j] - models.mean[j]) * np.sqrt(np.minimum(n, SURE_CHARS))
         models.limit[j] = ROOM * max(off.max(), 1.0) + 1.0
