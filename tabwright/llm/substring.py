@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tabwright.llm.common import finished, groups, slices, text_of, word_hashes
 from tabwright.operators.order import hot_key_join
@@ -37,7 +38,9 @@ from tabwright.session import written
 
 WINDOW = 13
 GRAM = 5
-HOT = 4_000  # segments of an anchor that one automaton takes
+HOT = 20_000  # segments of an anchor that one automaton takes: about 200 MB if all differ
+DRAWN = 64  # one text in so many tells which anchors crowd
+CROWDED = 10_000
 SLICE_BYTES = 1 << 20
 
 
@@ -217,19 +220,18 @@ def _stream(window: int):
                 end = i
                 while end < len(keys) and keys[end] == keys[i]:
                     end += 1
-                new = []
+                new: dict[bytes, list] = {}  # what of each segment has been seen
                 for j in range(i, end):
                     if words[j] in seen:
                         out.append((keys[j], tags[j], starts[j], starts[j] + len(words[j]) // 8))
                         continue
-                    new.append(words[j])
-                    if seen:
+                    if words[j] not in new:
                         for w in waiting:
                             automaton.add(np.frombuffer(w, np.int64).tolist())
                         waiting = []
-                        for a, b in automaton.matches(np.frombuffer(words[j], np.int64).tolist(), window):
-                            out.append((keys[j], tags[j], starts[j] + a, starts[j] + b))
-                new = [w for w in dict.fromkeys(new) if w not in seen]
+                        run = np.frombuffer(words[j], np.int64).tolist()
+                        new[words[j]] = automaton.matches(run, window) if seen else []
+                    out += [(keys[j], tags[j], starts[j] + a, starts[j] + b) for a, b in new[words[j]]]
                 seen.update(new)
                 waiting += new
                 i = end
@@ -298,6 +300,33 @@ def removed_ranges(candidates: DataFrame, window: int = WINDOW, gram: int = GRAM
     return ranges.unionByName(later.select("key", "tag", "start", (F.col("start") + window).alias("end")))
 
 
+def shared_anchors(loose: DataFrame) -> DataFrame:
+    """The rows (tag, anchor) whose anchor has another tag too, each at least once.
+
+    One shuffle: sorted by anchor and tag, a row tells by its neighbours. Anchors
+    that would crowd a task, those with a ``CROWDED``-th of a sample's rows, are
+    fewer than ``CROWDED`` and are picked out by a broadcast instead; two tags of
+    them have been seen in the sample, so the result is the same.
+    """
+    drawn = loose.filter(F.pmod("tag", F.lit(DRAWN)) == 0)
+    total = drawn.count()
+    crowded = (
+        drawn.groupBy("anchor")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("tag").alias("a"), F.max("tag").alias("b"))
+        .filter((F.col("n") * CROWDED > total) & (F.col("a") != F.col("b")))
+        .select("anchor")
+    )
+    crowded = F.broadcast(written(crowded, "passage-crowded"))
+    by_anchor = Window.partitionBy("anchor").orderBy("tag")
+    rest = (
+        loose.join(crowded, "anchor", "left_anti")
+        .withColumn("before", F.lag("tag").over(by_anchor))
+        .withColumn("after", F.lead("tag").over(by_anchor))
+        .filter((F.col("before") != F.col("tag")) | (F.col("after") != F.col("tag")))
+    )
+    return rest.select("tag", "anchor").unionByName(loose.join(crowded, "anchor", "left_semi").select("tag", "anchor"))
+
+
 def remove_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM, hot: int = HOT
 ) -> tuple[DataFrame, DataFrame]:
@@ -322,16 +351,11 @@ def remove_repeats(
     )
     first = owners.select("tid", F.col("owner").alias("key"))
     loose = described.filter(F.col("key").isNotNull()).select(
-        "key", "tid", F.xxhash64("tid").alias("tag"), F.explode("anchors").alias("anchor")
-    )
-    shared = loose.groupBy("anchor").agg(F.min("tag").alias("a"), F.max("tag").alias("b")).filter("a != b").select("anchor")
-    candidates = (
-        loose.select("key", "tag", "anchor")
-        .join(shared, "anchor", "left_semi")
-        .groupBy("key", "tag")
-        .agg(F.collect_set("anchor").alias("shared"))  # no more than the document has words
+        F.xxhash64("tid").alias("tag"), F.explode("anchors").alias("anchor")
     )
-    chosen = first.withColumn("tag", F.xxhash64("tid")).join(candidates, ["key", "tag"])
+    shared = shared_anchors(loose)
+    candidates = shared.groupBy("tag").agg(F.collect_set("anchor").alias("shared"))  # no more than the text has words
+    chosen = first.withColumn("tag", F.xxhash64("tid")).join(candidates, "tag")
     texts = written(
         rows.join(chosen, ["key", "tid"]).dropDuplicates(["key", "tid"]).select("key", "tid", "tag", "_text", "shared"), "passage-texts"
     )
