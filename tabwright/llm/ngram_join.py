@@ -339,6 +339,8 @@ def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """The rows that stay, one of each group of near copies, with all columns."""
     found = written(join(docs, key, text).filter("kept").groupBy(F.col(key).alias("_llm_key")).agg(F.count(F.lit(1)).alias("_llm_n")), "join-kept")
     same = F.col(key).eqNullSafe(F.col("_llm_key"))
-    return docs.join(found.filter("_llm_n = 1"), same, "left_semi").unionByName(
-        docs.join(found.filter("_llm_n > 1"), same, "left_semi").dropDuplicates([key, text])
-    )
+    stay = docs.join(found.filter("_llm_n = 1"), same, "left_semi")
+    again = found.filter("_llm_n > 1")
+    if again.isEmpty():
+        return stay
+    return stay.unionByName(docs.join(again, same, "left_semi").dropDuplicates([key, text]))
