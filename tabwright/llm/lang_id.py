@@ -32,7 +32,7 @@ from tabwright.llm.common import slices, text_of
 SAMPLE_DOCS = 1_500  # learning documents of each language, about
 CALIBRATION_SHARE = 4  # one in so many of them calibrates
 ORDER = 4
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 FIT_CHARS = 1 << 20  # characters counted at once while learning
 UNKNOWN = "und"
 ROOM = 1.5  # times the largest deviation of the calibration documents

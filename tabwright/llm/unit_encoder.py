@@ -15,7 +15,7 @@ import os
 import re
 from array import array
 
-CACHE_UNITS = 250_000  # of each of two generations
+CACHE_UNITS = 150_000  # of each of two generations
 PLAIN_MARKS = (".", ",", ";", ":", "!", "?")
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed by the file format
 _CERTAIN = re.compile(r"(?<=\S) (?=\S)")
