@@ -32,7 +32,7 @@ from tabwright.operators.order import hot_key_join
 from tabwright.session import written
 
 THRESHOLD = 0.9
-TREES = 12
+TREES = 8
 LEAF = 256
 SPILL = 0.02  # half width of the band around a cut, for vectors of length one
 SAMPLE = 50_000  # vectors that the upper levels are fitted on, about
