@@ -1,14 +1,23 @@
 """Packing by lexical retrieval: a seed document's window is filled with its nearest unused neighbours.
 
 Every text is encoded and gets an end id. All full windows of a document are
-sequences of their own; what is left of it (less than a window) is packed. Left
-pieces are put in order of a minimum hash over their token ids, so pieces with
-shared vocabulary stand near each other, and cut into shards of ``SHARD_PIECES``
-neighbours in that order. Each shard has an inverted index with BM25 weights
-over token ids. The first unused piece is the seed: its window takes the unused
-pieces of the shard by falling BM25 score, the last one cut to fit, and what is
-cut off opens the next window. Only the last sequence of a shard can be short;
-it is padded to the window unless its length is a power of two.
+sequences of their own; what is left of it (less than a window) is packed in
+rounds. A round puts the pieces in order of the first three token ids they hold
+in a random order of the vocabulary, in which ids come early in proportion to
+their squared idf (a weighted minimum hash: rare shared ids decide, the end id
+and ids of a single piece never do), so lexical neighbours stand side by side
+wherever they are in the table. The order is cut into shards, each with an
+inverted index with BM25 weights over token ids.
+
+In all rounds but the last a seed takes only close neighbours (``CLOSE`` of its
+own score) from a shard of ``JOIN_PIECES``; a window they fill is done, and what
+they do not fill goes on as one piece, placed anew by another order. Neighbours
+that one order parts thus meet in the next, and those found stay together. In
+the last round, over shards of ``SHARD_PIECES``, the first unused piece is the
+seed: its window takes the unused pieces of the shard by falling BM25 score, the
+last one cut to fit, and what is cut off opens the next window. Only the last
+sequence of a shard can be short; it is padded to the window unless its length
+is a power of two.
 
 Decisions: a missing text is empty and holds its end id alone; neighbours with
 equal scores, also those without a shared token, go by their place in the shard;
@@ -18,21 +27,29 @@ rows that repeat, and rows without a key, are packed like any others.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import parts_for, slices, text_of
+from tabwright.llm.common import finished, parts_for, slices, text_of
 from tabwright.llm.unit_encoder import crc_of, opened
 from tabwright.session import written
 
 WINDOW = 1024
 SHARD_PIECES = 512
+JOIN_PIECES = 64
+ROUNDS = 3
+CLOSE = 0.5  # of the seed's own BM25 score
+PLACE_BITS = 21  # of each of the three ranks in a place
+NO_PLACE = (1 << 63) - 1
 SLICE_BYTES = 4 << 20
 K1, B = 1.2, 0.75
 
 PIECES = "key {key}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded_to long"
-ENCODED = "key {key}, doc_tokens long, crcs array<long>, rest binary, width int, place long"
+UNITS = "keys array<{key}>, starts array<long>, lengths array<long>, tokens array<long>, crcs array<long>, rest binary, width int"
+PIECE_NAMES = ["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padded_to"]
+UNIT_NAMES = ["keys", "starts", "lengths", "tokens", "crcs", "rest", "width"]
 
 
 def _encode(tokenizer: str, window: int, end_id: int):
@@ -44,32 +61,94 @@ def _encode(tokenizer: str, window: int, end_id: int):
         end = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
             for part in slices(batch, SLICE_BYTES, "_text"):
-                sizes, crcs, rests, places = [], [], [], []
+                sizes, crcs, rests, starts = [], [], [], []
                 for raw in encoder.encode(part["_text"].to_pylist()):
                     ids = np.frombuffer(raw + end, encoder.dtype)
                     full = len(ids) // window * window
-                    rest = ids[full:]
                     sizes.append(len(ids))
+                    starts.append(full)
                     crcs.append([crc_of(ids[i : i + window]) for i in range(0, full, window)])
-                    rests.append(rest.tobytes())
-                    mixed = rest.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                    mixed ^= mixed >> np.uint64(29)
-                    places.append(int((mixed * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(1)).min()) if len(rest) else -1)
+                    rests.append(ids[full:].tobytes())
+                one = pa.array(np.arange(len(sizes) + 1), pa.int32())
+                each = [pa.array(x, pa.int64()) for x in (starts, [n - s for n, s in zip(sizes, starts)], sizes)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part["_key"],
-                        pa.array(sizes, pa.int64()),
+                        *[pa.ListArray.from_arrays(one, x) for x in (part["_key"], *each)],
                         pa.array(crcs, pa.list_(pa.int64())),
                         pa.array(rests, pa.binary()),
                         pa.array([encoder.dtype.itemsize] * len(sizes), pa.int32()),
-                        pa.array(places, pa.int64()),
                     ],
-                    names=["key", "doc_tokens", "crcs", "rest", "width", "place"],
+                    names=["keys", "starts", "lengths", "tokens", "crcs", "rest", "width"],
                 )
 
     return kernel
 
 
+def _token_rows(batches: Iterator) -> Iterator:
+    """Number of pieces that hold each token id."""
+    import numpy as np
+    import pyarrow as pa
+
+    df = np.zeros(0, np.int64)
+    for batch in batches:
+        for rest, width in zip(batch["rest"].to_pylist(), batch["width"].to_pylist()):
+            ids = np.frombuffer(rest, f"<u{width}")
+            if len(ids):
+                if (top := int(ids.max())) >= len(df):
+                    df = np.r_[df, np.zeros(top + 1 - len(df), np.int64)]
+                df[ids] += 1  # an id that repeats in a piece counts once
+    own = np.flatnonzero(df)
+    yield pa.RecordBatch.from_pydict({"token": pa.array(own, pa.int64()), "n": pa.array(df[own], pa.int64())})
+
+
+def rank_tables(df, n: int, end_id: int, rounds: int) -> list:
+    """For each round the place of every token id in a random order that prefers high idf; -1 for ids that bring no neighbours."""
+    import numpy as np
+
+    idf = np.log1p((n - df + 0.5) / (df + 0.5))
+    useful = df > 1
+    if end_id < len(df):
+        useful[end_id] = False
+    tables = []
+    for number in range(rounds):
+        drawn = finished(np.arange(len(df), dtype=np.uint64) + np.uint64((number + 1) << 40)) >> np.uint64(11)
+        cost = -np.log((drawn + 0.5) / (1 << 53)) / np.maximum(idf, 1e-9) ** 2
+        cost[~useful] = np.inf
+        ranks = np.empty(len(df), np.int64)
+        ranks[np.argsort(cost, kind="stable")] = np.arange(len(df))
+        ranks[~useful] = -1
+        tables.append(ranks)
+    return tables
+
+
+def place_of(ids, ranks) -> int:
+    """The three lowest ranks of a piece as one number."""
+    import numpy as np
+
+    own = np.unique(ranks[ids])
+    own = own[np.searchsorted(own, 0) :][:3].tolist()
+    if not own:
+        return NO_PLACE
+    own += [(1 << PLACE_BITS) - 1] * (3 - len(own))
+    return own[0] << 2 * PLACE_BITS | own[1] << PLACE_BITS | own[2]
+
+
+def _placed(handle, number: int):
+    def kernel(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        ranks = handle.value[number]
+        for batch in batches:
+            places = [
+                place_of(np.frombuffer(rest, f"<u{width}"), ranks) if rest else NO_PLACE
+                for rest, width in zip(batch["rest"].to_pylist(), batch["width"].to_pylist())
+            ]
+            yield batch.append_column("place", pa.array(places, pa.int64()))
+
+    return kernel
+
+
 class Bm25:
     """Inverted index of a shard: postings by token id, each with its BM25 weight."""
 
@@ -101,8 +180,11 @@ class Bm25:
         return np.bincount(self.doc[at], weights=self.weight[at], minlength=self.n)
 
 
-def fill(pieces: list, window: int) -> list[list[tuple[int, int, int]]]:
-    """Sequences of (piece, start in it, length) that use every token of every piece once."""
+def fill(pieces: list, window: int, close: float = 0.0) -> list[list[tuple[int, int, int]]]:
+    """Sequences of (piece, start in it, length) that use every token of every piece once.
+
+    Neighbours below ``close`` of the seed's own score are left to later seeds.
+    """
     import numpy as np
 
     index = Bm25(pieces)
@@ -121,9 +203,10 @@ def fill(pieces: list, window: int) -> list[list[tuple[int, int, int]]]:
         sequence = [(seed, start, sizes[seed] - start)]
         if room and not used.all():
             scores = index.scores(seed)
+            least = close * scores[seed]
             scores[used] = -1
             for i in np.argsort(-scores, kind="stable").tolist():
-                if not room or used[i]:
+                if not room or used[i] or scores[i] < least:
                     break
                 used[i] = True
                 taken = min(room, sizes[i])
@@ -139,57 +222,69 @@ def padded_length(length: int, window: int) -> int:
     return length if length & (length - 1) == 0 else window
 
 
-def _pack(window: int, shard_pieces: int):
+def members(unit: dict, start: int, size: int) -> Iterator:
+    """(key, start in the document, length, tokens of the document, start in the unit) of a part of a unit."""
+    at = 0
+    for key, first, length, tokens in zip(unit["keys"], unit["starts"], unit["lengths"], unit["tokens"]):
+        low, high = max(start, at), min(start + size, at + length)
+        if low < high:
+            yield key, first + low - at, high - low, tokens, low
+        at += length
+
+
+def _pack(window: int, shard_pieces: int, number: int, last: bool):
+    """One round: rows of done sequences, and units that are left (none in the last round)."""
+
     def kernel(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
-        sequence = TaskContext.get().partitionId() << 40
+        sequence = (TaskContext.get().partitionId() << 4 | number) << 36
         held, kind = [], None
 
         def packed(rows):
             nonlocal sequence
-            out = []
+            out, left = [], []
             for r in rows:
                 for i, crc in enumerate(r["crcs"]):
-                    out.append((r["key"], i * window, window, crc, r["doc_tokens"], sequence, 0, window))
+                    out.append((r["keys"][0], i * window, window, crc, r["tokens"][0], sequence, 0, window))
                     sequence += 1
             rows = [r for r in rows if r["rest"]]
             if rows:
                 pieces = [np.frombuffer(r["rest"], f"<u{r['width']}") for r in rows]
-                for parts in fill(pieces, window):
-                    length = padded_length(sum(p[2] for p in parts), window)
+                for parts in fill(pieces, window, 0.0 if last else CLOSE):
+                    total = sum(p[2] for p in parts)
+                    own = [(i, m) for i, start, size in parts for m in members(rows[i], start, size)]
+                    if total < window and not last:
+                        rest = b"".join(pieces[i][start : start + size].tobytes() for i, start, size in parts)
+                        left.append((*[[m[k] for _, m in own] for k in range(4)], [], rest, rows[parts[0][0]]["width"]))
+                        continue
+                    length = padded_length(total, window)
                     offset = 0
-                    for i, start, size in parts:
-                        r = rows[i]
-                        out.append(
-                            (
-                                r["key"],
-                                len(r["crcs"]) * window + start,
-                                size,
-                                crc_of(pieces[i][start : start + size]),
-                                r["doc_tokens"],
-                                sequence,
-                                offset,
-                                length,
-                            )
-                        )
+                    for i, (key, first, size, tokens, at) in own:
+                        out.append((key, first, size, crc_of(pieces[i][at : at + size]), tokens, sequence, offset, length))
                         offset += size
                     sequence += 1
-            names = ["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padded_to"]
-            columns = list(zip(*out))
-            kinds = [kind, *[pa.int64()] * 7]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+            longs = pa.list_(pa.int64())
+            done = dict(zip(PIECE_NAMES, [kind, *[pa.int64()] * 7]))
+            open_ = dict(zip(UNIT_NAMES, [pa.list_(kind), longs, longs, longs, longs, pa.binary(), pa.int32()]))
+            for found, own in ((out, done), (left, open_)):
+                if found:
+                    columns = dict(zip(own, zip(*found)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(columns[c], t) if c in own else pa.nulls(len(found), t) for c, t in (done | open_).items()],
+                        names=[*done, *open_],
+                    )
 
         for batch in batches:
-            kind = batch.schema.field("key").type
+            kind = batch.schema.field("keys").type.value_type
             held += batch.to_pylist()
             while len(held) >= shard_pieces:
-                yield packed(held[:shard_pieces])
+                yield from packed(held[:shard_pieces])
                 held = held[shard_pieces:]
         if held:
-            yield packed(held)
+            yield from packed(held)
 
     return kernel
 
@@ -205,18 +300,41 @@ def pack(
 ) -> DataFrame:
     """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset, padded_to.
 
-    The encoded pieces are written once; a range shuffle on (minimum hash, key,
-    tokens) brings neighbours together and splits hot hashes. Tasks hold one
-    shard of ``shard_pieces`` rows at a time.
+    The encoded pieces are written once; in each round a range shuffle on (place,
+    key, tokens) brings neighbours together and splits hot places. Tasks hold one
+    shard of rows at a time. The driver sees one number per token id.
     """
+    import numpy as np
+
     rows = docs.select(F.col(key).alias("_key"), text_of(text).alias("_text"))
     kind = rows.schema["_key"].dataType.simpleString()
-    encoded = written(rows.mapInArrow(_encode(tokenizer, window, end_id), ENCODED.format(key=kind)), "pack-encoded")
-    order = ["place", "key", "doc_tokens", F.xxhash64("rest", "crcs")]
-    n_parts = parts_for(encoded.count(), 16 * shard_pieces)
-    return (
-        encoded.repartitionByRange(n_parts, *order)
-        .sortWithinPartitions(*order)
-        .mapInArrow(_pack(window, shard_pieces), PIECES.format(key=kind))
-        .withColumnRenamed("key", key)
+    schema = UNITS.format(key=kind)
+    units = written(rows.mapInArrow(_encode(tokenizer, window, end_id), schema), "pack-encoded")
+    count = units.count()
+    found = (
+        units.select("rest", "width").mapInArrow(_token_rows, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toArrow()
     )
+    token = found["token"].to_numpy()
+    df = np.zeros(int(token.max()) + 1 if len(token) else 1, np.int64)
+    df[token] = found["n"].to_numpy()
+    handle = docs.sparkSession.sparkContext.broadcast(rank_tables(df, count, end_id, ROUNDS))
+    order = ["place", F.col("keys")[0], F.col("tokens")[0], F.xxhash64("rest", "crcs", "starts")]
+    done = []
+    for number in range(ROUNDS):
+        last = number == ROUNDS - 1
+        n_parts = parts_for(count, 16 * shard_pieces)
+        out = (
+            units.mapInArrow(_placed(handle, number), f"{schema}, place long")
+            .repartitionByRange(n_parts, *order)
+            .sortWithinPartitions(*order)
+            .mapInArrow(
+                _pack(window, shard_pieces if last else min(shard_pieces, JOIN_PIECES), number, last),
+                f"{PIECES.format(key=kind)}, {schema}",
+            )
+        )
+        if not last:
+            out = written(out, "pack-round")
+            units = out.filter("rest is not null").select(*UNIT_NAMES)
+            count = units.count()
+        done.append(out.filter("rest is null").select(*PIECE_NAMES))
+    return reduce(DataFrame.unionAll, done).withColumnRenamed("key", key)

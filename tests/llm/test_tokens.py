@@ -132,6 +132,24 @@ def test_packing_empty(no_docs, byte_tokenizer):
     assert packing.pack(no_docs, byte_tokenizer).collect() == []
 
 
+def test_packing_finds_neighbours_far_apart(spark, byte_tokenizer):
+    """Each document shares its rare words with one other, 300 rows away; all share the common ones."""
+    rng = np.random.default_rng(5)
+    vocabulary = sorted(w for w in Tokenizer.from_file(byte_tokenizer).get_vocab() if w[0] == "Ġ" and w[1:].isalpha() and len(w) > 5)
+    rare = [w[1:] for w in rng.permutation(vocabulary)[:3000]]
+    rows = []
+    for i in range(600):
+        own = [rare[10 * (i % 300) + j] for j in rng.permutation(10)]
+        rows.append((i, " ".join(["", *own, *rng.choice(["the", "of", "and", "to", "in"], 20)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pieces = packing.pack(docs, byte_tokenizer, window=128, shard_pieces=20).collect()
+    check_pieces(pieces, expected(byte_tokenizer, rows), 128)
+    at = {}
+    for r in pieces:
+        at.setdefault(r.doc_id, set()).add(r.sequence_id)
+    assert sum(bool(at[i] & at[i + 300]) for i in range(300)) >= 285
+
+
 def test_fill_takes_the_best_neighbour_first():
     a, b = np.arange(10), np.arange(100, 110)
     pieces = [a, b, np.r_[a[:8], 55], np.r_[b[:8], 66]]
