@@ -4,20 +4,22 @@ The model is a byte-context trie of ``ORDER`` levels, learned from the training
 texts. At a context the seen bytes share what the escape leaves (method C: as
 many escapes as distinct bytes); an escape goes to the next shorter context
 without the bytes the longer one has seen, at last to a uniform share of the
-bytes never seen. The trie is fixed after learning, so the log-probability of
-every byte at every node is finished once, and scoring a text is a lookup of
-its longest context at each position. A text is scored with an end mark (a byte
-that UTF-8 never uses), and its ASCII capitals as small letters.
-
-Contexts beyond the first level are nodes if they make up at least a
-``SHARE``-th of all positions; shorter contexts of a node are nodes too. A level
-has at most ``SHARE`` nodes, so the finished table has a fixed bound at every
-size of the corpus (64 MB a level; natural text fills a fifth of it), and is
-what the tasks get. Counts cover all training texts.
-
-The baseline needs counts of all words, which have no such bound. Texts are
-dealt to blocks; each block adds up its distinct words, the counts of all blocks
-meet at the word, and each block gets back the totals of its own words only.
+bytes never seen. A text is scored with an end mark (a byte that UTF-8 never
+uses), and its ASCII capitals as small letters.
+
+Every context that training texts hold is a node, so the trie grows with the
+corpus and no task gets it whole. Texts are dealt to blocks; a block lists its
+distinct grams (a context and its byte) with their training counts. Grams meet
+by the nearest three bytes of their context: all their contexts of three and
+more bytes are there, those of up to two bytes are broadcast (at most 256**3
+counts). A byte seen after a context is also seen after each shorter one, so a
+node needs only its count, its number of bytes, and what these bytes count in
+the next shorter context. Each block gets back the finished log-probabilities
+of its own grams.
+
+The word baseline goes the same way: each block adds up its distinct words, the
+counts of all blocks meet at the word, and each block gets back the totals of
+its own words only.
 
 Decisions: a missing text is empty and consists of its end alone; rows without a
 key are never held out; with no training text every token is unknown and every
@@ -37,7 +39,8 @@ from tabwright.llm.common import parts_for, slices, text_of, total_bytes
 from tabwright.session import written
 
 ORDER = 5
-SHARE = 1 << 16
+LOW = 2  # longest contexts that are broadcast
+CELL_GRAMS = 2 << 20
 BLOCK_BYTES = 32 << 20
 SLICE_BYTES = 2 << 20
 START, END = 0xFE, 0xFF  # never in UTF-8
@@ -72,29 +75,132 @@ def contexts(data, places):
 
 
 def _count_grams(batches: Iterator) -> Iterator:
+    """Distinct grams of each block with their number in training texts."""
     import numpy as np
     import pyarrow as pa
 
-    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    held: list = []
+    blocks: dict[int, list] = {}
 
-    def merged():
-        k = np.concatenate([keys, *(h[0] for h in held)])
-        c = np.concatenate([counts, *(h[1] for h in held)])
-        k, at = np.unique(k, return_inverse=True)
-        return k, np.bincount(at, weights=c, minlength=len(k)).astype(np.int64)
+    def merged(parts):
+        k, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        return k, np.bincount(at, weights=np.concatenate([p[1] for p in parts]), minlength=len(k)).astype(np.int64)
 
     for batch in batches:
         for part in slices(batch, SLICE_BYTES, "_text"):
-            texts = [t.encode("utf-8", "surrogatepass").lower() for t in part["_text"].to_pylist()]
-            data, places, _ = marked(texts)
-            held.append(np.unique(contexts(data, places) << 8 | data[places], return_counts=True))
-            if len(held) == 8:
-                keys, counts = merged()
-                held = []
-    keys, counts = merged()
-    for i in range(0, len(keys), 100_000):
-        yield pa.RecordBatch.from_pydict({"gram": pa.array(keys[i : i + 100_000]), "n": pa.array(counts[i : i + 100_000])})
+            texts: dict = {}
+            for t, block, train in zip(part["_text"].to_pylist(), part["_block"].to_pylist(), part["_train"].to_pylist()):
+                texts.setdefault((block, train), []).append(t.encode("utf-8", "surrogatepass").lower())
+            for (block, train), own in texts.items():
+                data, places, _ = marked(own)
+                keys, counts = np.unique(contexts(data, places) << 8 | data[places], return_counts=True)
+                held = blocks.setdefault(block, [])
+                held.append((keys, counts if train else np.zeros(len(keys), np.int64)))
+                if len(held) == 8:
+                    blocks[block] = [merged(held)]
+    for block, held in blocks.items():
+        keys, counts = merged(held)
+        for i in range(0, len(keys), 100_000):
+            k = keys[i : i + 100_000]
+            yield pa.RecordBatch.from_pydict(
+                {"block": pa.array([block] * len(k), pa.int64()), "gram": pa.array(k), "n": pa.array(counts[i : i + 100_000])}
+            )
+
+
+class Level:
+    """Counts of the grams of one level, and of its contexts: count, number of bytes, count of these bytes one level below."""
+
+    def __init__(self, level: int, grams, n, below: Level | None):
+        import numpy as np
+
+        self.mask = (1 << 8 * (level + 1)) - 1
+        self.grams, at = np.unique(grams & self.mask, return_inverse=True)
+        self.n = np.bincount(at, weights=n, minlength=len(self.grams))
+        self.nodes, at = np.unique(self.grams >> 8, return_inverse=True)
+        size = len(self.nodes)
+        self.all = np.bincount(at, weights=self.n, minlength=size)
+        self.kinds = np.bincount(at, minlength=size).astype(float)
+        self.lower = np.bincount(at, weights=below.counts(self.grams), minlength=size) if below else np.zeros(size)
+
+    def counts(self, grams):
+        return _looked_up(self.grams, grams & self.mask, self.n)[0]
+
+    def stats(self, grams):
+        return _looked_up(self.nodes, (grams & self.mask) >> 8, self.all, self.kinds, self.lower)
+
+
+def _looked_up(known, wanted, *values):
+    """The values at ``wanted`` in the sorted ``known``; 0 where it is not there."""
+    import numpy as np
+
+    if not len(known):
+        return [np.zeros(len(wanted)) for _ in values]
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    hit = known[at] == wanted
+    return [np.where(hit, v[at], 0) for v in values]
+
+
+def levels_from(grams, n, first: int, last: int, below: list) -> list:
+    """Levels ``first`` to ``last`` after those of ``below``, from grams that were seen."""
+    out = list(below)
+    for level in range(first, last + 1):
+        out.append(Level(level, grams, n, out[-1] if out else None))
+    return out
+
+
+def log_probs(grams, levels: list):
+    """log10 probability of the last byte of each gram after the bytes before it."""
+    import numpy as np
+
+    logs = np.zeros(len(grams))
+    open_, left = np.arange(len(grams)), np.zeros(len(grams))
+    kinds_above, lower_above = np.zeros(len(grams)), np.zeros(len(grams))
+    for level in reversed(levels):
+        own = grams[open_]
+        n, (total, kinds, lower) = level.counts(own), level.stats(own)
+        new = kinds - kinds_above  # bytes that the longer context has not seen
+        total = total - lower_above + new
+        hit = n > 0
+        logs[open_[hit]] = left[hit] + np.log10(n[hit] / total[hit])
+        escape = np.log10(np.where(new > 0, new, 1) / np.where(new > 0, total, 1))
+        open_, left, kinds_above, lower_above = (x[~hit] for x in (open_, left + escape, kinds, lower))
+    logs[open_] = left - np.log10(np.maximum(SYMBOLS - kinds_above, 1))
+    return logs
+
+
+def _gram_logs(handle):
+    def kernel(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        parts = [[b[c].to_numpy() for c in ("block", "gram", "n")] for b in batches]
+        if not parts:
+            return
+        block, gram, n = (np.concatenate(x) for x in zip(*parts))
+        grams, at = np.unique(gram, return_inverse=True)
+        total = np.bincount(at, weights=n, minlength=len(grams))
+        seen = total > 0
+        logs = log_probs(grams, levels_from(grams[seen], total[seen], LOW + 1, ORDER, handle.value)).astype(np.float32)[at]
+        for i in range(0, len(gram), 100_000):
+            own = slice(i, i + 100_000)
+            yield pa.RecordBatch.from_pydict({"block": pa.array(block[own]), "gram": pa.array(gram[own]), "log": pa.array(logs[own])})
+
+    return kernel
+
+
+def gram_logs(rows: DataFrame, blocks: int) -> DataFrame:
+    """block, gram, log: the log10 probability of each distinct gram of each block of ``rows`` (_text, _block, _train)."""
+    grams = written(
+        rows.select("_text", "_block", "_train").repartition(blocks, "_block").mapInArrow(_count_grams, "block long, gram long, n long"),
+        "ppm-grams",
+    )
+    short = F.col("gram").bitwiseAND(F.lit((1 << 8 * (LOW + 1)) - 1))
+    found = grams.filter("n > 0").groupBy(short.alias("gram")).agg(F.sum("n").alias("n")).toArrow()  # at most 256**3 rows
+    low = levels_from(found["gram"].to_numpy(), found["n"].to_numpy(), 0, LOW, [])
+    handle = rows.sparkSession.sparkContext.broadcast(low)
+    cell = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * (LOW + 1)) - 1))
+    return grams.repartition(parts_for(grams.count(), CELL_GRAMS), cell).mapInArrow(
+        _gram_logs(handle), "block long, gram long, log float"
+    )
 
 
 @dataclass
@@ -152,35 +258,20 @@ def finish(counts: list, nodes: list) -> Trie:
     return Trie(nodes, first, np.concatenate(tables))
 
 
-def learn(texts: DataFrame, share: int = SHARE) -> Trie:
-    """A trie from all rows of ``texts`` (_text)."""
+def learn(texts: DataFrame) -> Trie:
+    """The whole finished trie of a small corpus (_text) on the driver; ``score`` does not need it."""
     import numpy as np
 
-    grams = written(
-        texts.select("_text").mapInArrow(_count_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")),
-        "ppm-grams",
-    )
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    nodes, counts = [np.zeros(1, np.int64)], [np.zeros((1, SYMBOLS), np.int64)]
+    rows = texts.select("_text", F.lit(0).cast("long").alias("_block"), F.lit(True).alias("_train"))
+    grams = rows.mapInArrow(_count_grams, "block long, gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    gram, n = grams["gram"].to_numpy(), grams["n"].to_numpy()
+    nodes, counts = [], []
     for level in range(ORDER + 1):
-        mask = (1 << 8 * (level + 1)) - 1
-        level_grams = grams.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n"))
-        context = F.shiftright("gram", 8)
-        if level > 1:
-            often = (
-                level_grams.groupBy(context.alias("c")).agg(F.sum("n").alias("all")).filter(F.col("all") * share >= total)
-            )  # at most ``share`` contexts
-            level_grams = level_grams.withColumn("c", context).join(F.broadcast(often), "c").select("gram", "n")
-        found = level_grams.toArrow()  # at most ``share`` * 256 rows
-        gram, n = found["gram"].to_numpy(), found["n"].to_numpy()
-        own = np.unique(gram >> 8) if level else np.zeros(1, np.int64)
-        table = np.zeros((len(own), SYMBOLS), np.int64)
-        table[np.searchsorted(own, gram >> 8), gram & 255] = n
-        if level:
-            nodes.append(own)
-            counts.append(table)
-        else:
-            counts[0] = table
+        own = gram & ((1 << 8 * (level + 1)) - 1)
+        nodes.append(np.unique(own >> 8) if level else np.zeros(1, np.int64))
+        table = np.zeros((len(nodes[-1]), SYMBOLS), np.int64)
+        np.add.at(table, (np.searchsorted(nodes[-1], own >> 8), own & 255), n)
+        counts.append(table)
     return finish(counts, nodes)
 
 
@@ -212,12 +303,16 @@ def _block_words(batches: Iterator) -> Iterator:
             )
 
 
-def _score(handle, key_type: str, end_count: int, train_tokens: int, distinct: int):
-    def kernel(key, docs, words):
+def _score(end_count: int, train_tokens: int, distinct: int):
+    def kernel(key, docs, own):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        trie = handle.value
+        words, grams = own.filter(pc.is_valid(own["word"])), own.filter(pc.is_valid(own["gram"]))
+        gram, log = grams["gram"].to_numpy(), grams["log"].to_numpy().astype(np.float64)
+        order = np.argsort(gram)
+        gram, log = gram[order], log[order]
         number = {w: i for i, w in enumerate(words["word"].to_pylist())}
         count = words["n"].to_numpy().astype(np.float64)
         below = np.log10(train_tokens + distinct + 1)
@@ -233,6 +328,8 @@ def _score(handle, key_type: str, end_count: int, train_tokens: int, distinct: i
                     n.append(len(at) + 1)
                     hits.append(int(known[at].sum()) + (end_count > 0))
                     base.append(float(logs[at].sum() + end_log))
+                data, places, sizes = marked(texts)
+                at = np.searchsorted(gram, contexts(data, places) << 8 | data[places])
                 out.append(
                     pa.table(
                         {
@@ -241,7 +338,7 @@ def _score(handle, key_type: str, end_count: int, train_tokens: int, distinct: i
                             "n_tokens": pa.array(n, pa.int64()),
                             "n_known": pa.array(hits, pa.int64()),
                             "base_score": pa.array(base),
-                            "score": pa.array(trie.scores(texts)),
+                            "score": pa.array(np.add.reduceat(log[at], np.cumsum(sizes) - sizes)),
                         }
                     )
                 )
@@ -255,12 +352,10 @@ def score(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text"
 
     Rows where ``held`` is true are scored but not learned from.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("_key"), text_of(text).alias("_text"), (~held).alias("_train"))
     kind = rows.schema["_key"].dataType.simpleString()
     blocks = parts_for(total_bytes(rows, "_text"), block_bytes)
     rows = rows.withColumn("_block", F.pmod(F.xxhash64("_key", "_text"), F.lit(blocks)).cast("long"))
-    trie = learn(rows.filter("_train"))
     by_word = Window.partitionBy("word")
     words = written(
         rows.repartition(blocks, "_block")
@@ -273,13 +368,14 @@ def score(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text"
     figures = words.agg(F.sum("n").alias("n"), F.count_if(F.col("once") & (F.col("total") > 0)).alias("v")).first()
     texts = rows.filter("_train").count()
     train_tokens, distinct = (figures["n"] or 0) + texts, figures["v"] + (texts > 0)
-    handle = spark.sparkContext.broadcast(trie)
-    own = words.select(F.col("block").alias("_block"), "word", F.col("total").alias("n"))
+    own = words.select(F.col("block").alias("_block"), "word", F.col("total").alias("n")).unionByName(
+        gram_logs(rows, blocks).withColumnRenamed("block", "_block"), allowMissingColumns=True
+    )
     scored = (
         rows.groupBy("_block")
         .cogroup(own.groupBy("_block"))
         .applyInArrow(
-            _score(handle, kind, texts, train_tokens, distinct),
+            _score(texts, train_tokens, distinct),
             f"key {kind}, train boolean, n_tokens long, n_known long, base_score double, score double",
         )
     )

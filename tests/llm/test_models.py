@@ -105,6 +105,23 @@ def test_ppm_equals_the_plain_way(spark):
         assert abs(trie.scores([text])[0] - want) < 1e-4 * (1 + abs(want))
 
 
+def test_contexts_seen_once_are_used_in_a_large_corpus(spark):
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(300)]
+    rows = [(1, " ".join(rng.choice(words, 25_000))), (2, "zymurgy quixotic jazz"), (3, "ééé Über")]
+    rows += [(10, "zymurgy quixotic jazz"), (11, "a zymurgist"), (12, ""), (13, "é日"), (14, words[0] + " " + words[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    train = [t.encode().lower() for k, t in rows if k < 10]
+    marked = [bytes([ppm.START]) * ppm.ORDER + t + bytes([ppm.END]) for t in train]
+    nodes = [{d[i - k : i] for d in marked for i in range(ppm.ORDER, len(d))} for k in range(ppm.ORDER + 1)]
+    probability = plain_ppm(train, ppm.ORDER, nodes)
+    got = {r.doc_id: r.score for r in ppm.score(docs, F.col("doc_id") >= 10, block_bytes=20_000).collect()}
+    for k, t in rows:
+        data = bytes([ppm.START]) * ppm.ORDER + t.encode().lower() + bytes([ppm.END])
+        want = sum(math.log10(probability(data[i - ppm.ORDER : i], data[i])) for i in range(ppm.ORDER, len(data)))
+        assert abs(got[k] - want) < 1e-4 * (1 + abs(want)), k
+
+
 def check_scores(docs, rows):
     held = {k: k is not None and zlib.crc32(str(k).encode()) % 7 == 2 for k, _ in rows}
     tokens = [(k, [*(t or "").encode().lower().split(), None]) for k, t in rows]
