@@ -4,7 +4,10 @@ DataFrame operations only. ``train`` counts character pairs in labelled samples,
 random strings and ordinary identifiers, and keeps for each pair the difference
 of its log-probabilities under the two first-order models. A candidate is a run
 of identifier characters; its log-likelihood ratio is the sum over its pairs.
-It is a secret when the mean per pair reaches ``threshold``.
+It is a secret when the mean per pair reaches ``threshold``. The ordinary samples
+may hold the unlabelled secrets that are looked for, so the models are fitted
+again without ordinary samples that look random, and the threshold never lies
+above the low tail of the random samples.
 
 Positions are code points, the end exclusive. They come from the texts between
 the matches of a pattern: each match starts where the matches and gaps before it
@@ -39,6 +42,7 @@ LEAST = 20  # characters of a candidate
 CANDIDATE = f"(?<![{IDENTIFIER}])[{IDENTIFIER}]{{{LEAST},}}"
 WORD = f"(?<![{IDENTIFIER}])[{IDENTIFIER}]{{8,}}"
 SAMPLE_ROWS = 20_000  # rows that the labelled samples come from, about
+FITS = 4  # of the models, each but the first without the ordinary samples that the one before finds random
 CODES = 128
 REDACTED = "<SECRET>"
 
@@ -94,11 +98,25 @@ def labelled_samples(docs: DataFrame, key: str = "doc_id", text: str = "text", r
 
 
 def train(samples: DataFrame) -> MarkovModels:
+    """First-order models of both labels, fitted ``FITS`` times, and the threshold between them.
+
+    Ordinary samples as long as a candidate that are likelier random are left out
+    of the next fit.
+    """
+    samples = written(samples.groupBy("random", "string").agg(F.count(F.lit(1)).alias("n")), "secret-samples")
+    models = _fit(samples)
+    for _ in range(FITS - 1):
+        ordinary = F.col("random") | (F.length("string") < LEAST)
+        kept = F.when(ordinary, True).otherwise(models.mean_ratio(F.col("string")) < 0)
+        models = _fit(samples.filter(kept))
+    return models
+
+
+def _fit(samples: DataFrame) -> MarkovModels:
     """First-order models of both labels, add-half smoothed over the characters seen, and the threshold between them.
 
     The driver sees at most one row per label and pair of ASCII characters.
     """
-    samples = written(samples.groupBy("random", "string").agg(F.count(F.lit(1)).alias("n")), "secret-samples")
     pairs = (
         samples.select(
             "random", "n", "string", F.explode(F.sequence(F.lit(1), F.length("string") - 1)).alias("i")
@@ -133,7 +151,7 @@ def train(samples: DataFrame) -> MarkovModels:
         .collect()
     }
     low, high = tails.get(True, (0.0, 0.0))[0], tails.get(False, (0.0, 0.0))[1]
-    models.threshold = max((low + high) / 2, 0.0) or 0.5
+    models.threshold = max(min((low + high) / 2, low), 0.0) or 0.5
     return models
 
 

@@ -53,6 +53,20 @@ def test_random_strings_are_told_from_identifiers(spark, sf_dir):
     assert secrets.redact(table, models).schema == table.schema
 
 
+def test_unlabelled_secrets_in_the_samples_stay_found(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rng = np.random.default_rng(11)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    tokens = ["ghp_" + "".join(rng.choice(letters, 36)) for _ in range(max(4, docs.count() // 50))]
+    planted = spark.createDataFrame([(10**9 + i, f"so {t} then") for i, t in enumerate(tokens)], "doc_id long, text string")
+    models = secrets.train(secrets.labelled_samples(docs.select("doc_id", "text").unionByName(planted)))
+    probes = tokens + ["".join(rng.choice(list("0123456789ABCDEF"), 32)) for _ in range(300)]
+    table = spark.createDataFrame([(i, f"a {s} b") for i, s in enumerate(probes)], "doc_id long, text string")
+    found = {r.doc_id for r in secrets.find(table, models, ["doc_id"]).filter(F.size("_llm_spans") > 0).select("doc_id").collect()}
+    assert sum(i in found for i in range(len(tokens))) >= 0.95 * len(tokens)
+    assert sum(i in found for i in range(len(tokens), len(probes))) >= 0.85 * 300  # 200 documents only: capital hexadecimal is in no random sample
+
+
 def test_secrets_without_rows(no_docs, odd_docs):
     models = secrets.train(secrets.labelled_samples(no_docs))
     assert secrets.find(no_docs, models, ["doc_id"]).collect() == []
