@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import bpe, embed_forest, exact_dedup, lang_id, ngram_join, packing, ppm, secrets, substring, token_store
+from tabwright.llm import bpe, embed_forest, exact_dedup, lang_id, ngram_join, packing, ppm, repetition, secrets, substring, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,32 @@ def op8(spark, sf_dir):
 @query("op5_embedding_forest")
 def op5(spark, sf_dir):
     return embed_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+#: Words in windows of k words that the text holds twice or more are those that repeats of k words or more cover.
+REPETITION_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g8 AS (SELECT r, unnest(range(1, len(w) - 6)) AS i, w FROM w),
+h8 AS (SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(w[i:i+7], ' ')) AS n FROM g8),
+c AS (SELECT DISTINCT r, unnest(range(i, i + 8)) AS j FROM h8 WHERE n > 1),
+s AS (SELECT r, count(*) AS words, sum(length(w[j])) AS chars FROM c JOIN w USING (r) GROUP BY r),
+g51 AS (SELECT r, unnest(range(1, len(w) - 49)) AS i, w FROM w),
+l AS (SELECT DISTINCT r FROM (SELECT r FROM g51 GROUP BY r, md5(array_to_string(w[i:i+50], ' ')) HAVING count(*) > 1)),
+f AS (SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(words, 0) AS n_repeat_words, coalesce(chars, 0) AS chars, l.r IS NOT NULL AS long_repeat
+    FROM w LEFT JOIN s USING (r) LEFT JOIN l USING (r)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+    CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+    CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+    NOT base_failed AND 100 * chars <= 30 * word_chars AND NOT long_repeat AS kept FROM b
+"""
+
+
+@query("op13_suffix_repetition", REPETITION_SQL)
+def op13(spark, sf_dir):
+    return repetition.judge(table(spark, sf_dir, "documents")).drop("covered_chars", "longest_repeat")
