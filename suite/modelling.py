@@ -70,11 +70,36 @@ def threshold_query(name, family, classes=2, **params):
         df = orders.withColumn("y", y).select("o_orderkey", "month", "o_orderpriority", "y")
         prepared = prepare(df, "y", "classification", keys=["o_orderkey"], exclude=["o_orderkey"])
         _, fitted, _ = fit_and_score(prepared, family, params)
-        return confusion_matrix(fitted.transform(prepared.test.select("label", "features")), "label", "prediction")
+        return confusion_matrix(fitted.transform(prepared.vectors(prepared.test)), "label", "prediction")
 
     return run
 
 
+@query(
+    "missing_class_confusion",
+    f"""SELECT CASE WHEN m <= 4 THEN 'early' WHEN m > 8 THEN 'late' ELSE 'nan' END AS label,
+    CASE WHEN m <= 4 THEN 'early' WHEN m > 8 THEN 'late' ELSE 'nan' END AS prediction, count(*) AS n, (SELECT count(*) FROM orders) AS n_samples
+    FROM (SELECT extract(month FROM o_orderdate) AS m FROM orders WHERE {ORDER_ROW} < '{LIMIT}') GROUP BY 1""",
+)
+def missing_class_confusion(spark, sf_dir):
+    """Rows without a class are of the class nan, and features may be called like the plans' own columns."""
+    month = F.month("o_orderdate")
+    df = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        month.alias("label"),
+        F.col("o_totalprice").alias("features"),
+        F.col("o_orderpriority").alias("is_test"),
+        F.dayofmonth("o_orderdate").alias("row_id"),
+        F.when(month <= 4, "early").when(month > 8, "late").alias("season"),
+    )
+    prepared = prepare(df, "season", keys=["o_orderkey"], exclude=["o_orderkey"])
+    _, fitted, _ = fit_and_score(prepared, "random_forest", {"n_estimators": 20, "max_depth": 10})
+    counts = confusion_matrix(fitted.transform(prepared.vectors(prepared.test)), "label", "prediction")
+    classes = F.array(*map(F.lit, prepared.preprocessor.classes))
+    names = [F.get(classes, F.col(c).cast("int")).alias(c) for c in ("label", "prediction")]
+    return counts.select(*names, "n", F.lit(prepared.n_samples).cast("long").alias("n_samples"))
+
+
 # Settings of the smallest grids of the shipped search space.
 threshold_query("random_forest_classifier", "random_forest", n_estimators=50, max_depth=10)
 threshold_query("gradient_boosting_classifier", "gradient_boosting", n_estimators=50, max_depth=3)

@@ -8,6 +8,14 @@ TEXT = "text"
 NUMBER = "number"
 OTHER = "other"
 UNSUPPORTED = "unsupported"
+RESERVED = "_tabwright_"  # source columns may not begin so
+
+
+def refuse_reserved(names) -> None:
+    """Raise where a table has names that the plans need for themselves."""
+    taken = [n for n in names if n.lower().startswith(RESERVED)]
+    if taken:
+        raise ValueError(f"column names beginning with {RESERVED} are reserved: {', '.join(taken)}")
 
 
 def type_class(data_type: T.DataType) -> str:

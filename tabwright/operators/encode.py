@@ -15,13 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.functions.schema import TEXT, quoted, type_class
+from tabwright.functions.schema import RESERVED, TEXT, quoted, type_class
 from tabwright.functions.values import label_text, nan_to_null, number_from_text
 from tabwright.operators.order import exact_quantiles, global_rank, hot_key_join
 from tabwright.operators.profile import ENCODE_MAX
 
 STATS_SCHEMA = "column string, pos int, role string, stat string, num double, txt string"
 MAX_CATEGORIES = 1000
+LABEL_TEXT = f"{RESERVED}label_text"
 
 
 # ---- label codes -----------------------------------------------------------------------------
@@ -59,20 +60,20 @@ def label_encode(
     text = label_text(F.col(quoted(column)), df.schema[column].dataType.simpleString())
     if codes is None:
         codes, few = label_codes(df, column)
-        keyed = codes.withColumnRenamed("value", "_label").withColumnRenamed("code", output)
-        tagged = df.withColumn("_label", text)
+        keyed = codes.withColumnRenamed("value", LABEL_TEXT).withColumnRenamed("code", output)
+        tagged = df.withColumn(LABEL_TEXT, text)
         if few:
-            return tagged.join(F.broadcast(keyed.drop("n")), "_label").drop("_label")
-        return hot_key_join(tagged, keyed, "_label", "n").drop("_label")
+            return tagged.join(F.broadcast(keyed.drop("n")), LABEL_TEXT).drop(LABEL_TEXT)
+        return hot_key_join(tagged, keyed, LABEL_TEXT, "n").drop(LABEL_TEXT)
     known = codes.count()
-    keyed = codes.select(F.col("value").alias("_label"), F.col("code").alias(output))
+    keyed = codes.select(F.col("value").alias(LABEL_TEXT), F.col("code").alias(output))
     keyed = F.broadcast(keyed) if known <= MAX_CATEGORIES else keyed
-    joined = df.withColumn("_label", text).join(keyed, "_label", "left")
+    joined = df.withColumn(LABEL_TEXT, text).join(keyed, LABEL_TEXT, "left")
     if handle_invalid == "keep":
         free = F.lit(known).cast("long")
-        return joined.withColumn(output, F.coalesce(F.col(output), free)).drop("_label")
-    unseen = F.raise_error(F.concat(F.lit(f"{column}: label not seen in fit: "), F.col("_label")))
-    return joined.withColumn(output, F.coalesce(F.col(output), unseen.cast("long"))).drop("_label")
+        return joined.withColumn(output, F.coalesce(F.col(output), free)).drop(LABEL_TEXT)
+    unseen = F.raise_error(F.concat(F.lit(f"{column}: label not seen in fit: "), F.col(LABEL_TEXT)))
+    return joined.withColumn(output, F.coalesce(F.col(output), unseen.cast("long"))).drop(LABEL_TEXT)
 
 
 # ---- fitted statistics -----------------------------------------------------------------------
@@ -254,15 +255,15 @@ def _apply_codes(df: DataFrame, stats: FittedStats) -> DataFrame:
     """Add ``<name>_encoded``; values not seen in the fit get the next free code."""
     for c, codes in stats.coded.items():
         known = df.sparkSession.createDataFrame(
-            [(value, num) for value, (num, _) in codes.items()], f"_label string, `{c}_encoded` double"
+            [(value, num) for value, (num, _) in codes.items()], f"{LABEL_TEXT} string, `{c}_encoded` double"
         )
         text = label_text(F.col(quoted(c)), df.schema[c].dataType.simpleString())
         out = f"{c}_encoded"
         df = (
-            df.withColumn("_label", text)
-            .join(F.broadcast(known), "_label", "left")  # fewer than 1000 rows
+            df.withColumn(LABEL_TEXT, text)
+            .join(F.broadcast(known), LABEL_TEXT, "left")  # fewer than 1000 rows
             .withColumn(out, F.coalesce(F.col(quoted(out)), F.lit(float(len(codes)))))
-            .drop("_label")
+            .drop(LABEL_TEXT)
         )
     return df
 

@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tabwright.functions.schema import quoted
+from tabwright.functions.schema import RESERVED, quoted
 from tabwright.operators.knn import knn_predict
 from tabwright.operators.metrics import evaluate
 from tabwright.operators.models import FeatureTable, Model, build_model
 from tabwright.operators.select import select_k_best, selected_features
 from tabwright.operators.split import hash_split
 from tabwright.operators.features import PASSENGER_RULES, Rule
-from tabwright.plans.preprocess import Preprocessor, choose_roles, fit_preprocessor
+from tabwright.plans.preprocess import LABEL, Preprocessor, choose_roles, fit_preprocessor
 from tabwright.session import written
 
 RUN_SCHEMA = (
@@ -31,6 +31,9 @@ RUN_SCHEMA = (
     "end_time timestamp, metrics map<string,double>, params map<string,string>, model_path string"
 )
 
+# Columns of a prepared table beside its named features, which may have any other name.
+IS_TEST, FEATURES, ROW_ID = f"{RESERVED}is_test", f"{RESERVED}features", f"{RESERVED}row_id"
+
 # Options of `prepare` that an experiment or a search passes on as they are.
 PREPARE_OPTIONS = ("strategy", "fit_on", "rules", "string_categoricals", "encoded", "method")
 
@@ -62,11 +65,17 @@ class Prepared:
 
     @property
     def train(self) -> DataFrame:
-        return self.table.filter("NOT is_test")
+        return self.table.filter(~F.col(IS_TEST))
 
     @property
     def test(self) -> DataFrame:
-        return self.table.filter("is_test")
+        return self.table.filter(F.col(IS_TEST))
+
+    @staticmethod
+    def vectors(rows: DataFrame) -> DataFrame:
+        """(row_id, label, features) of ``train`` or ``test``: what estimators read, whatever the source columns are called."""
+        shown = zip((ROW_ID, LABEL, FEATURES), ("row_id", "label", "features"))
+        return rows.select(*[F.col(c).alias(name) for c, name in shown])
 
     @property
     def task(self) -> str:
@@ -115,8 +124,9 @@ def prepare(
 
     ``keys`` identify a row for the split (all columns by default). Statistics
     and selection are fitted on the training rows; ``fit_on='all'`` uses all.
-    Target classes are those of all rows. Rows without a label are left out and
-    counted in ``n_unlabelled``. ``method`` ranks the features to select.
+    Target classes are those of all rows; rows without a class are of the class
+    ``nan``. Rows without a number to regress on are left out and counted in
+    ``n_unlabelled``. ``method`` ranks the features to select.
     """
     if fit_on not in ("train", "all"):
         raise ValueError(f"fit_on must be 'train' or 'all', not {fit_on!r}")
@@ -125,30 +135,30 @@ def prepare(
     )
     sources = {s for r in rules for s in r.sources}
     used = sources.union(roles.numeric, roles.categorical, roles.coded, [roles.target])
-    split = hash_split(df, list(keys or df.columns), test_size, seed)
+    split = hash_split(df, list(keys or df.columns), test_size, seed, output=IS_TEST)
     # no fit reads the source, its other columns or the split digest again
-    marked = written(split.select(*[quoted(c) for c in df.columns if c in used], "is_test"), "split")
-    basis = marked.filter("NOT is_test") if fit_on == "train" else marked
+    marked = written(split.select(*[quoted(c) for c in df.columns if c in used], IS_TEST), "split")
+    basis = marked.filter(~F.col(IS_TEST)) if fit_on == "train" else marked
     fitted = fit_preprocessor(basis, roles, strategy, rules, marked)
-    table = fitted.transform(marked, ["is_test"]).filter(F.col("label").isNotNull())
+    table = fitted.transform(marked, [IS_TEST], vector=FEATURES, label_name=LABEL).filter(F.col(LABEL).isNotNull())
     names = fitted.names
     # the written table fixes the row numbers and spares every trial the preparation
-    table = written(table.withColumn("row_id", F.monotonically_increasing_id()), "features")
+    table = written(table.withColumn(ROW_ID, F.monotonically_increasing_id()), "features")
     if select_features and len(names) > k:
-        rows = table.filter("NOT is_test") if fit_on == "train" else table
-        names = selected_features(select_k_best(rows, names, "label", k, method=method, task=roles.task))
+        rows = table.filter(~F.col(IS_TEST)) if fit_on == "train" else table
+        names = selected_features(select_k_best(rows, names, LABEL, k, method=method, task=roles.task))
         table = _reassemble(table, names)
-    counts = table.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_test")).alias("train")).first()
+    counts = table.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col(IS_TEST)).alias("train")).first()
     return Prepared(table, fitted, names, counts["n"], counts["train"], marked.count() - counts["n"])
 
 
 def _reassemble(table: DataFrame, names: Sequence[str]) -> DataFrame:
     """Feature vector of the chosen columns only."""
-    kept = table.select("row_id", "is_test", "label", *[quoted(n) for n in names])
+    kept = table.select(ROW_ID, IS_TEST, LABEL, *[quoted(n) for n in names])
     safe = [f"_f{i}" for i in range(len(names))]
-    plain = kept.toDF("row_id", "is_test", "label", *safe)
-    packed = VectorAssembler(inputCols=safe, outputCol="features").transform(plain)
-    return packed.toDF("row_id", "is_test", "label", *names, "features")
+    plain = kept.toDF(ROW_ID, IS_TEST, LABEL, *safe)
+    packed = VectorAssembler(inputCols=safe, outputCol=FEATURES).transform(plain)
+    return packed.toDF(ROW_ID, IS_TEST, LABEL, *names, FEATURES)
 
 
 def dataset_info(prepared: Prepared, name: str) -> DataFrame:
@@ -183,22 +193,23 @@ def fit_and_score(
         model = Model(family, prepared.task, estimator, dict(params))
     else:
         model = model or build_model(family, params, prepared.task, description)
+    train, test = prepared.vectors(prepared.train), prepared.vectors(prepared.test)
     if model.estimator is None:
         fitted = None
         scored = knn_predict(
-            prepared.test,
-            prepared.train,
+            test,
+            train,
             "label",
             model.used["n_neighbors"],
             id_col="row_id",
             metric=model.used["metric"],
             weights=model.used["weights"],
             task=prepared.task,
-        ).join(prepared.test.select("row_id", "label"), "row_id")
+        ).join(test.select("row_id", "label"), "row_id")
     else:
         # the named columns stay out: MLlib cannot read names that hold a dot
-        fitted = model.estimator.fit(prepared.train.select("label", "features"))
-        scored = fitted.transform(prepared.test.select("label", "features"))
+        fitted = model.estimator.fit(train.drop("row_id"))
+        scored = fitted.transform(test.drop("row_id"))
     # rows are counted by a metric aggregate: one row per metric comes back
     metrics = {r["metric"]: r["value"] for r in evaluate(scored, "label", "prediction", prepared.task).collect()}
     return metrics, fitted, model
@@ -304,7 +315,7 @@ class Neighbours:
 
 def neighbours(prepared: Prepared, model: Model) -> Neighbours:
     used = model.used
-    return Neighbours(prepared.train, used["n_neighbors"], used["metric"], used["weights"], prepared.task)
+    return Neighbours(prepared.vectors(prepared.train), used["n_neighbors"], used["metric"], used["weights"], prepared.task)
 
 
 def save_scorer(spark: SparkSession, prepared: Prepared, fitted: Transformer | Neighbours, path: str) -> None:

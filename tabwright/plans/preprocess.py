@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.functions.schema import TEXT, quoted, type_class
+from tabwright.functions.schema import RESERVED, TEXT, quoted, refuse_reserved, type_class
 from tabwright.functions.values import label_text
 from tabwright.operators.encode import FittedStats, apply_stats, feature_names, fit_stats, label_codes
 from tabwright.operators.features import PASSENGER_RULES, USED_UP, Rule, extract_features, rules_from_data, rules_to_data
@@ -17,6 +17,9 @@ from tabwright.operators.profile import BINARY_MAX, ENCODE_MAX, profile
 from tabwright.operators.target import TARGET_NAMES, detect_task, infer_target
 
 
+LABEL = f"{RESERVED}label"
+
+
 @dataclass
 class ColumnRoles:
     """What becomes of every column."""
@@ -49,6 +52,7 @@ def choose_roles(
     code, longer ones are dropped. ``string_categoricals='drop'`` and
     ``encoded=False`` leave those columns out.
     """
+    refuse_reserved(df.columns)
     candidates = df.drop(*exclude)
     profiled = profile(candidates, distinct="adaptive")
     rows = _rows(profiled)
@@ -107,13 +111,22 @@ class Preprocessor:
         return feature_names(self.stats)
 
     def transform(
-        self, df: DataFrame, keep: Sequence[str] = (), label: bool = True, vector: str | None = "features"
+        self,
+        df: DataFrame,
+        keep: Sequence[str] = (),
+        label: bool = True,
+        vector: str | None = "features",
+        label_name: str = "label",
     ) -> DataFrame:
-        """``keep`` columns, ``label``, the named features and their vector.
+        """``keep`` columns, the label, the named features and their vector.
 
-        A class target becomes the rank of its text; rows whose label was not
-        seen in the fit get a null label.
+        A class target becomes the rank of its text, a missing one that of
+        ``nan``; rows whose label was not seen in the fit get a null label. A
+        feature of the name ``label_name`` or ``vector`` raises: give others.
         """
+        taken = {*self.names, *keep} & {*([label_name] if label else []), vector}
+        if taken:
+            raise ValueError(f"columns of the result would share the names {sorted(taken)}")
         shaped, _ = extract_features(df, self.rules)
         keep = list(keep)
         if label:
@@ -124,9 +137,10 @@ class Preprocessor:
                 text = label_text(c, df.schema[self.roles.target].dataType.simpleString())
                 place = F.array_position(F.array(*[F.lit(x) for x in self.classes]), text)
                 value = F.when(place > 0, (place - 1).cast("double"))
-            shaped = shaped.withColumn("label", value)
-            keep.append("label")
-        return apply_stats(shaped, self.stats, keep, vector=vector)
+            shaped = shaped.withColumn(LABEL, value)
+            keep.append(LABEL)
+        result = apply_stats(shaped, self.stats, keep, vector=vector)
+        return result.withColumnRenamed(LABEL, label_name) if label else result
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Save statistics, roles and feature rules below ``path``."""
@@ -158,6 +172,6 @@ def fit_preprocessor(
     classes = None
     if roles.task == "classification":
         source = df if labels is None else labels
-        codes, _ = label_codes(source.filter(F.col(quoted(roles.target)).isNotNull()), roles.target)
+        codes, _ = label_codes(source, roles.target)  # a missing label is the class nan
         classes = [r["value"] for r in codes.orderBy("code").collect()]  # every model holds its classes
     return Preprocessor(roles, stats, classes, tuple(rules))

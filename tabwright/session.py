@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import pathlib
 import shutil
 import tempfile
 import uuid
 
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: dict[str, str] = {}  # application that has the package
+
 
 def local_session(cores: int | str = 8, app: str = "tabwright") -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
@@ -60,10 +64,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to all executors, for a driver that was started from another folder.
+    """Send this package to all executors, once a session, for a driver that was started from another folder.
 
-    Not needed where executors have the package on their path.
+    Where the package's parent is the working folder or on PYTHONPATH the
+    workers find it there, and nothing is sent. The archive lies in the
+    session's own folder, which Spark removes when it stops.
     """
     folder = pathlib.Path(__file__).resolve().parent
-    target = pathlib.Path(tempfile.mkdtemp()) / folder.name
-    spark.sparkContext.addPyFile(shutil.make_archive(str(target), "zip", folder.parent, folder.name))
+    paths = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if str(folder.parent) in [os.path.realpath(p) for p in paths if p]:
+        return
+    sc = spark.sparkContext
+    if _SHIPPED.get("to") == sc.applicationId:
+        return
+    target = pathlib.Path(SparkFiles.getRootDirectory()) / "shipped" / folder.name
+    target.parent.mkdir(exist_ok=True)
+    sc.addPyFile(shutil.make_archive(str(target), "zip", folder.parent, folder.name))
+    _SHIPPED["to"] = sc.applicationId

@@ -163,7 +163,10 @@ def test_rare_classes_keep_their_rows(spark):
         prepared = X.prepare(df, "y", keys=["id"], exclude=["id"], seed=seed)
         assert prepared.n_samples == 200 and prepared.preprocessor.classes == ["a", "b", "rare"]
     missing = df.withColumn("y", F.when(F.col("id") > 4, F.col("y")))
-    assert X.prepare(missing, "y", keys=["id"], exclude=["id"]).n_unlabelled == 5
+    kept = X.prepare(missing, "y", keys=["id"], exclude=["id"])
+    assert (kept.n_samples, kept.n_unlabelled, kept.preprocessor.classes) == (200, 0, ["a", "b", "nan"])
+    numbers = df.withColumn("y", F.when(F.col("id") > 4, F.col("x") * 0.5))
+    assert X.prepare(numbers, "y", "regression", keys=["id"], exclude=["id"]).n_unlabelled == 5
 
 
 def test_more_than_twenty_classes(spark):
@@ -265,3 +268,20 @@ def test_run_events_and_upsert(spark):
     known = spark.createDataFrame([("a",)], "name string")
     asked = spark.createDataFrame([("a",), ("b",), ("b",)], "name string")
     assert [r["name"] for r in R.tracking_upsert(known, asked).collect()] == ["b"]
+
+
+def test_source_columns_may_have_any_name(spark):
+    """Names the plans used for themselves are ordinary features, and reserved ones are refused."""
+    rows = [(i, float(i % 23), float(i % 29), "xy"[i % 2], i % 3, float(i % 2), "yes" if i % 2 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, label double, features double, is_test string, row_id int, prediction double, late string")
+    prepared = X.prepare(df, "late", keys=["id"], exclude=["id"], select_features=True, k=5)
+    assert prepared.n_samples == 300 and prepared.preprocessor.classes == ["nan", "yes"]
+    assert {"label", "features", "is_test_y", "prediction"} <= set(prepared.names)
+    kinds = prepared.table.select("label").distinct().count()
+    assert kinds == 23
+    for family, params in (("random_forest", CHEAP["random_forest"]), ("knn", {"n_neighbors": 3})):
+        assert X.fit_and_score(prepared, family, params)[0]["accuracy"] == 1.0
+    with pytest.raises(ValueError, match="share the names"):
+        prepared.preprocessor.transform(df)
+    with pytest.raises(ValueError, match="reserved"):
+        X.prepare(df.withColumn("_tabwright_label", F.lit(1)), "late", keys=["id"])
