@@ -8,12 +8,14 @@ row count here and by bounds in the tests.
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from suite import query, table
 from suite.encoding import DIGEST, LIMIT
 from tabwright.operators import trials as TR
+from tabwright.operators.boosting import BoostPlan, boost
 from tabwright.operators.metrics import confusion_matrix
 from tabwright.operators.models import FeatureTable, build_model
 from tabwright.operators.runs import get_run
@@ -70,7 +72,12 @@ def threshold_query(name, family, classes=2, **params):
         df = orders.withColumn("y", y).select("o_orderkey", "month", "o_orderpriority", "y")
         prepared = prepare(df, "y", "classification", keys=["o_orderkey"], exclude=["o_orderkey"])
         _, fitted, _ = fit_and_score(prepared, family, params)
-        return confusion_matrix(fitted.transform(prepared.vectors(prepared.test)), "label", "prediction")
+        scored = fitted.transform(prepared.vectors(prepared.test))
+        if "probability" in scored.columns:
+            # rows whose probabilities do not sum to one would be missing from the counts
+            total = F.aggregate(vector_to_array("probability"), F.lit(0.0), lambda a, p: a + p)
+            scored = scored.filter(F.abs(total - 1) < 1e-9)
+        return confusion_matrix(scored, "label", "prediction")
 
     return run
 
@@ -103,9 +110,13 @@ def missing_class_confusion(spark, sf_dir):
 # Settings of the smallest grids of the shipped search space.
 threshold_query("random_forest_classifier", "random_forest", n_estimators=50, max_depth=10)
 threshold_query("gradient_boosting_classifier", "gradient_boosting", n_estimators=50, max_depth=3)
-threshold_query("gradient_boosting_one_vs_rest", "gradient_boosting", classes=3, n_estimators=50, max_depth=3)
-threshold_query("xgboost_classifier", "xgboost", n_estimators=50, max_depth=3)
-threshold_query("lightgbm_classifier", "lightgbm", n_estimators=50, max_depth=7, num_leaves=20)
+threshold_query("gradient_boosting_one_vs_rest", "gradient_boosting", classes=3, n_estimators=50, max_depth=3, engine="mllib")
+threshold_query("xgboost_classifier", "xgboost", n_estimators=50, max_depth=3, engine="mllib")
+threshold_query("lightgbm_classifier", "lightgbm", n_estimators=50, max_depth=7, num_leaves=20, engine="mllib")
+threshold_query("newton_boosting_classifier", "xgboost", n_estimators=10, max_depth=3, subsample=0.8, colsample_bytree=0.8)
+threshold_query("leafwise_boosting_classifier", "lightgbm", n_estimators=10, max_depth=7, num_leaves=20)
+threshold_query("joint_boosting_classifier", "gradient_boosting", classes=3, n_estimators=10, max_depth=3)
+threshold_query("newton_boosting_joint", "xgboost", classes=3, n_estimators=10, max_depth=3)
 threshold_query("svm_linear", "svm", kernel="linear", max_iter=100, C=10.0)
 model_query("random_forest_regressor", "random_forest", "l_extendedprice", "regression", n_estimators=50, max_depth=10)
 model_query("gradient_boosting_regressor", "gradient_boosting", "l_extendedprice", "regression", n_estimators=50, max_depth=3)
@@ -113,6 +124,76 @@ model_query("logistic_regression", "logistic_regression", "l_returnflag", "class
 model_query("svm_rbf", "svm", "l_linestatus", "classification", kernel="rbf", max_iter=100)
 model_query("svr_rbf", "svr", "l_extendedprice", "regression", max_iter=100)
 
+BOOSTED = ["l_quantity", "l_discount", "l_linenumber"]
+
+
+def boosted_rows(spark, sf_dir) -> DataFrame:
+    x = F.array(*[F.col(c).cast("double") for c in BOOSTED])
+    return table(spark, sf_dir, "lineitem").select(x.alias("x"), (F.col("l_returnflag") == "R").cast("double").alias("y"))
+
+
+def cuts_sql(rows, keys, l2, least_h, least_n):
+    """Candidate cuts (f, x, edge, gain, gl, hl, gr, hr) of the rows (f, x, g, h) of each group of ``keys``."""
+    k = f"{keys}, " if keys else ""
+    part = f"PARTITION BY {keys}" if keys else ""
+    return f"""SELECT {k}f, x, edge, gl, hl, g - gl AS gr, h - hl AS hr,
+        0.5 * (gl * gl / (hl + {l2}) + (g - gl) * (g - gl) / (h - hl + {l2}) - g * g / (h + {l2})) AS gain
+        FROM (SELECT *, sum(sg) OVER (PARTITION BY {k}f ORDER BY x) AS gl, sum(sh) OVER (PARTITION BY {k}f ORDER BY x) AS hl,
+            sum(sn) OVER (PARTITION BY {k}f ORDER BY x) AS nl, sum(sg) OVER (PARTITION BY {k}f) AS g,
+            sum(sh) OVER (PARTITION BY {k}f) AS h, sum(sn) OVER (PARTITION BY {k}f) AS n
+            FROM (SELECT {k}f, x, sum(g) AS sg, sum(h) AS sh, count(*) AS sn FROM {rows} GROUP BY {k}f, x))
+        JOIN edges USING (f, x) WHERE hl >= {least_h} AND h - hl >= {least_h} AND nl >= {least_n} AND n - nl >= {least_n}
+        QUALIFY row_number() OVER ({part} ORDER BY gain DESC, f, x) = 1"""
+
+
+def boosted_sql(prior, l2, least_h, least_n):
+    """Root cut and best cut of both children of the first tree."""
+    p = "(SELECT avg(y) FROM t)" if prior else "0.5"
+    unpivot = " UNION ALL ".join(f"SELECT {{0}}{j} AS f, x{j} AS x, {p} - y AS g, {p} * (1 - {p}) AS h FROM {{1}}" for j in range(len(BOOSTED)))
+    columns = ", ".join(f"CAST({c} AS DOUBLE) AS x{j}" for j, c in enumerate(BOOSTED))
+    return f"""t AS (SELECT {columns}, CAST(l_returnflag = 'R' AS DOUBLE) AS y FROM lineitem),
+    u AS ({unpivot.format('', 't')}),
+    edges AS (SELECT f, x, x + (b - x) / 2 AS edge FROM (SELECT f, x, lead(x) OVER (PARTITION BY f ORDER BY x) AS b FROM (SELECT DISTINCT f, x FROM u)) WHERE b IS NOT NULL),
+    root AS ({cuts_sql('u', '', l2, least_h, least_n)}),
+    s AS (SELECT t.*, CASE root.f WHEN 0 THEN x0 WHEN 1 THEN x1 ELSE x2 END <= root.edge AS low FROM t, root),
+    v AS ({unpivot.format('low, ', 's')}),
+    child AS ({cuts_sql('v', 'low', l2, least_h, least_n)})"""
+
+
+@query(
+    "newton_leaf_values",
+    f"""WITH {boosted_sql(False, 1.0, 1.0, 1)}
+    SELECT root.f AS root_feature, round(root.edge, 6) AS root_cut, low, child.f AS child_feature, round(child.edge, 6) AS child_cut,
+    round(-child.gl / (child.hl + 1), 9) AS left_value, round(-child.gr / (child.hr + 1), 9) AS right_value FROM root, child""",
+)
+def newton_leaf_values(spark, sf_dir):
+    """A two-level tree of second-order boosting: SQL states its cuts and leaf values."""
+    held = boost(boosted_rows(spark, sf_dir), BoostPlan(rounds=1, max_depth=2, prior=False))
+    t = held["trees"][0][0]
+    rows = []
+    for low, child in ((True, t["left"][0]), (False, t["right"][0])):
+        values = [round(t["value"][t[side][child]], 9) for side in ("left", "right")]
+        rows.append((t["feature"][0], round(t["cut"][0], 6), low, t["feature"][child], round(t["cut"][child], 6), *values))
+    return spark.createDataFrame(
+        rows, "root_feature int, root_cut double, low boolean, child_feature int, child_cut double, left_value double, right_value double"
+    )
+
+
+@query(
+    "leafwise_first_splits",
+    f"""WITH {boosted_sql(True, 0.0, 0.001, 20)}
+    SELECT 1 AS split, f AS feature, round(edge, 6) AS cut, round(gain, 5) AS gain FROM root
+    UNION ALL (SELECT 2, f, round(edge, 6), round(gain, 5) FROM child ORDER BY gain DESC LIMIT 1)""",
+)
+def leafwise_first_splits(spark, sf_dir):
+    """Growth stops at three leaves: the root and the better of its two children are split."""
+    plan = BoostPlan(rounds=1, num_leaves=3, l2=0.0, min_rows=20, min_curvature=1e-3)
+    t = boost(boosted_rows(spark, sf_dir), plan)["trees"][0][0]
+    inner = [i for i, f in enumerate(t["feature"]) if f >= 0]  # a child comes after its parent
+    rows = [(n, t["feature"][i], round(t["cut"][i], 6), round(t["gain"][i], 5)) for n, i in enumerate(inner, 1)]
+    return spark.createDataFrame(rows, "split int, feature int, cut double, gain double")
+
+
 LINE_ROW = DIGEST.format(keys="CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)")
 
 

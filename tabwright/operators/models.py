@@ -6,6 +6,7 @@ and the parameter is reported as dropped.
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass, field
 from typing import Any
@@ -20,6 +21,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 
+from tabwright.operators.boosting import HistogramBooster
 from tabwright.operators.fourier import FourierFeatures
 
 # The search space, in search order.
@@ -95,6 +97,10 @@ GRIDS = [
     ),
 ]
 
+# Penalties of the second-order booster where none are given.
+NEWTON_DEFAULTS = {"reg_lambda": 1.0, "gamma": 0.0, "min_child_weight": 1.0}
+LEAF_MIN_ROWS, LEAF_MIN_CURVATURE = 20, 1e-3  # of the leaf-wise booster
+
 DEFAULT_TREES = 100
 DEFAULT_SEED = 42
 MAX_DEPTH = 30  # deepest tree MLlib builds; stands for "no limit"
@@ -155,6 +161,11 @@ def effective_params(family: str, params: dict[str, Any], task: str = "classific
     family = family_for(family, task)
     p = dict(params)
     used: dict[str, Any] = {}
+    engine = p.pop("engine", None)
+    if engine not in (None, "mllib"):
+        raise ValueError(f"unknown engine {engine!r}")
+    if engine:
+        used["engine"] = engine
     if family == "random_forest":
         used["n_estimators"] = int(p.pop("n_estimators", DEFAULT_TREES))
         depth = p.pop("max_depth", None)
@@ -164,12 +175,18 @@ def effective_params(family: str, params: dict[str, Any], task: str = "classific
         used["n_estimators"] = int(p.pop("n_estimators", DEFAULT_TREES))
         depth = int(p.pop("max_depth", None) or {"gradient_boosting": 3, "xgboost": 6, "lightgbm": MAX_DEPTH}[family])
         if family == "lightgbm":
-            depth = min(depth, math.ceil(math.log2(int(p.pop("num_leaves", 31)))))
+            leaves = int(p.pop("num_leaves", 31))
+            if engine:
+                depth = min(depth, math.ceil(math.log2(leaves)))
+            else:
+                used["num_leaves"] = leaves
         used["max_depth"] = depth
         used["learning_rate"] = float(p.pop("learning_rate", 0.3 if family == "xgboost" else 0.1))
         if family == "xgboost":
             used["subsample"] = float(p.pop("subsample", 1.0))
             used["colsample_bytree"] = float(p.pop("colsample_bytree", 1.0))
+            if not engine:
+                used |= {name: float(p.pop(name, value)) for name, value in NEWTON_DEFAULTS.items()}
     elif family == "logistic_regression":
         used["C"] = float(p.pop("C", 1.0))
         used["max_iter"] = int(p.pop("max_iter", 100))
@@ -205,12 +222,39 @@ def _per_class(classifier: Estimator, table: FeatureTable, features: str) -> Est
     )
 
 
+def _boost_settings(family: str, used: dict[str, Any], classify: bool, table: FeatureTable) -> dict[str, Any]:
+    """Settings of the histogram booster that stands for a family."""
+    many = table.n_classes > 2
+    settings = {
+        "objective": ("softmax" if many else "binary") if classify else "squared",
+        "outputs": table.n_classes if classify and many else 1,
+        "rounds": used["n_estimators"],
+        "learning_rate": used["learning_rate"],
+        "max_depth": 0 if used["max_depth"] == MAX_DEPTH else used["max_depth"],
+    }
+    if family == "xgboost":
+        settings |= {
+            "l2": used["reg_lambda"],
+            "min_gain": used["gamma"],
+            "min_curvature": used["min_child_weight"],
+            "subsample": used["subsample"],
+            "column_share": used["colsample_bytree"],
+            "prior": False,
+        }
+    elif family == "lightgbm":
+        settings |= {"num_leaves": used["num_leaves"], "l2": 0.0, "min_rows": LEAF_MIN_ROWS, "min_curvature": LEAF_MIN_CURVATURE}
+    else:
+        settings |= {"second_order": False}
+    return settings
+
+
 def build_model(family: str, params: dict[str, Any], task: str, table: FeatureTable) -> Model:
     """Estimator of a family.
 
-    Gaps: no ``min_samples_split``; splits by histogram; one booster per class
-    instead of a joint one; first-order boosting for the two boosted-library
-    names; the Gaussian kernel by random Fourier features; a Huber loss in place
+    ``xgboost`` is second-order boosting by level, ``lightgbm`` by best leaf, and
+    ``gradient_boosting`` over more than two classes one joint booster; with
+    ``engine="mllib"`` all three are MLlib's first-order booster, one per class.
+    Gaps: no ``min_samples_split``; splits by histogram; the Gaussian kernel by random Fourier features; a Huber loss in place
     of the epsilon tube; one solver for logistic regression.
     """
     family = family_for(family, task)
@@ -227,6 +271,8 @@ def build_model(family: str, params: dict[str, Any], task: str, table: FeatureTa
             seed=used["random_state"],
             **common,
         )
+    elif "engine" not in used and (family in ("xgboost", "lightgbm") or family == "gradient_boosting" and classify and table.n_classes > 2):
+        estimator = HistogramBooster(plan=json.dumps(_boost_settings(family, used, classify, table)), seed=used["random_state"], **common)
     elif family in ("gradient_boosting", "xgboost", "lightgbm"):
         make = GBTClassifier if classify else GBTRegressor
         estimator = make(
