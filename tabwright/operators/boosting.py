@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 
 from tabwright.session import written
 
-BINS = 255
-FEW = 255  # values of a feature that each get a bin of their own
+BINS = 254
+FEW = 254  # values of a feature that each get a bin of their own
 SKETCH_ACCURACY = 10_000
 COLUMNS_AT_ONCE = 64  # features in one sketching aggregate
 ROWS_PER_PART = 500_000
@@ -121,23 +121,30 @@ def bin_edges(rows: DataFrame, width: int) -> list[list[float]]:
     """Ascending edges of each of ``width`` features; a value belongs to the first edge it does not exceed.
 
     Features of up to ``FEW`` values are cut halfway between neighbours, others
-    at quantiles of a sketch. Missing values come last.
+    at quantiles of a sketch. A feature with missing values has a last edge that
+    parts them from all others.
     """
     value = [F.when(~F.isnan(F.col("x")[j]), F.col("x")[j]) for j in range(width)]
     marks = [k / (BINS + 1) for k in range(1, BINS + 1)]
     edges: list[list[float]] = []
     few: list[int] = []
+    tops: list[list[float]] = []
     for start in range(0, width, COLUMNS_AT_ONCE):
         chosen = range(start, min(width, start + COLUMNS_AT_ONCE))
         figures = [
-            F.struct(F.approx_count_distinct(value[j]), F.percentile_approx(value[j], marks, SKETCH_ACCURACY)).alias(f"f{j}")
+            F.struct(
+                F.approx_count_distinct(value[j]),
+                F.percentile_approx(value[j], marks, SKETCH_ACCURACY),
+                F.when(F.count(value[j]) < F.count(F.lit(1)), F.max(value[j])),
+            ).alias(f"f{j}")
             for j in chosen
         ]
         found = rows.agg(*figures).first()
         for j in chosen:
-            n, cuts = found[f"f{j}"]
+            n, cuts, last = found[f"f{j}"]
             few += [j] if n <= FEW * 1.2 else []
-            edges.append(sorted(set(cuts or ())))
+            tops.append([] if last is None else [last])
+            edges.append(sorted({*(cuts or ()), *tops[j]}))
     if few:
         pairs = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), value[j].alias("v")) for j in few]))
         # a sketch that is far too low would let more values through; those features keep their quantiles
@@ -148,7 +155,7 @@ def bin_edges(rows: DataFrame, width: int) -> list[list[float]]:
         for j, seen in values.items():
             if len(seen) <= FEW:
                 seen.sort()
-                edges[j] = [a + (b - a) / 2 for a, b in zip(seen, seen[1:])]
+                edges[j] = [a + (b - a) / 2 for a, b in zip(seen, seen[1:])] + tops[j]
     return edges
 
 
