@@ -121,8 +121,30 @@ threshold_query("svm_linear", "svm", kernel="linear", max_iter=100, C=10.0)
 model_query("random_forest_regressor", "random_forest", "l_extendedprice", "regression", n_estimators=50, max_depth=10)
 model_query("gradient_boosting_regressor", "gradient_boosting", "l_extendedprice", "regression", n_estimators=50, max_depth=3)
 model_query("logistic_regression", "logistic_regression", "l_returnflag", "classification", C=1.0, max_iter=100)
-model_query("svm_rbf", "svm", "l_linestatus", "classification", kernel="rbf", max_iter=100)
-model_query("svr_rbf", "svr", "l_extendedprice", "regression", max_iter=100)
+model_query("svm_rbf", "svm", "l_linestatus", "classification", kernel="rbf", max_iter=100, solver="fourier")
+model_query("svr_rbf", "svr", "l_extendedprice", "regression", max_iter=100, solver="fourier")
+
+threshold_query("svm_dual_classifier", "svm", kernel="rbf", C=100.0, solver="dual")
+threshold_query("svm_dual_three_classes", "svm", classes=3, kernel="rbf", C=100.0, solver="dual")
+
+
+@query(
+    "svr_dual_tube",
+    f"SELECT extract(month FROM o_orderdate) AS month, count(*) AS n_inside FROM orders WHERE {ORDER_ROW} < '{LIMIT}' GROUP BY 1",
+)
+def svr_dual_tube(spark, sf_dir):
+    """A kernel regression whose tube holds every test row: the target is a wave over the months."""
+    month = F.month("o_orderdate")
+    df = table(spark, sf_dir, "orders").select("o_orderkey", month.alias("month"), (F.sin(month / 2.0) * 3).alias("wave"))
+    prepared = prepare(df, "wave", "regression", keys=["o_orderkey"], exclude=["o_orderkey"], string_categoricals="drop")
+    _, fitted, _ = fit_and_score(prepared, "svr", {"C": 100.0, "epsilon": 0.1, "gamma": 4.0, "solver": "dual"})
+    scored = fitted.transform(prepared.vectors(prepared.test))
+    inside = scored.filter(F.abs(F.col("prediction") - F.col("label")) <= 0.1 + 5e-3)
+    # months come back from the label, which is different for each of them
+    waves = df.select("month", F.round("wave", 9).alias("w")).distinct()
+    found = inside.select(F.round("label", 9).alias("w")).join(F.broadcast(waves), "w")
+    return found.groupBy(F.col("month").cast("long").alias("month")).agg(F.count(F.lit(1)).alias("n_inside"))
+
 
 BOOSTED = ["l_quantity", "l_discount", "l_linenumber"]
 

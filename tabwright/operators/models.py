@@ -23,6 +23,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 
 from tabwright.operators.boosting import HistogramBooster
 from tabwright.operators.fourier import FourierFeatures
+from tabwright.operators.support import DualSupport
 
 # The search space, in search order.
 GRIDS = [
@@ -106,6 +107,7 @@ DEFAULT_SEED = 42
 MAX_DEPTH = 30  # deepest tree MLlib builds; stands for "no limit"
 PER_CLASS_PARALLEL = 4
 NORMAL_SOLVER_FEATURES = 4096
+DUAL_ROWS = 20_000  # training rows up to which a Gaussian kernel is solved exactly unless asked otherwise
 
 CLASSIFIERS = [
     "random_forest",
@@ -195,6 +197,12 @@ def effective_params(family: str, params: dict[str, Any], task: str = "classific
         used["kernel"] = p.pop("kernel", "rbf")
         if used["kernel"] == "rbf":
             used["gamma"] = p.pop("gamma", "scale")
+            if "solver" in p:
+                used["solver"] = p.pop("solver")
+                if used["solver"] not in ("dual", "fourier"):
+                    raise ValueError(f"unknown solver {used['solver']!r}")
+        if family == "svr":
+            used["epsilon"] = float(p.pop("epsilon", 0.1))
         used["max_iter"] = int(p.pop("max_iter", 100))
     elif family == "knn":
         used["n_neighbors"] = int(p.pop("n_neighbors", 5))
@@ -222,6 +230,11 @@ def _per_class(classifier: Estimator, table: FeatureTable, features: str) -> Est
     )
 
 
+def _solved_in_dual(used: dict[str, Any], table: FeatureTable) -> bool:
+    """The dual is as large as its carriers, often a share of the rows, so it is left to tables of ``DUAL_ROWS`` unless asked for."""
+    return used.get("solver", "dual" if table.n_train <= DUAL_ROWS else "fourier") == "dual"
+
+
 def _boost_settings(family: str, used: dict[str, Any], classify: bool, table: FeatureTable) -> dict[str, Any]:
     """Settings of the histogram booster that stands for a family."""
     many = table.n_classes > 2
@@ -254,8 +267,10 @@ def build_model(family: str, params: dict[str, Any], task: str, table: FeatureTa
     ``xgboost`` is second-order boosting by level, ``lightgbm`` by best leaf, and
     ``gradient_boosting`` over more than two classes one joint booster; with
     ``engine="mllib"`` all three are MLlib's first-order booster, one per class.
-    Gaps: no ``min_samples_split``; splits by histogram; the Gaussian kernel by random Fourier features; a Huber loss in place
-    of the epsilon tube; one solver for logistic regression.
+    A Gaussian kernel is solved in the dual, with the epsilon tube for
+    regression, up to ``DUAL_ROWS`` training rows or with ``solver="dual"``;
+    beyond, or with ``solver="fourier"``, by random Fourier features and a Huber
+    loss. Gaps: no ``min_samples_split``; splits by histogram; one solver for logistic regression.
     """
     family = family_for(family, task)
     used, dropped = effective_params(family, params, task)
@@ -297,6 +312,10 @@ def build_model(family: str, params: dict[str, Any], task: str, table: FeatureTa
     elif family == "linear_regression":
         solver = "normal" if len(table.names) <= NORMAL_SOLVER_FEATURES else "l-bfgs"
         estimator = LinearRegression(regParam=0.0, solver=solver, **common)
+    elif family in ("svm", "svr") and used["kernel"] == "rbf" and _solved_in_dual(used, table):
+        estimator = DualSupport(
+            c=used["C"], gamma=_gamma(used["gamma"], table), epsilon=used.get("epsilon"), classes=table.n_classes or 2, **common
+        )
     elif family in ("svm", "svr"):
         stages, features = [], table.features
         if used["kernel"] == "rbf":
