@@ -19,6 +19,7 @@ from tabwright.operators.boosting import BoostPlan, boost
 from tabwright.operators.metrics import confusion_matrix
 from tabwright.operators.models import FeatureTable, build_model
 from tabwright.operators.runs import get_run
+from tabwright.operators.split import hash_split
 from tabwright.plans.experiment import dataset_info, fit_and_score, prepare, run_experiment, save_scorer
 from tabwright.plans.search import save_results, search
 from tabwright.session import fresh_path
@@ -124,6 +125,33 @@ model_query("logistic_regression", "logistic_regression", "l_returnflag", "class
 model_query("svm_rbf", "svm", "l_linestatus", "classification", kernel="rbf", max_iter=100, solver="fourier")
 model_query("svr_rbf", "svr", "l_extendedprice", "regression", max_iter=100, solver="fourier")
 
+threshold_query("deep_forest_classifier", "random_forest", n_estimators=20, max_depth=None, min_samples_split=5)
+threshold_query("logistic_classifier", "logistic_regression", C=10.0, max_iter=100)
+
+
+def steps_query(name, family, **params):
+    """A number that is a step function of the month must come back for every test row, to the nearest whole number."""
+
+    @query(
+        name,
+        f"SELECT o_orderkey, CAST((extract(month FROM o_orderdate) * 7) % 12 AS BIGINT) AS prediction FROM orders WHERE {ORDER_ROW} < '{LIMIT}'",
+    )
+    def run(spark, sf_dir):
+        month = F.month("o_orderdate")
+        orders = table(spark, sf_dir, "orders")
+        df = orders.select("o_orderkey", month.alias("month"), "o_orderpriority", ((month * 7) % 12).cast("double").alias("y"))
+        prepared = prepare(df, "y", "regression", keys=["o_orderkey"], exclude=["o_orderkey"])
+        _, fitted, _ = fit_and_score(prepared, family, params)
+        test = prepared.preprocessor.transform(hash_split(df, ["o_orderkey"]).filter("is_test"), ["o_orderkey"])
+        return fitted.transform(test).select("o_orderkey", F.round("prediction").cast("long").alias("prediction"))
+
+    return run
+
+
+steps_query("deep_forest_regressor", "random_forest", n_estimators=10, max_depth=None)
+steps_query("forest_regressor_steps", "random_forest", n_estimators=10, max_depth=10)
+steps_query("boosting_regressor_steps", "gradient_boosting", n_estimators=40, max_depth=10)
+steps_query("newton_regressor_steps", "xgboost", n_estimators=15, max_depth=10)
 threshold_query("svm_dual_classifier", "svm", kernel="rbf", C=100.0, solver="dual")
 threshold_query("svm_dual_three_classes", "svm", classes=3, kernel="rbf", C=100.0, solver="dual")
 

@@ -22,6 +22,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 
 from tabwright.operators.boosting import HistogramBooster
+from tabwright.operators.forest import DeepForest
 from tabwright.operators.fourier import FourierFeatures
 from tabwright.operators.support import DualSupport
 
@@ -171,7 +172,11 @@ def effective_params(family: str, params: dict[str, Any], task: str = "classific
     if family == "random_forest":
         used["n_estimators"] = int(p.pop("n_estimators", DEFAULT_TREES))
         depth = p.pop("max_depth", None)
-        used["max_depth"] = MAX_DEPTH if depth is None else min(int(depth), MAX_DEPTH)
+        if engine:
+            used["max_depth"] = MAX_DEPTH if depth is None else min(int(depth), MAX_DEPTH)
+        else:
+            used["max_depth"] = int(depth or 0)  # 0: no limit
+            used["min_samples_split"] = int(p.pop("min_samples_split", 2))
         used["min_samples_leaf"] = int(p.pop("min_samples_leaf", 1))
     elif family in ("gradient_boosting", "xgboost", "lightgbm"):
         used["n_estimators"] = int(p.pop("n_estimators", DEFAULT_TREES))
@@ -270,13 +275,24 @@ def build_model(family: str, params: dict[str, Any], task: str, table: FeatureTa
     A Gaussian kernel is solved in the dual, with the epsilon tube for
     regression, up to ``DUAL_ROWS`` training rows or with ``solver="dual"``;
     beyond, or with ``solver="fourier"``, by random Fourier features and a Huber
-    loss. Gaps: no ``min_samples_split``; splits by histogram; one solver for logistic regression.
+    loss. A forest without a depth limit, or with ``min_samples_split``, is grown
+    to the end below MLlib's top. Gaps: boosting knows no ``min_samples_split``
+    and splits by histogram; one solver for logistic regression.
     """
     family = family_for(family, task)
     used, dropped = effective_params(family, params, task)
     common = {"featuresCol": table.features, "labelCol": table.label}
     classify = task == "classification"
-    if family == "random_forest":
+    if family == "random_forest" and (not 0 < used["max_depth"] <= MAX_DEPTH or used.get("min_samples_split", 2) > 2):
+        settings = {
+            "trees": used["n_estimators"],
+            "classes": max(table.n_classes, 2) if classify else 0,
+            "min_split": used["min_samples_split"],
+            "min_leaf": used["min_samples_leaf"],
+            "max_depth": used["max_depth"],
+        }
+        estimator = DeepForest(settings=json.dumps(settings), seed=used["random_state"], **common)
+    elif family == "random_forest":
         make = RandomForestClassifier if classify else RandomForestRegressor
         estimator = make(
             numTrees=used["n_estimators"],

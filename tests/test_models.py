@@ -71,8 +71,11 @@ def test_many_classes_one_vs_rest(spark):
 
 
 def test_effective_params():
-    used, dropped = effective_params("random_forest", {"max_depth": None, "min_samples_split": 5})
+    deep = {"max_depth": None, "min_samples_split": 5}
+    used, dropped = effective_params("random_forest", {**deep, "engine": "mllib"})
     assert used["max_depth"] == 30 and used["n_estimators"] == 100 and dropped == ["min_samples_split"]
+    used, dropped = effective_params("random_forest", deep)
+    assert (used["max_depth"], used["min_samples_split"]) == (0, 5) and dropped == []
     leafy = {"max_depth": 7, "num_leaves": 20, "subsample": 0.8}
     used, dropped = effective_params("lightgbm", {**leafy, "engine": "mllib"})
     assert used["max_depth"] == 5 and dropped == ["subsample"]
