@@ -21,7 +21,7 @@ from tabwright.operators.models import FeatureTable, build_model
 from tabwright.operators.runs import get_run
 from tabwright.operators.split import hash_split
 from tabwright.plans.experiment import dataset_info, fit_and_score, prepare, run_experiment, save_scorer
-from tabwright.plans.search import save_results, search
+from tabwright.plans.search import run_trials, save_results, search
 from tabwright.session import fresh_path
 from tabwright.streaming.scoring import Scorer
 
@@ -126,6 +126,7 @@ model_query("svm_rbf", "svm", "l_linestatus", "classification", kernel="rbf", ma
 model_query("svr_rbf", "svr", "l_extendedprice", "regression", max_iter=100, solver="fourier")
 
 threshold_query("deep_forest_classifier", "random_forest", n_estimators=20, max_depth=None, min_samples_split=5)
+threshold_query("logistic_penalised_intercept", "logistic_regression", C=10.0, max_iter=100, solver="liblinear")
 threshold_query("logistic_classifier", "logistic_regression", C=10.0, max_iter=100)
 
 
@@ -325,6 +326,46 @@ def single_experiment(spark, sf_dir):
     return run.select("experiment", "status", F.explode("metrics").alias("metric", "value"))
 
 
+@query(
+    "experiment_steps",
+    """SELECT 'FINISHED' AS status, '10,50,90,100' AS progress, 1.0::DOUBLE AS accuracy, CAST(count(*) AS VARCHAR) AS n_samples,
+    'random_forest' AS model_type, 'late' AS target_column, 1::BIGINT AS n_logged FROM orders""",
+)
+def experiment_steps(spark, sf_dir):
+    """An experiment whose target is a step of the month: its progress, its score and its logged run."""
+    month = F.month("o_orderdate")
+    df = table(spark, sf_dir, "orders").select("o_orderkey", month.alias("month"), "o_orderpriority", (month > 6).cast("int").alias("late"))
+    path, told = fresh_path(spark, "steps-runs"), []
+    params = {
+        "target_column": "late",
+        "model_type": "random_forest",
+        "model_params": {"n_estimators": 20, "max_depth": 5},
+        "keys": ["o_orderkey"],
+        "exclude": ["o_orderkey"],
+    }
+    run = run_experiment(df, params, "orders", lambda percent, _: told.append(str(percent)), runs_path=path)
+    logged = spark.read.parquet(path).join(run.select("run_id"), "run_id", "left_semi").count()
+    return run.select(
+        "status",
+        F.lit(",".join(told)).alias("progress"),
+        F.col("metrics")["accuracy"].alias("accuracy"),
+        *[F.col("params")[name].alias(name) for name in ("n_samples", "model_type", "target_column")],
+        F.lit(logged).cast("long").alias("n_logged"),
+    )
+
+
+@query(
+    "search_deadline",
+    "SELECT n AS trial_no, 'timeout' AS status, (SELECT count(*) FROM orders) AS n_samples FROM (VALUES (1), (2), (3)) t(n)",
+)
+def search_deadline(spark, sf_dir):
+    """A search that may take no time: no trial begins, each has its row."""
+    df = table(spark, sf_dir, "orders").drop("o_custkey")
+    prepared = prepare(df, "o_orderstatus", keys=["o_orderkey"], exclude=["o_orderkey"])
+    rows = run_trials(prepared, TR.trial_plan(TR.param_grid(TR.grid_table(spark)), ["logistic_regression"], 3), timeout=0.0)
+    return rows.select(F.col("trial_no").cast("int").alias("trial_no"), "status", F.lit(prepared.n_samples).cast("long").alias("n_samples"))
+
+
 @query("run_log")
 def run_log(spark, sf_dir):
     """Two runs appended to a run table and read back."""

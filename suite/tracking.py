@@ -12,7 +12,7 @@ from tabwright.operators import runs as R
 from tabwright.operators import trials as TR
 from tabwright.operators.profile import profile
 from tabwright.session import fresh_path
-from tabwright.sources.catalog import catalog, saved_profile, upload
+from tabwright.sources.catalog import catalog, folder_catalog, saved_profile, upload
 from tabwright.sources.csv import load_csv
 from tabwright.streaming.registry_log import watch, write_log
 
@@ -412,3 +412,55 @@ def dataset_upload(spark, sf_dir):
     folder = fresh_path(spark, "datasets")
     upload(table(spark, sf_dir, "lineitem"), folder, "lineitem")
     return saved_profile(spark, folder, "lineitem").select("column", "pos", "n_rows", "n_missing", "kind", "is_target")
+
+
+# Columns, number columns and text columns of the given tables.
+SHAPES = {
+    "region": (2, 1, 1),
+    "nation": (3, 2, 1),
+    "customer": (5, 3, 2),
+    "supplier": (4, 3, 1),
+    "part": (6, 3, 3),
+    "orders": (6, 3, 2),
+    "lineitem": (11, 8, 2),
+    "events": (6, 3, 2),
+    "documents": (5, 2, 3),
+    "embeddings": (3, 2, 0),
+    "pages": (3, 1, 2),
+    "benchmark": (2, 1, 1),
+    "labels": (3, 3, 0),
+    "conversations": (4, 2, 2),
+}
+
+
+@query(
+    "folder_catalog",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, count(*) AS n_rows, CAST({n} AS BIGINT) AS n_columns, "
+        f"CAST({numbers} AS BIGINT) AS n_numerical, CAST({texts} AS BIGINT) AS n_categorical FROM {t}"
+        for t, (n, numbers, texts) in SHAPES.items()
+    ),
+)
+def whole_folder_catalog(spark, sf_dir):
+    """All tables of the folder; none has a saved profile, so columns are counted by type."""
+    return folder_catalog(spark, sf_dir)
+
+
+@query(
+    "runs_ended",
+    """SELECT o_orderkey AS run_id, CASE o_orderstatus WHEN 'F' THEN 'FINISHED' WHEN 'P' THEN 'FAILED' ELSE 'RUNNING' END AS status,
+    o_custkey AS experiment, CASE WHEN o_orderstatus IN ('F', 'P') THEN o_orderkey * 2 END AS end_time FROM orders""",
+)
+def runs_ended(spark, sf_dir):
+    """A run per order: open orders still run, filled ones have ended, partly filled ones have failed."""
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    starts = orders.select(
+        key.alias("run_id"), F.lit(1).cast("long").alias("seq"), F.col("o_custkey").alias("experiment"), F.lit("RUNNING").alias("status"),
+        F.lit(None).cast("long").alias("end_time"),
+    )
+    closing = orders.select(key.alias("run_id"), F.lit(2).cast("long").alias("seq"), (key * 2).alias("at"), "o_orderstatus")
+    ends = R.end_run_events(closing.filter("o_orderstatus = 'F'")).unionByName(
+        R.end_run_events(closing.filter("o_orderstatus = 'P'"), "FAILED")
+    )
+    return R.runs_latest(starts.unionByName(ends, allowMissingColumns=True))

@@ -22,7 +22,7 @@ from tabwright.operators.profile import ENCODE_MAX
 
 STATS_SCHEMA = "column string, pos int, role string, stat string, num double, txt string"
 MAX_CATEGORIES = 1000
-LABEL_TEXT = f"{RESERVED}label_text"
+LABEL_TEXT, LABEL_ROWS = f"{RESERVED}label_text", f"{RESERVED}label_rows"
 
 
 # ---- label codes -----------------------------------------------------------------------------
@@ -67,8 +67,13 @@ def label_encode(
         return hot_key_join(tagged, keyed, LABEL_TEXT, "n").drop(LABEL_TEXT)
     known = codes.count()
     keyed = codes.select(F.col("value").alias(LABEL_TEXT), F.col("code").alias(output))
-    keyed = F.broadcast(keyed) if known <= MAX_CATEGORIES else keyed
-    joined = df.withColumn(LABEL_TEXT, text).join(keyed, LABEL_TEXT, "left")
+    tagged = df.withColumn(LABEL_TEXT, text)
+    if known <= MAX_CATEGORIES:
+        joined = tagged.join(F.broadcast(keyed), LABEL_TEXT, "left")
+    else:
+        # the rows at hand tell which labels are hot, ``nan`` often; unseen ones have no code
+        sizes = tagged.groupBy(LABEL_TEXT).agg(F.count(F.lit(1)).alias(LABEL_ROWS))
+        joined = hot_key_join(tagged, sizes.join(keyed, LABEL_TEXT, "left"), LABEL_TEXT, LABEL_ROWS)
     if handle_invalid == "keep":
         free = F.lit(known).cast("long")
         return joined.withColumn(output, F.coalesce(F.col(output), free)).drop(LABEL_TEXT)

@@ -24,6 +24,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from tabwright.operators.boosting import HistogramBooster
 from tabwright.operators.forest import DeepForest
 from tabwright.operators.fourier import FourierFeatures
+from tabwright.operators.penalised import PenalisedLogistic
 from tabwright.operators.support import DualSupport
 
 # The search space, in search order.
@@ -197,6 +198,10 @@ def effective_params(family: str, params: dict[str, Any], task: str = "classific
     elif family == "logistic_regression":
         used["C"] = float(p.pop("C", 1.0))
         used["max_iter"] = int(p.pop("max_iter", 100))
+        used["solver"] = p.pop("solver", "lbfgs")
+        used["penalty"] = p.pop("penalty", "l2")
+        if used["solver"] not in ("lbfgs", "liblinear") or used["penalty"] not in ("l1", "l2"):
+            raise ValueError(f"unknown solver {used['solver']!r} or penalty {used['penalty']!r}")
     elif family in ("svm", "svr"):
         used["C"] = float(p.pop("C", 1.0))
         used["kernel"] = p.pop("kernel", "rbf")
@@ -277,7 +282,8 @@ def build_model(family: str, params: dict[str, Any], task: str, table: FeatureTa
     beyond, or with ``solver="fourier"``, by random Fourier features and a Huber
     loss. A forest without a depth limit, or with ``min_samples_split``, is grown
     to the end below MLlib's top. Gaps: boosting knows no ``min_samples_split``
-    and splits by histogram; one solver for logistic regression.
+    and splits by histogram. ``solver="liblinear"`` of the logistic family
+    penalises the intercept too; ``penalty="l1"`` works with both solvers.
     """
     family = family_for(family, task)
     used, dropped = effective_params(family, params, task)
@@ -318,13 +324,17 @@ def build_model(family: str, params: dict[str, Any], task: str, table: FeatureTa
         if classify:
             estimator = _per_class(estimator, table, table.features)
     elif family == "logistic_regression":
-        estimator = LogisticRegression(
-            regParam=1.0 / (used["C"] * table.n_train),
-            elasticNetParam=0.0,
-            standardization=False,
-            maxIter=used["max_iter"],
-            **common,
-        )
+        settings = {
+            "regParam": 1.0 / (used["C"] * table.n_train),
+            "elasticNetParam": 1.0 if used["penalty"] == "l1" else 0.0,
+            "standardization": False,
+            "maxIter": used["max_iter"],
+        }
+        if used["solver"] == "lbfgs":
+            estimator = LogisticRegression(**settings, **common)
+        else:
+            own = {"c": used["C"], "l1": used["penalty"] == "l1", "steps": used["max_iter"], "classes": table.n_classes}
+            estimator = PenalisedLogistic(settings=json.dumps(own), **common)
     elif family == "linear_regression":
         solver = "normal" if len(table.names) <= NORMAL_SOLVER_FEATURES else "l-bfgs"
         estimator = LinearRegression(regParam=0.0, solver=solver, **common)

@@ -19,6 +19,7 @@ from pyspark.sql.utils import AnalysisException
 from tabwright.functions.schema import RESERVED, quoted
 from tabwright.operators.knn import knn_predict
 from tabwright.operators.metrics import evaluate
+from tabwright.operators.profile import profile, profile_summary
 from tabwright.operators.models import FeatureTable, Model, build_model
 from tabwright.operators.select import select_k_best, selected_features
 from tabwright.operators.split import hash_split
@@ -161,8 +162,13 @@ def _reassemble(table: DataFrame, names: Sequence[str]) -> DataFrame:
     return packed.toDF(ROW_ID, IS_TEST, LABEL, *names, FEATURES)
 
 
-def dataset_info(prepared: Prepared, name: str) -> DataFrame:
-    """One row describing a prepared table."""
+def dataset_info(prepared: Prepared, name: str, source: DataFrame | None = None) -> DataFrame:
+    """One row describing a prepared table; with its ``source`` also ``summary``, the profile's figures as JSON."""
+    if source is not None:
+        roles = prepared.preprocessor.roles
+        summary = profile_summary(profile(source, distinct="adaptive"), roles.target)
+        plain = summary.select(F.to_json(F.struct(*summary.columns)).alias("summary"))
+        return dataset_info(prepared, name).join(plain)  # one row and one row
     spark = prepared.table.sparkSession
     roles, classes = prepared.preprocessor.roles, prepared.preprocessor.classes
     shown = classes if classes is not None and len(classes) <= 20 else None

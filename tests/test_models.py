@@ -124,7 +124,7 @@ def test_search_keeps_failures_and_saves(spark, separable, folder):
     result = search(separable, keys=["id"], exclude=["id"], plan=plan)
     rows = {r["trial_no"]: r for r in result.trials.collect()}
     assert rows[1]["status"] == "failed" and "nope" in rows[1]["error"] and rows[1]["metrics"] == {}
-    assert rows[2]["status"] == "completed" and rows[2]["dropped"] == ["solver"]
+    assert rows[2]["status"] == "completed" and rows[2]["dropped"] == []
     assert [r["rank"] for r in result.leaderboard().collect()] == [1, 2]
     save_results(result, "toy", folder)
     head = spark.read.json(f"{folder}/header").first()
@@ -291,3 +291,41 @@ def test_source_columns_may_have_any_name(spark):
         prepared.preprocessor.transform(df)
     with pytest.raises(ValueError, match="reserved"):
         X.prepare(df.withColumn("_tabwright_label", F.lit(1)), "late", keys=["id"])
+
+
+def test_penalised_intercept_and_l1_meet_their_conditions(spark):
+    """At the optimum the slope of the loss meets the penalty: equal for L2, within its box and zeroing weights for L1."""
+    import json
+
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (300, 5))
+    y = (x[:, 0] - 0.5 * x[:, 1] + 0.8 + rng.normal(0, 1, 300) > 0).astype(float)
+    df = spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x, y)], "x array<double>, label double")
+    df = df.select(array_to_vector("x").alias("features"), "label")
+    wide = np.c_[x, np.ones(300)]
+    for penalty, c in (("l2", 0.05), ("l1", 0.05)):
+        params = {"C": c, "solver": "liblinear", "penalty": penalty, "max_iter": 500}
+        fitted = build_model("logistic_regression", params, "classification", FeatureTable(tuple("abcde"), 300)).estimator.fit(df)
+        w = np.array(json.loads(fitted.getOrDefault(fitted.weights))[0])
+        slope = c * wide.T @ (1 / (1 + np.exp(-wide @ w)) - y)
+        if penalty == "l2":
+            assert np.allclose(slope, -w, atol=1e-4)
+        else:
+            assert (np.abs(w[2:5]) == 0).all() and np.abs(w[0]) > 0
+            assert np.allclose(slope[w != 0], -np.sign(w[w != 0]), atol=1e-4) and (np.abs(slope) <= 1 + 1e-4).all()
+            assert fitted.transform(df).filter("prediction = label").count() > 220
+    three = df.withColumn("label", F.pmod(F.monotonically_increasing_id(), F.lit(3)).cast("double"))
+    many = build_model("logistic_regression", {"solver": "liblinear"}, "classification", FeatureTable(tuple("abcde"), 300, 3))
+    assert many.estimator.fit(three).transform(three).select("prediction").distinct().count() > 1
+
+
+def test_info_row_holds_the_summary(separable, prepared):
+    import json
+
+    row = X.dataset_info(prepared, "toy", separable).first()
+    summary = json.loads(row["summary"])
+    assert summary["target"] == "target" and summary["n_rows"] == 400 and summary["columns"] == separable.columns
+    assert summary["types"]["c"] == "categorical" and row["n_samples"] == 400
