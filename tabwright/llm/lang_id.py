@@ -355,6 +355,8 @@ def identify(docs: DataFrame, models: Models | None, columns: list[str], text: s
 
 
 def accepted(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows whose language is recognised, with all their columns."""
+    """The rows whose language is recognised, with all their columns; all rows where none has a language to learn from."""
     models = learn(docs, key, text, lang)
+    if models is None:
+        return docs
     return identify(docs, models, docs.columns, text).filter(~F.col("_llm_rejected")).select(*docs.columns)

@@ -289,6 +289,19 @@ def join(
 ) -> DataFrame:
     """One row per row of ``docs``: key, class_id (smallest key with the same shingles), n_links (rows linked to it,
     copies included), component_id (smallest key reachable by links), kept (the row that names its component)."""
+    return _joined(docs, key, text, threshold, words, recall, bucket).drop("cid", "root")
+
+
+def _joined(
+    docs: DataFrame,
+    key: str,
+    text: str,
+    threshold: float = THRESHOLD,
+    words: int = WORDS,
+    recall: float = RECALL,
+    bucket: int = BUCKET,
+) -> DataFrame:
+    """:func:`join` with ``cid``, the class of equal shingles, and ``root``, the class that stands for the component."""
     runs = runs_for(threshold, recall)
     rows = docs.select(F.col(key).alias("_key"), text_of(text).alias("_text"))
     kind = rows.schema["_key"].dataType.simpleString()
@@ -316,12 +329,13 @@ def join(
     named = roots.join(classes, "node").groupBy("root").agg(F.min("first").alias("component"))
     found = written(
         classes.join(links, "node", "left")
-        .join(roots.join(named, "root").select("node", "component"), "node", "left")
+        .join(roots.join(named, "root").select("node", "component", "root"), "node", "left")
         .select(
             F.col("node").alias("cid"),
             "first",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
             F.coalesce("component", "first").alias("component"),
+            F.coalesce("root", "node").alias("root"),
             "copies",
         ),
         "join-results",
@@ -332,15 +346,37 @@ def join(
         F.coalesce("links", F.lit(0).cast("long")).alias("n_links"),
         F.when(F.col("cid").isNull(), F.col("key")).otherwise(F.col("component")).alias("component_id"),
         (F.col("cid").isNull() | F.col("key").eqNullSafe(F.col("component"))).alias("kept"),
+        "cid",
+        "root",
     )
 
 
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, one of each group of near copies, with all columns."""
-    found = written(join(docs, key, text).filter("kept").groupBy(F.col(key).alias("_llm_key")).agg(F.count(F.lit(1)).alias("_llm_n")), "join-kept")
+    """The rows that stay, one of each group of near copies, with all columns.
+
+    Rows that share their key with others are told apart by their shingles, and
+    one of each key and group stays. Texts without a word are no copies.
+    """
+    kept = written(_joined(docs, key, text).select(F.col(key).alias("_llm_key"), "cid", "root", "kept"), "join-kept")
+    counts = kept.groupBy("_llm_key").agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("k")).filter("k > 0")
+    counts = written(counts, "join-keys")
     same = F.col(key).eqNullSafe(F.col("_llm_key"))
-    stay = docs.join(found.filter("_llm_n = 1"), same, "left_semi")
-    again = found.filter("_llm_n > 1")
-    if again.isEmpty():
+    stay = docs.join(counts.filter("n = 1"), same, "left_semi")
+    shared = counts.filter("n > 1").select("_llm_key")
+    if shared.isEmpty():
         return stay
-    return stay.unionByName(docs.join(again, same, "left_semi").dropDuplicates([key, text]))
+    rows = written(docs.join(shared, same, "left_semi").withColumn("_llm_row", F.monotonically_increasing_id()), "join-shared")
+    texts = rows.select(F.col("_llm_row").alias("_key"), text_of(text).alias("_text"))
+    described = texts.mapInArrow(
+        _describe(WORDS, 1), "key long, cid binary, n long, shingles binary, chosen array<long>"
+    ).select(F.col("key").alias("_llm_row"), "cid")
+    told = rows.select("_llm_row", F.col(key).alias("_key")).join(described, "_llm_row")
+    standing = kept.filter("kept AND cid IS NOT NULL").select("_llm_key", "cid", "root").distinct()
+    one = (
+        told.join(standing, F.col("_key").eqNullSafe(F.col("_llm_key")) & (told["cid"] == standing["cid"]))
+        .groupBy("_llm_key", "root")
+        .agg(F.min("_llm_row").alias("_llm_row"))
+        .select("_llm_row")
+    )
+    bare = told.filter("cid IS NULL").select("_llm_row")
+    return stay.unionByName(rows.join(one.unionByName(bare), "_llm_row", "left_semi").drop("_llm_row"))

@@ -427,11 +427,30 @@ def _read(folder: str, width: int):
     return kernel
 
 
+def _shard_of(shards: list[tuple[int, int, int]]):
+    """Shard and place there of documents numbered through the store, from (shard, first, documents)."""
+
+    def kernel(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        held = sorted((first, shard) for shard, first, docs in shards if docs)
+        firsts, numbers = (np.array(c, np.int64) for c in zip(*held)) if held else (np.zeros(1, np.int64),) * 2
+        for batch in batches:
+            doc = batch["doc"].to_numpy(zero_copy_only=False)
+            place = np.searchsorted(firsts, doc, side="right") - 1
+            yield pa.RecordBatch.from_arrays(
+                [batch["key"], pa.array(numbers[place]), pa.array(doc - firsts[place])], ["key", "shard", "number"]
+            )
+
+    return kernel
+
+
 def read_digests(store: TokenStore, keys: DataFrame, key: str = "doc_id") -> DataFrame:
     """Look every key of ``keys`` up in the index and read its ids back from the shards.
 
-    One row per stored document with such a key: key, shard, start (ids of all
-    documents before it), n_tokens, ids_crc32. A missing key finds the
+    One row per stored document with such a key: key, start (ids of all
+    documents before it), n_tokens, ids_crc32, shard. A missing key finds the
     documents stored without one.
     """
     spark = store.spark
@@ -463,15 +482,12 @@ def read_digests(store: TokenStore, keys: DataFrame, key: str = "doc_id") -> Dat
     first = found.join(F.broadcast(starts.select("shard", "first")), "shard").select(
         "key", F.explode(F.sequence(F.col("first") + F.col("number"), F.col("first") + F.col("number") + F.col("copies") - 1)).alias("doc")
     )
-    ranges = F.broadcast(starts.withColumn("past", F.col("first") + F.col("docs")))
-    at = first.join(ranges, (F.col("doc") >= F.col("first")) & (F.col("doc") < F.col("past"))).select(
-        "key", "shard", (F.col("doc") - F.col("first")).alias("number")
-    )
+    at = first.mapInArrow(_shard_of([(r[0], r[1], r[3]) for r in store.manifest]), "key long, shard long, number long")
     read = (
         at.repartitionByRange(n_parts, "shard", "number")
         .sortWithinPartitions("shard", "number")
         .mapInArrow(_read(store.folder, store.width), "key long, shard long, at long, n_tokens long, ids_crc32 long")
     )
     return read.join(F.broadcast(starts.select("shard", F.col("start").alias("_before"))), "shard").select(
-        F.col("key").alias(key), "shard", (F.col("_before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"
+        F.col("key").alias(key), (F.col("_before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", "shard"
     )

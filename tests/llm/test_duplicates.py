@@ -216,3 +216,20 @@ def test_automaton_matches_equal_search():
             if tuple(t[i : i + 5]) in grams:
                 covered.update(range(i, i + 5))
         assert {i for a, b in automaton.matches(t, 5) for i in range(a, b)} == covered
+
+
+def test_representatives_with_repeated_keys(spark):
+    a = "one two three four five six seven eight nine ten eleven twelve"
+    b = "red green blue white black pink brown grey gold silver olive teal"
+    rows = [(1, a), (2, a), (2, b), (3, b), (4, a + " thirteen"), (5, None), (5, None), (6, b), (6, b), (None, "z " + b)]
+    docs = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "doc_id long, text string, root int")
+    left = ngram_join.representatives(docs)
+    assert left.columns == docs.columns
+    near = {r.doc_id for r in left.collect() if r.text and r.text.startswith("one")}
+    assert near == {1}
+    assert sorted((r.doc_id, r.text) for r in left.collect() if r.text and "red" in r.text and r.doc_id is not None) in ([], [(2, b)])
+    assert sum(bool(r.text) and "red" in r.text for r in left.collect()) == 1
+    assert sum(r.text is None for r in left.collect()) == 2
+    twice = spark.createDataFrame([(7, a), (7, a), (7, b), (7, "p " + b)], "doc_id long, text string")
+    texts = sorted(r.text for r in ngram_join.representatives(twice).collect())
+    assert len(texts) == 2 and texts[0] == a

@@ -213,3 +213,18 @@ def test_pipeline_stages(spark, sf_dir):
     pieces = corpus_pipeline.run(spark, sf_dir).collect()
     assert {r.doc_id for r in pieces} == {r.doc_id for r in current.collect()}
 
+
+
+def test_stages_of_unlabelled_and_repeated_rows(spark, odd_docs, no_docs):
+    """Rows without any language label pass, empty tables stay empty, repeated keys keep one row of each text."""
+    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    docs = spark.createDataFrame([(k, t, None, "s", len(t or "")) for k, t in rows], no_docs.schema)
+    for table, empty in ((docs, False), (no_docs, True)):
+        current = table
+        for name, stage in corpus_pipeline.STAGES:
+            current = stage(spark, current, "")
+            if name == "language_id":
+                assert current.count() == table.count()
+            if name != "packing":
+                assert current.columns == table.columns
+        assert current.isEmpty() == empty
