@@ -41,6 +41,7 @@ GRAM = 5
 HOT = 20_000  # segments of an anchor that one automaton takes: about 200 MB if all differ
 DRAWN = 64  # one text in so many tells which anchors crowd
 CROWDED = 10_000
+KNOWN = 1_000_000  # hot anchors that every task may be told: 8 MB
 SLICE_BYTES = 1 << 20
 
 
@@ -160,8 +161,46 @@ def _describe(window: int, gram: int):
     return kernel
 
 
-def _segments(window: int, gram: int):
-    """Segments of the documents whose anchors are in ``shared``, as 64-bit word hashes."""
+def _among(handle):
+    """Which anchors are in a broadcast array."""
+    import numpy as np
+
+    return lambda anchors: np.isin(anchors, handle.value)
+
+
+def _common(handle):
+    """Rows (tag, shared): the anchors of each text that are in the broadcast array."""
+
+    def kernel(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            flat = batch["anchors"].flatten().to_numpy(zero_copy_only=False)
+            sizes = batch["anchors"].value_lengths().to_numpy(zero_copy_only=False)
+            hit = _among(handle)(flat)
+            offsets = np.r_[0, np.cumsum(hit)][np.r_[0, np.cumsum(sizes)]].astype(np.int32)
+            out = pa.RecordBatch.from_arrays(
+                [batch["tag"], pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat[hit], pa.int64()))], names=["tag", "shared"]
+            )
+            yield out.filter(pa.array(offsets[1:] > offsets[:-1]))
+
+    return kernel
+
+
+def _stretches(part, window: int, gram: int):
+    """For each text: row, word hashes, first and last window of the segments with a shared anchor, their anchors."""
+    import numpy as np
+
+    for row, (text, shared) in enumerate(zip(part["_text"].to_pylist(), part["shared"])):
+        hashes, _, _ = word_hashes(text.encode("utf-8", "surrogatepass"))
+        first, last, anchor = anchors_of(hashes, window, gram)
+        ours = np.isin(anchor, shared.values.to_numpy(zero_copy_only=False))
+        yield row, hashes, first[ours], last[ours], anchor[ours]
+
+
+def _tallies(window: int, gram: int):
+    """Rows (anchor, n): segments of each anchor."""
 
     def kernel(batches: Iterator) -> Iterator:
         import numpy as np
@@ -169,22 +208,41 @@ def _segments(window: int, gram: int):
 
         for batch in batches:
             for part in slices(batch, SLICE_BYTES, "_text"):
-                rows = []
-                for key, tag, text, shared in zip(
-                    part["key"].to_pylist(), part["tag"].to_pylist(), part["_text"].to_pylist(), part["shared"].to_pylist()
-                ):
-                    hashes, _, _ = word_hashes(text.encode("utf-8", "surrogatepass"))
-                    first, last, anchor = anchors_of(hashes, window, gram)
-                    for i in np.flatnonzero(np.isin(anchor, np.array(shared, np.int64))).tolist():
-                        a, b = int(first[i]), int(last[i]) + window
-                        rows.append((int(anchor[i]), key, tag, a, hashes[a:b].tobytes()))
-                anchors, keys, tags, starts, words = zip(*rows) if rows else ((),) * 5
+                found = [anchor for *_, anchor in _stretches(part, window, gram)]
+                anchor, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(n.astype(np.int64))], names=["anchor", "n"])
+
+    return kernel
+
+
+def _segments(window: int, gram: int, handle=None, inside: bool = False):
+    """Segments of the documents whose anchors are in ``shared``, as 64-bit word hashes.
+
+    With ``handle`` only those whose anchors are in the broadcast array (``inside``) or are not.
+    """
+
+    def kernel(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for part in slices(batch, SLICE_BYTES, "_text"):
+                rows, anchors, starts, words = [], [], [], []
+                for row, hashes, first, last, anchor in _stretches(part, window, gram):
+                    if handle is not None:
+                        ours = _among(handle)(anchor) == inside
+                        first, last, anchor = first[ours], last[ours], anchor[ours]
+                    rows += [row] * len(first)
+                    anchors.append(anchor)
+                    starts.append(first.astype(np.int64))
+                    words += [hashes[a:b].tobytes() for a, b in zip(first.tolist(), (last + window).tolist())]
+                at = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(anchors, pa.int64()),
-                        pa.array(keys, pa.int64()),
-                        pa.array(tags, pa.int64()),
-                        pa.array(starts, pa.int64()),
+                        pa.array(np.concatenate(anchors), pa.int64()),
+                        part["key"].take(at),
+                        part["tag"].take(at),
+                        pa.array(np.concatenate(starts), pa.int64()),
                         pa.array(words, pa.binary()),
                     ],
                     names=["anchor", "key", "tag", "start", "words"],
@@ -267,47 +325,53 @@ def _kept(batches: Iterator) -> Iterator:
 
 def removed_ranges(candidates: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """Ranges of words (key, tag, start, end) of the candidates (key, tag, _text, shared) that an earlier one has."""
-    segments = written(
-        candidates.mapInArrow(_segments(window, gram), "anchor long, key long, tag long, start long, words binary"), "passage-segments"
-    )
-    crowded = segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot)
-    schema = "key long, tag long, start long, end long"
-    crowded = written(crowded.select("anchor"), "passage-hot")
-    plain = segments
-    if not crowded.isEmpty():
-        plain = segments.join(crowded, "anchor", "left_anti")
+    spark, schema = candidates.sparkSession, "anchor long, key long, tag long, start long, words binary"
+    tallies = candidates.mapInArrow(_tallies(window, gram), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    crowded = written(tallies.filter(F.col("n") > hot).select("anchor"), "passage-hot")
+    many = crowded.count()
+    if many <= KNOWN:
+        import numpy as np
+
+        handle = spark.sparkContext.broadcast(np.array(sorted(r["anchor"] for r in crowded.collect()), np.int64)) if many else None
+        plain = candidates.mapInArrow(_segments(window, gram, handle), schema)
+        dense = candidates.mapInArrow(_segments(window, gram, handle, True), schema)
+    else:
+        segments = candidates.mapInArrow(_segments(window, gram), schema)
+        plain, dense = segments.join(crowded, "anchor", "left_anti"), segments.join(crowded, "anchor", "left_semi")
     ranges = (
         plain.repartition(F.col("anchor"))
         .sortWithinPartitions("anchor", "key", "start")
-        .mapInArrow(_stream(window), schema)
+        .mapInArrow(_stream(window), "key long, tag long, start long, end long")
     )
-    if crowded.isEmpty():
+    if not many:
         return ranges
-    windows = segments.join(crowded, "anchor", "left_semi").select(
-        "key",
-        "tag",
-        "start",
-        "words",
-        F.explode(F.sequence(F.lit(0), F.floor(F.octet_length("words") / 8).cast("int") - window)).alias("i"),
-    ).select(
-        "key",
-        "tag",
-        (F.col("start") + F.col("i")).alias("start"),
-        F.substring("words", F.col("i") * 8 + 1, F.lit(window * 8)).alias("run"),
+    windows = (
+        written(dense.select("key", "tag", "start", "words"), "passage-dense")
+        .withColumn("i", F.explode(F.sequence(F.lit(0), F.floor(F.octet_length("words") / 8).cast("int") - window)))
+        .select(
+            "key",
+            "tag",
+            (F.col("start") + F.col("i")).alias("start"),
+            F.substring("words", F.col("i") * 8 + 1, F.lit(window * 8)).alias("run"),
+        )
     )
-    owners = windows.groupBy("run").agg(F.min("key").alias("owner"))
-    later = windows.join(owners, "run").filter(F.col("owner") < F.col("key"))
+    owners = windows.groupBy("run").agg(F.min("key").alias("owner"), F.max("key").alias("last"), F.count(F.lit(1)).alias("n"))
+    owners = written(owners.filter(F.col("owner") < F.col("last")).drop("last"), "passage-runs")
+    later = hot_key_join(windows, owners, "run", "n").filter(F.col("owner") < F.col("key"))
     return ranges.unionByName(later.select("key", "tag", "start", (F.col("start") + window).alias("end")))
 
 
-def shared_anchors(loose: DataFrame) -> DataFrame:
-    """The rows (tag, anchor) whose anchor has another tag too, each at least once.
+def shared_anchors(tagged: DataFrame) -> DataFrame:
+    """Rows (tag, shared) of the texts (tag, anchors) with the anchors that another tag has too.
 
     One shuffle: sorted by anchor and tag, a row tells by its neighbours. Anchors
     that would crowd a task, those with a ``CROWDED``-th of a sample's rows, are
-    fewer than ``CROWDED`` and are picked out by a broadcast instead; two tags of
-    them have been seen in the sample, so the result is the same.
+    fewer than ``CROWDED``: each task is told and picks them out of the lists; two
+    tags of them have been seen in the sample, so the result is the same.
     """
+    import numpy as np
+
+    loose = tagged.select("tag", F.explode("anchors").alias("anchor"))
     drawn = loose.filter(F.pmod("tag", F.lit(DRAWN)) == 0)
     total = drawn.count()
     crowded = (
@@ -316,15 +380,24 @@ def shared_anchors(loose: DataFrame) -> DataFrame:
         .filter((F.col("n") * CROWDED > total) & (F.col("a") != F.col("b")))
         .select("anchor")
     )
-    crowded = F.broadcast(written(crowded, "passage-crowded"))
+    crowded = written(crowded, "passage-crowded")
     by_anchor = Window.partitionBy("anchor").orderBy("tag")
     rest = (
-        loose.join(crowded, "anchor", "left_anti")
+        loose.join(F.broadcast(crowded), "anchor", "left_anti")
         .withColumn("before", F.lag("tag").over(by_anchor))
         .withColumn("after", F.lead("tag").over(by_anchor))
         .filter((F.col("before") != F.col("tag")) | (F.col("after") != F.col("tag")))
+        .groupBy("tag")
+        .agg(F.collect_set("anchor").alias("shared"))  # no more than the text has words
     )
-    return rest.select("tag", "anchor").unionByName(loose.join(crowded, "anchor", "left_semi").select("tag", "anchor"))
+    known = sorted(r["anchor"] for r in crowded.collect())
+    if not known:
+        return rest
+    handle = tagged.sparkSession.sparkContext.broadcast(np.array(known, np.int64))
+    common = tagged.mapInArrow(_common(handle), "tag long, shared array<long>").dropDuplicates(["tag"])
+    both = rest.join(common.withColumnRenamed("shared", "common"), "tag", "full_outer")
+    none = F.array().cast("array<long>")
+    return both.select("tag", F.concat(F.coalesce("shared", none), F.coalesce("common", none)).alias("shared"))
 
 
 def remove_repeats(
@@ -350,11 +423,7 @@ def remove_repeats(
         described.groupBy("tid").agg(F.min("key").alias("owner"), F.count(F.lit(1)).alias("copies")), "passage-owners"
     )
     first = owners.select("tid", F.col("owner").alias("key"))
-    loose = described.filter(F.col("key").isNotNull()).select(
-        F.xxhash64("tid").alias("tag"), F.explode("anchors").alias("anchor")
-    )
-    shared = shared_anchors(loose)
-    candidates = shared.groupBy("tag").agg(F.collect_set("anchor").alias("shared"))  # no more than the text has words
+    candidates = shared_anchors(described.filter(F.col("key").isNotNull()).select(F.xxhash64("tid").alias("tag"), "anchors"))
     chosen = first.withColumn("tag", F.xxhash64("tid")).join(candidates, "tag")
     texts = written(
         rows.join(chosen, ["key", "tid"]).dropDuplicates(["key", "tid"]).select("key", "tid", "tag", "_text", "shared"), "passage-texts"

@@ -201,6 +201,8 @@ def test_passages_equal_brute_force(spark, monkeypatch):
     whole = substring.removed_ranges
     monkeypatch.setattr(substring, "removed_ranges", lambda t, w, g, hot: whole(t, w, g, 3))  # most anchors are hot
     check_passages(docs, 13)
+    monkeypatch.setattr(substring, "KNOWN", 0)  # and too many to tell the tasks
+    check_passages(docs, 13)
 
 
 def test_automaton_matches_equal_search():
