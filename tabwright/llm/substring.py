@@ -12,8 +12,9 @@ equal windows have equal anchors wherever they stand. A segment is the stretch
 of a document whose windows share an anchor occurrence. Only anchors of two
 different texts go on. Each anchor is a shard: its segments stream by ascending
 key past the automaton of those before them, then join it. An anchor with more
-than ``HOT`` segments is split by the windows themselves: equal windows meet in
-an aggregate that combines before the shuffle.
+than ``HOT`` segments, as one text in ``DRAWN`` tells, is split by the windows
+themselves: equal windows meet in an aggregate that combines before the shuffle.
+Either way gives the same rows, so the sample decides only where the work is done.
 
 Words are compared by 64-bit hashes, ``WINDOW`` in a row. Windows are judged on
 the input, not on what is left.
@@ -188,15 +189,22 @@ def _common(handle):
     return kernel
 
 
-def _stretches(part, window: int, gram: int):
-    """For each text: row, word hashes, first and last window of the segments with a shared anchor, their anchors."""
+def _stretches(part, window: int, gram: int, handle=None, inside: bool = False):
+    """For each text: row, word hashes, first and last window of the segments with a shared anchor, their anchors.
+
+    With ``handle`` only anchors that are in the broadcast array (``inside``) or are not; a text without one is passed over.
+    """
     import numpy as np
 
     for row, (text, shared) in enumerate(zip(part["_text"].to_pylist(), part["shared"])):
-        hashes, _, _ = word_hashes(text.encode("utf-8", "surrogatepass"))
-        first, last, anchor = anchors_of(hashes, window, gram)
-        ours = np.isin(anchor, shared.values.to_numpy(zero_copy_only=False))
-        yield row, hashes, first[ours], last[ours], anchor[ours]
+        wanted = shared.values.to_numpy(zero_copy_only=False)
+        if handle is not None:
+            wanted = wanted[_among(handle)(wanted) == inside]
+        if len(wanted):
+            hashes, _, _ = word_hashes(text.encode("utf-8", "surrogatepass"))
+            first, last, anchor = anchors_of(hashes, window, gram)
+            ours = np.isin(anchor, wanted)
+            yield row, hashes, first[ours], last[ours], anchor[ours]
 
 
 def _tallies(window: int, gram: int):
@@ -208,7 +216,7 @@ def _tallies(window: int, gram: int):
 
         for batch in batches:
             for part in slices(batch, SLICE_BYTES, "_text"):
-                found = [anchor for *_, anchor in _stretches(part, window, gram)]
+                found = [np.zeros(0, np.int64), *(anchor for *_, anchor in _stretches(part, window, gram))]
                 anchor, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(n.astype(np.int64))], names=["anchor", "n"])
 
@@ -216,10 +224,7 @@ def _tallies(window: int, gram: int):
 
 
 def _segments(window: int, gram: int, handle=None, inside: bool = False):
-    """Segments of the documents whose anchors are in ``shared``, as 64-bit word hashes.
-
-    With ``handle`` only those whose anchors are in the broadcast array (``inside``) or are not.
-    """
+    """Segments of the documents whose anchors are in ``shared``, as 64-bit word hashes."""
 
     def kernel(batches: Iterator) -> Iterator:
         import numpy as np
@@ -227,11 +232,8 @@ def _segments(window: int, gram: int, handle=None, inside: bool = False):
 
         for batch in batches:
             for part in slices(batch, SLICE_BYTES, "_text"):
-                rows, anchors, starts, words = [], [], [], []
-                for row, hashes, first, last, anchor in _stretches(part, window, gram):
-                    if handle is not None:
-                        ours = _among(handle)(anchor) == inside
-                        first, last, anchor = first[ours], last[ours], anchor[ours]
+                rows, anchors, starts, words = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+                for row, hashes, first, last, anchor in _stretches(part, window, gram, handle, inside):
                     rows += [row] * len(first)
                     anchors.append(anchor)
                     starts.append(first.astype(np.int64))
@@ -326,8 +328,9 @@ def _kept(batches: Iterator) -> Iterator:
 def removed_ranges(candidates: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """Ranges of words (key, tag, start, end) of the candidates (key, tag, _text, shared) that an earlier one has."""
     spark, schema = candidates.sparkSession, "anchor long, key long, tag long, start long, words binary"
-    tallies = candidates.mapInArrow(_tallies(window, gram), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
-    crowded = written(tallies.filter(F.col("n") > hot).select("anchor"), "passage-hot")
+    drawn = candidates.filter(F.pmod("tag", F.lit(DRAWN)) == 0).mapInArrow(_tallies(window, gram), "anchor long, n long")
+    tallies = drawn.groupBy("anchor").agg(F.sum("n").alias("n"))
+    crowded = written(tallies.filter(F.col("n") * DRAWN > hot).select("anchor"), "passage-hot")
     many = crowded.count()
     if many <= KNOWN:
         import numpy as np

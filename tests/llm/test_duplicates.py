@@ -199,6 +199,7 @@ def test_passages_equal_brute_force(spark, monkeypatch):
     docs = spark.createDataFrame(rows + [(200, rows[4][1]), (5, "other " + rows[7][1])], "doc_id long, text string")
     check_passages(docs, 13)
     whole = substring.removed_ranges
+    monkeypatch.setattr(substring, "DRAWN", 1)
     monkeypatch.setattr(substring, "removed_ranges", lambda t, w, g, hot: whole(t, w, g, 3))  # most anchors are hot
     check_passages(docs, 13)
     monkeypatch.setattr(substring, "KNOWN", 0)  # and too many to tell the tasks
