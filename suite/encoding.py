@@ -9,6 +9,7 @@ from suite.views import LINEITEM_NULLS_SQL, PASSENGERS_SQL, lineitem_nulls, pass
 from tabwright.operators import encode as E
 from tabwright.operators import select as S
 from tabwright.operators.features import extract_features
+from tabwright.operators.information import neighbour_information
 from tabwright.operators.split import hash_split
 
 TEXT_FEATURES_SQL = f"""(SELECT c_custkey, "SibSp", "Parch", "Fare", survived,
@@ -273,6 +274,38 @@ def mutual_info_regression(spark, sf_dir):
     return scores.withColumn("mi", F.round("mi", 8))
 
 
+NEAREST = 3
+# psi(n) is the harmonic number of n - 1 but for a constant that cancels
+NEIGHBOUR_SQL = f"""WITH s AS (SELECT l_extendedprice, l_quantity, l_tax, CAST(floor(l_quantity / 10) AS INT) AS c FROM lineitem),
+    long AS (SELECT 0 AS pos, l_extendedprice AS v, c FROM s UNION ALL SELECT 1, l_quantity, c FROM s UNION ALL SELECT 2, l_tax, c FROM s),
+    p AS (SELECT pos, c, CAST(v AS DOUBLE) AS v, count(*) AS n FROM long WHERE v IS NOT NULL AND c IS NOT NULL GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY pos, c ORDER BY v) AS rn, sum(n) OVER (PARTITION BY pos, c) AS nc FROM p QUALIFY nc > 1),
+    near AS (SELECT a.*, b.v AS bv, abs(b.v - a.v) AS d, b.n - CAST(b.v = a.v AS BIGINT) AS bn
+        FROM (SELECT r.*, rn + o AS at FROM r, (SELECT unnest(generate_series(-{NEAREST}, {NEAREST})) AS o)) a
+        JOIN r b ON b.pos = a.pos AND b.c = a.c AND b.rn = a.at),
+    cum AS (SELECT *, sum(bn) OVER (PARTITION BY pos, c, v ORDER BY d) AS held FROM near),
+    far AS (SELECT *, min(CASE WHEN held >= least({NEAREST}, nc - 1) THEN d END) OVER (PARTITION BY pos, c, v) AS radius FROM cum),
+    reach AS (SELECT pos, c, v, n, nc, sum(bn) AS k, least(v - min(radius), min(bv)) AS low, greatest(v + min(radius), max(bv)) AS high
+        FROM far WHERE d <= radius GROUP BY pos, c, v, n, nc),
+    t AS (SELECT pos, v, sum(sum(n)) OVER (PARTITION BY pos ORDER BY v) AS run FROM r GROUP BY pos, v),
+    m AS (SELECT x.*, h.run - coalesce(l.run, 0) - 1 AS m FROM reach x
+        ASOF JOIN t h ON h.pos = x.pos AND x.high >= h.v
+        ASOF LEFT JOIN t l ON l.pos = x.pos AND x.low > l.v),
+    psi AS (SELECT i AS x, sum(1.0 / i) OVER (ORDER BY i) - 1.0 / i AS y FROM (SELECT unnest(generate_series(1, (SELECT count(*) FROM lineitem))) AS i)),
+    scored AS (SELECT pos, sum(n) AS total, sum(n * (k.y - c.y - a.y)) / sum(n) AS part FROM m
+        JOIN psi k ON k.x = m.k JOIN psi c ON c.x = m.nc JOIN psi a ON a.x = m.m GROUP BY pos)
+    SELECT CASE pos WHEN 0 THEN 'l_extendedprice' WHEN 1 THEN 'l_quantity' ELSE 'l_tax' END AS feature, pos,
+        round(greatest(part + y, 0), 8) AS mi FROM scored JOIN psi ON x = total"""
+
+
+@query("mutual_info_neighbours", NEIGHBOUR_SQL)
+def mutual_info_neighbours(spark, sf_dir):
+    """Bands of the quantity against a continuous feature, one of few values and an unrelated one."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("band", F.floor(F.col("l_quantity") / 10).cast("int"))
+    scores = neighbour_information(lines, ["l_extendedprice", "l_quantity", "l_tax"], "band", NEAREST)
+    return scores.withColumn("mi", F.round("mi", 8))
+
+
 DIGEST = "substr(md5(concat_ws('|', {keys}, '42')), 1, 13)"
 LIMIT = format(round(0.2 * 16**13), "013x")
 

@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tabwright.functions.schema import quoted
 from tabwright.session import written
@@ -25,6 +26,7 @@ NARROWED_AT_ONCE = 32  # brackets in one aggregate
 MAX_SCANS = 40
 SMALLEST_LIMIT = 64  # a sketch cannot narrow a bracket much below this
 HOT_SHARE = 1_000
+BLOCK = 50_000  # ranks of one window
 
 
 @dataclass
@@ -266,3 +268,48 @@ def group_rank(df: DataFrame, key: str, order: Sequence[Column], name: str = "ra
         .withColumn(name, F.col("_rank") - F.col("_first") + 1)
         .drop("_rank", "_first")
     )
+
+
+def running_total(df: DataFrame, order: Sequence[Column], weight: str, name: str = "running") -> DataFrame:
+    """Sum of the whole-number ``weight`` over each row and all rows before it in ``order``.
+
+    Rows are placed as in ``global_rank``: a partition adds up its own rows and
+    starts from the sum of those before it.
+    """
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = written(placed.withColumn("_place", F.monotonically_increasing_id()), "running")
+    placed = placed.withColumn("_part", F.shiftright("_place", 33))
+    sums = placed.groupBy("_part").agg(F.sum(weight).alias("n")).collect()
+    offsets, total = [], 0
+    for r in sorted(sums, key=lambda r: r["_part"]):  # one row per partition
+        offsets.append((r["_part"], total))
+        total += r["n"] or 0
+    starts = df.sparkSession.createDataFrame(offsets, "_part long, _start long")
+    before = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        placed.withColumn("_own", F.coalesce(F.sum(weight).over(before), F.lit(0)))
+        .join(F.broadcast(starts), "_part")
+        .withColumn(name, F.col("_start") + F.col("_own"))
+        .drop("_part", "_place", "_own", "_start")
+    )
+
+
+def neighbouring(ranked: DataFrame, rank: str, k: int, columns: Sequence[str], name: str) -> DataFrame:
+    """The ``columns`` of up to ``k`` rows before and after each row, and of itself, as an array.
+
+    ``rank`` numbers the rows from 1. Rows meet in blocks of ``BLOCK`` ranks, and
+    those within ``k`` of an edge are copied to the block behind it, so no window
+    holds more than a block.
+    """
+    block = max(BLOCK, k)
+
+    def of(shift: int) -> Column:
+        return F.floor((F.col(rank) - 1 + shift) / block)
+
+    around = Window.partitionBy("_block").orderBy(rank).rowsBetween(-k, k)
+    return (
+        ranked.withColumn("_block", F.explode(F.array_distinct(F.array(of(-k), of(0), of(k)))))
+        .withColumn(name, F.collect_list(F.struct(*columns)).over(around))
+        .filter(F.col("_block") == of(0))
+        .drop("_block")
+    )

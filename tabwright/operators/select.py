@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.schema import quoted
+from tabwright.operators.information import neighbour_information
 from tabwright.operators.order import exact_quantiles
 from tabwright.session import written
 
@@ -142,6 +143,15 @@ def mutual_information(
     )
 
 
+def _binned(df: DataFrame, label: str) -> DataFrame:
+    """``df`` with the quantile bin of a numeric label as ``_label``; a missing one stays missing."""
+    probs = [k / LABEL_BINS for k in range(1, LABEL_BINS)]
+    edges, _ = exact_quantiles(df, [label], probs, interpolate=False)
+    value = F.col(quoted(label)).cast("double")
+    cuts = sorted({e for e in edges.values() if e is not None})
+    return df.withColumn("_label", F.when(value.isNotNull() & ~F.isnan(value), _bins(value, cuts)))
+
+
 def select_k_best(
     df: DataFrame,
     features: Sequence[str],
@@ -152,7 +162,8 @@ def select_k_best(
 ) -> DataFrame:
     """(feature, pos, score) of the k best features; of equal scores the later column wins.
 
-    A regression target is scored by correlation under either F method.
+    A regression target is scored by correlation under either F method; it is cut
+    into quantile bins for ``mutual_info`` and, as classes, for ``mutual_info_knn``.
     """
     if method == "f_classif" and task == "regression":
         scores = f_regression(df, features, label).withColumnRenamed("f_score", "score")
@@ -161,6 +172,10 @@ def select_k_best(
     elif method == "mutual_info":
         label_bins = LABEL_BINS if task == "regression" else None
         scores = mutual_information(df, features, label, label_bins=label_bins).withColumnRenamed("mi", "score")
+    elif method == "mutual_info_knn":
+        if task == "regression":
+            df, label = _binned(df, label), "_label"
+        scores = neighbour_information(df, features, label).withColumnRenamed("mi", "score")
     else:
         raise ValueError(f"unknown method {method!r}")
     keep = min(k or len(features), len(features))

@@ -10,7 +10,9 @@ from tabwright.functions.values import float_text
 from tabwright.operators import encode as E
 from tabwright.operators import metrics as M
 from tabwright.operators import select as S
+from tabwright.operators import order as O
 from tabwright.operators.features import extract_features
+from tabwright.operators.information import digamma, neighbour_information
 from tabwright.operators.split import hash_split, train_test_split
 from tabwright.plans.preprocess import Preprocessor, choose_roles, fit_preprocessor
 
@@ -127,6 +129,70 @@ def test_mutual_information_of_a_copy_is_the_entropy(spark):
     assert S.mutual_information(df, ["x"], "y").first()["mi"] == pytest.approx(math.log(4))
 
 
+def _psi(n):
+    return -0.5772156649015329 + sum(1 / i for i in range(1, n))
+
+
+def _neighbour_score(pairs, k):
+    """Brute force over all pairs of rows."""
+    pairs = [(v, c) for v, c in pairs if v is not None and math.isfinite(v) and c is not None]
+    sizes = {c: sum(1 for _, d in pairs if d == c) for _, c in pairs}
+    pairs = [(v, c) for v, c in pairs if sizes[c] > 1]
+    if not pairs:
+        return None
+    total = 0.0
+    for i, (v, c) in enumerate(pairs):
+        same = sorted(abs(v - w) for j, (w, d) in enumerate(pairs) if j != i and d == c)
+        radius = same[min(k, len(same)) - 1]
+        inside = sum(1 for j, (w, _) in enumerate(pairs) if j != i and abs(v - w) <= radius)
+        total += _psi(sum(1 for d in same if d <= radius)) - _psi(sizes[c]) - _psi(inside)
+    return max(_psi(len(pairs)) + total / len(pairs), 0.0)
+
+
+@pytest.mark.parametrize("block", [3, 50_000])
+def test_neighbour_information_against_all_pairs(spark, monkeypatch, block):
+    """Ties, copies, missing and infinite values, a class of one row and one of two; windows of three ranks too."""
+    monkeypatch.setattr(O, "BLOCK", block)
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(240):
+        c = "abc"[rng.integers(3)]
+        rows.append((float(rng.integers(-4096, 4096)) / 1024 + "abc".index(c), float(rng.integers(5)), c))
+    rows += [(None, 1.0, "a"), (float("nan"), 2.0, "b"), (float("inf"), None, "c"), (0.5, 1.0, None)]
+    rows += [(0.25, 1.0, "single"), (0.5, 4.0, "two"), (7.5, 4.0, "two")]
+    df = spark.createDataFrame(rows, "x double, z double, y string")
+    first = neighbour_information(df, ["x", "z"], "y")
+    got = {r["feature"]: r["mi"] for r in first.collect()}
+    assert got["x"] == pytest.approx(_neighbour_score([(r[0], r[2]) for r in rows], 3), abs=1e-9)
+    assert got["z"] == pytest.approx(_neighbour_score([(r[1], r[2]) for r in rows], 3), abs=1e-9)
+    assert got["x"] > 0.05
+    again = neighbour_information(df.repartition(5), ["x", "z"], "y").collect()
+    assert {r["feature"]: r["mi"] for r in again} == pytest.approx(got, abs=1e-12)
+
+
+def test_neighbour_information_of_known_dependence(spark):
+    """Two unit intervals that overlap by half share half a bit; unrelated values and an empty feature share none."""
+    df = spark.range(6000).select(
+        (F.rand(1) + F.when(F.col("id") % 2 == 0, 0.5).otherwise(0)).alias("x"),
+        F.rand(2).alias("noise"),
+        F.lit(None).cast("double").alias("empty"),
+        (F.col("id") % 2).alias("y"),
+        F.rand(1).alias("target"),
+    )
+    got = {r["feature"]: r["mi"] for r in neighbour_information(df, ["x", "noise", "empty"], "y").collect()}
+    assert got["x"] == pytest.approx(math.log(2) / 2, abs=0.03)
+    assert got["noise"] < 0.03 and got["empty"] is None
+    assert neighbour_information(df.limit(0), ["x"], "y").first()["mi"] is None
+    assert [r["feature"] for r in S.select_k_best(df, ["noise", "x"], "y", 1, "mutual_info_knn").collect()] == ["x"]
+    best = S.select_k_best(df, ["noise", "x"], "target", 1, "mutual_info_knn", "regression").collect()
+    assert [r["feature"] for r in best] == ["x"]
+
+
+def test_digamma_of_whole_numbers(spark):
+    got = spark.range(1, 60).select("id", digamma(F.col("id")).alias("p")).collect()
+    assert all(r["p"] == pytest.approx(_psi(r["id"]), abs=1e-12) for r in got)
+
+
 def test_split_is_disjoint_complete_and_stable(spark):
     df = spark.range(3000)
     train, test = train_test_split(df, ["id"])
