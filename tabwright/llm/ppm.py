@@ -68,10 +68,11 @@ def contexts(data, places):
     """The ``ORDER`` bytes before each place as one number, the nearest byte lowest."""
     import numpy as np
 
-    code = np.zeros(len(places), np.int64)
-    for back in range(ORDER, 0, -1):
-        code = code << 8 | data[places - back]
-    return code
+    code = np.zeros(max(len(data) - ORDER, 0), np.int64)
+    for at in range(ORDER):
+        code <<= 8
+        code |= data[at : at + len(code)]
+    return code[places - ORDER]
 
 
 def _count_grams(batches: Iterator) -> Iterator:
@@ -310,9 +311,7 @@ def _score(end_count: int, train_tokens: int, distinct: int):
         import pyarrow.compute as pc
 
         words, grams = own.filter(pc.is_valid(own["word"])), own.filter(pc.is_valid(own["gram"]))
-        gram, log = grams["gram"].to_numpy(), grams["log"].to_numpy().astype(np.float64)
-        order = np.argsort(gram)
-        gram, log = gram[order], log[order]
+        gram, log = grams["gram"].combine_chunks(), grams["log"].to_numpy().astype(np.float64)
         number = {w: i for i, w in enumerate(words["word"].to_pylist())}
         count = words["n"].to_numpy().astype(np.float64)
         below = np.log10(train_tokens + distinct + 1)
@@ -324,12 +323,12 @@ def _score(end_count: int, train_tokens: int, distinct: int):
                 texts = [t.encode("utf-8", "surrogatepass").lower() for t in part["_text"].to_pylist()]
                 n, hits, base = [], [], []
                 for text in texts:
-                    at = np.array([number[w] for w in text.split()], np.int64)
+                    at = np.array(list(map(number.__getitem__, text.split())), np.int64)
                     n.append(len(at) + 1)
                     hits.append(int(known[at].sum()) + (end_count > 0))
                     base.append(float(logs[at].sum() + end_log))
                 data, places, sizes = marked(texts)
-                at = np.searchsorted(gram, contexts(data, places) << 8 | data[places])
+                at = pc.index_in(pa.array(contexts(data, places) << 8 | data[places]), value_set=gram).to_numpy()
                 out.append(
                     pa.table(
                         {
