@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from tabwright.operators import knn as K
+from tabwright.operators import knn_hashed as H
 
 
 def brute(q, t, tid, k, metric):
@@ -66,3 +67,44 @@ def test_votes(spark):
     assert tied == 0
     mean = K.knn_predict(query, train, "label", 4, task="regression").filter("id = 0").first()["prediction"]
     assert mean == 0.5
+
+
+@pytest.mark.parametrize("block", [60, 8192])
+def test_hash_tables_meet_their_recall(spark, monkeypatch, block):
+    """Clusters, a third of the rows one vector, unsound rows; buckets cut into blocks of 60 rows too."""
+    monkeypatch.setattr(H, "TRAIN_BLOCK", block)
+    monkeypatch.setattr(H, "QUERY_BLOCK", block)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(40, 12))[rng.integers(40, size=1600)] * 3 + rng.normal(size=(1600, 12))
+    x = np.r_[x, np.repeat(x[:1], 800, axis=0)]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    odd = [(9001, None), (9002, [float("nan")] * 12), (9003, [None] + [0.0] * 11), (9004, [float("inf")] * 12)]
+    train = spark.createDataFrame(rows + odd, "id long, x array<double>")
+    queries = train.filter("id % 8 = 0 OR id > 9000")
+    found = H.hashed_neighbors(queries, train, 5, "x", "id", bucket_rows=100).collect()
+    exact = {}
+    for i in range(0, len(x), 8):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        exact[i] = np.lexsort((np.arange(len(x)), d))[:5].tolist()
+    assert len(found) == 5 * len(exact) == len({(r.qid, r.tid) for r in found})
+    assert sum(r.tid in exact[r.qid] for r in found) >= 0.9 * len(found)
+    for r in found:
+        assert r.distance == pytest.approx(float(np.linalg.norm(x[r.qid] - x[r.tid])), abs=1e-9)
+    empty = train.limit(0)
+    assert H.hashed_neighbors(empty, train, 5, "x", "id").collect() == []
+    assert H.hashed_neighbors(queries, empty, 5, "x", "id").collect() == []
+
+
+def test_probes_come_in_the_order_of_the_cuts_crossed():
+    rng = np.random.default_rng(2)
+    sample = rng.normal(size=(500, 6))
+    fitted = H.fit_tables(sample, 500, 3, 2, 0.9, 1, bucket_rows=30)
+    sides = fitted.sides(sample[:20])
+    visits = fitted.visits(sides, len(fitted.crossings))
+    assert (visits[:, :, 0] == fitted.buckets(sides)).all()
+    assert all(len(set(v)) == len(v) for row in visits for v in row.tolist())
+    bits = sides.shape[2]
+    for row, cuts in zip(visits, sides):
+        for order, cut in zip(row, cuts):
+            cost = [sum(cut[b] ** 2 for b in range(bits) if (code ^ order[0]) >> b & 1) for code in order.tolist()]
+            assert cost == sorted(cost)
