@@ -191,7 +191,7 @@ def _gram_logs(handle):
 def gram_logs(rows: DataFrame, blocks: int) -> DataFrame:
     """block, gram, log: the log10 probability of each distinct gram of each block of ``rows`` (_text, _block, _train)."""
     grams = written(
-        rows.select("_text", "_block", "_train").repartition(blocks, "_block").mapInArrow(_count_grams, "block long, gram long, n long"),
+        rows.select("_text", "_block", "_train").repartitionById(blocks, F.col("_block").cast("int")).mapInArrow(_count_grams, "block long, gram long, n long"),
         "ppm-grams",
     )
     short = F.col("gram").bitwiseAND(F.lit((1 << 8 * (LOW + 1)) - 1))
@@ -357,7 +357,7 @@ def score(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text"
     rows = rows.withColumn("_block", F.pmod(F.xxhash64("_key", "_text"), F.lit(blocks)).cast("long"))
     by_word = Window.partitionBy("word")
     words = written(
-        rows.repartition(blocks, "_block")
+        rows.repartitionById(blocks, F.col("_block").cast("int"))
         .mapInArrow(_block_words, "block long, word binary, n long")
         .withColumn("total", F.sum("n").over(by_word))
         .withColumn("once", F.min("block").over(by_word) == F.col("block"))
