@@ -40,7 +40,9 @@ from tabwright.session import written
 
 ORDER = 5
 LOW = 2  # longest contexts that are broadcast
-CELL_GRAMS = 2 << 20
+CELL_GRAMS = 1 << 20
+LOGS_AT_ONCE = 1 << 18
+LIST_GRAMS = 100_000
 BLOCK_BYTES = 32 << 20
 SLICE_BYTES = 2 << 20
 START, END = 0xFE, 0xFF  # never in UTF-8
@@ -180,16 +182,29 @@ def _gram_logs(handle):
         grams, at = np.unique(gram, return_inverse=True)
         total = np.bincount(at, weights=n, minlength=len(grams))
         seen = total > 0
-        logs = log_probs(grams, levels_from(grams[seen], total[seen], LOW + 1, ORDER, handle.value)).astype(np.float32)[at]
-        for i in range(0, len(gram), 100_000):
-            own = slice(i, i + 100_000)
-            yield pa.RecordBatch.from_pydict({"block": pa.array(block[own]), "gram": pa.array(gram[own]), "log": pa.array(logs[own])})
+        levels = levels_from(grams[seen], total[seen], LOW + 1, ORDER, handle.value)
+        logs = [log_probs(grams[i : i + LOGS_AT_ONCE], levels) for i in range(0, len(grams), LOGS_AT_ONCE)]
+        logs = np.concatenate(logs).astype(np.float32)[at]
+        order = np.argsort(block, kind="stable")
+        block, gram, logs = block[order], gram[order], logs[order]
+        starts = np.union1d(np.flatnonzero(np.r_[True, block[1:] != block[:-1]]), np.arange(0, len(block), LIST_GRAMS))
+        for low in range(0, len(block), LIST_GRAMS):
+            high = min(low + LIST_GRAMS, len(block))
+            own = starts[np.searchsorted(starts, low) : np.searchsorted(starts, high)]
+            ends = pa.array(np.r_[own, high] - low, pa.int32())
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "block": pa.array(block[own]),
+                    "gram": pa.ListArray.from_arrays(ends, pa.array(gram[low:high])),
+                    "log": pa.ListArray.from_arrays(ends, pa.array(logs[low:high])),
+                }
+            )
 
     return kernel
 
 
 def gram_logs(rows: DataFrame, blocks: int) -> DataFrame:
-    """block, gram, log: the log10 probability of each distinct gram of each block of ``rows`` (_text, _block, _train)."""
+    """block, gram, log: lists of the distinct grams of each block of ``rows`` (_text, _block, _train) and their log10 probabilities."""
     grams = written(
         rows.select("_text", "_block", "_train").repartitionById(blocks, F.col("_block").cast("int")).mapInArrow(_count_grams, "block long, gram long, n long"),
         "ppm-grams",
@@ -200,7 +215,7 @@ def gram_logs(rows: DataFrame, blocks: int) -> DataFrame:
     handle = rows.sparkSession.sparkContext.broadcast(low)
     cell = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * (LOW + 1)) - 1))
     return grams.repartition(parts_for(grams.count(), CELL_GRAMS), cell).mapInArrow(
-        _gram_logs(handle), "block long, gram long, log float"
+        _gram_logs(handle), "block long, gram array<long>, log array<float>"
     )
 
 
@@ -311,7 +326,8 @@ def _score(end_count: int, train_tokens: int, distinct: int):
         import pyarrow.compute as pc
 
         words, grams = own.filter(pc.is_valid(own["word"])), own.filter(pc.is_valid(own["gram"]))
-        gram, log = grams["gram"].combine_chunks(), grams["log"].to_numpy().astype(np.float64)
+        gram, log = (pc.list_flatten(grams[c]).combine_chunks() for c in ("gram", "log"))
+        log = log.to_numpy().astype(np.float64)
         number = {w: i for i, w in enumerate(words["word"].to_pylist())}
         count = words["n"].to_numpy().astype(np.float64)
         below = np.log10(train_tokens + distinct + 1)
