@@ -76,8 +76,10 @@ def op2(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     models = secrets.train(secrets.labelled_samples(docs))
     found = secrets.find(docs, models, ["doc_id"])
+    # a second argument of the function of `filter` would be the place in the array, so kinds are counted by their numbers
+    kinds = F.transform("_llm_base", lambda s: s["kind"])
     counts = [
-        F.size(F.filter("_llm_base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+        (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}")
         for k, name in enumerate(secrets.KINDS[:3])
     ]
     return found.select(

@@ -10,6 +10,7 @@ import numpy as np
 import corpus_pipeline
 from pyspark.sql import functions as F
 from tabwright.llm import lang_id, ppm, secrets
+from tabwright.llm import queries as llm_queries
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -67,6 +68,15 @@ def test_unlabelled_secrets_in_the_samples_stay_found(spark, sf_dir):
     assert sum(i in found for i in range(len(tokens), len(probes))) >= 0.85 * 300  # 200 documents only: capital hexadecimal is in no random sample
 
 
+def test_secrets_query_counts_every_kind_by_its_name(spark, folder):
+    hexes = "0123456789abcdef" * 2
+    texts = [f"{hexes} {hexes} AKIA{'Z' * 16}", "secret=abcdef token=abcdef api_key: abcdefg", hexes, None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    rows = llm_queries.QUERIES["op2_secrets"](spark, folder).collect()
+    got = {r.doc_id: (r.n_assign, r.n_access, r.n_hex) for r in rows}
+    assert got == {0: (0, 1, 2), 1: (3, 0, 0), 2: (0, 0, 1), 3: (0, 0, 0)}
+
+
 def test_secrets_without_rows(no_docs, odd_docs):
     models = secrets.train(secrets.labelled_samples(no_docs))
     assert secrets.find(no_docs, models, ["doc_id"]).collect() == []
