@@ -4,7 +4,9 @@ MLlib grows the top of all trees together, until a node holds about
 ``NODE_ROWS`` rows. The rows of every open node then go to one task, which
 grows it to the end with exact cuts; a node that is still too large is split
 once more by a tree of its own before that. A table of at most ``NODE_ROWS``
-rows needs no top.
+rows needs no top. Where rows repeat, ``REPEATS`` times on average at least,
+equal rows of a node travel as one with the number of their draws, and only
+different rows count for these limits.
 
 Rows are drawn for each tree by a digest of the row, with the counts that
 drawing with replacement gives. Nodes try a random choice of features, as many
@@ -51,6 +53,7 @@ from tabwright.session import written
 
 NODE_ROWS = 20_000
 OVERSIZED = 4  # times as many rows make a node split once more
+REPEATS = 4  # rows to a different one from which equal rows travel as one
 TOP_DEPTH = 20
 SPLIT_DEPTH = 8
 MODEL_NODES = 20_000_000  # nodes that every scoring task can hold
@@ -60,10 +63,14 @@ DRAWN = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582,
 SUBTREES = "tree int, leaf long, feature binary, cut binary, left binary, right binary, value binary, nodes long, depth int"
 
 
-def grow(x, y, weight, classes: int, tries: int, min_split: int, min_leaf: int, max_depth: int, seed):
-    """Arrays (feature, cut, left, right, value, depth) of a tree grown to the end; ``classes`` 0 is a regression."""
+def grow(x, y, weight, classes: int, tries: int, min_split: int, min_leaf: int, max_depth: int, seed, count=None):
+    """Arrays (feature, cut, left, right, value, depth) of a tree grown to the end; ``classes`` 0 is a regression.
+
+    ``count`` tells how many rows each stands for, one where it is not given.
+    """
     import numpy as np
 
+    count = np.ones(len(y), np.int64) if count is None else count
     rng = np.random.default_rng(seed)
     feature, cut, left, right, value, depths = [-1], [0.0], [0], [0], [None], [0]
     todo = [(np.arange(len(y)), 0)]
@@ -72,7 +79,7 @@ def grow(x, y, weight, classes: int, tries: int, min_split: int, min_leaf: int,
         rows, node = todo.pop()
         w, target = weight[rows], y[rows]
         value[node] = onehot[rows].sum(0) / w.sum() if classes else np.array([(w * target).sum() / w.sum()])
-        m = len(rows)
+        m = int(count[rows].sum())
         if m < max(min_split, 2 * min_leaf, 2) or (max_depth and depths[node] >= max_depth) or (target == target[0]).all():
             continue
         best, tried = None, 0
@@ -86,7 +93,8 @@ def grow(x, y, weight, classes: int, tries: int, min_split: int, min_leaf: int,
                 continue
             tried += 1
             places = np.flatnonzero(ordered[1:] > ordered[:-1]) + 1
-            places = places[(places >= min_leaf) & (m - places >= min_leaf)]
+            before = np.cumsum(count[rows][order])[places - 1]
+            places = places[(before >= min_leaf) & (m - before >= min_leaf)]
             if not len(places):
                 continue
             total = np.cumsum(w[order])
@@ -189,11 +197,18 @@ class DeepForest(Estimator, _Shared, HasSeed, DefaultParamsReadable, DefaultPara
         return _Tops(s["trees"], forest), depth
 
     def _members(self, tops: _Tops, rows: DataFrame) -> DataFrame:
-        """(tree, leaf, id, x, y, w): the rows drawn for each tree, by the node they are in."""
+        """(tree, leaf, id, x, y, _vector, w): the rows drawn for each tree, by the node they are in."""
         placed = tops.place(rows).select("id", "x", "y", "_vector", F.posexplode("_nodes").alias("tree", "leaf"))
         return placed.withColumn("w", _drawn(F.col("tree"), self.getSeed())).filter("w > 0")
 
-    def _split_oversized(self, tops: _Tops, rows: DataFrame, s: dict) -> None:
+    def _together(self, members: DataFrame, repeats: bool) -> DataFrame:
+        """(tree, leaf, x, y, w, count, id) of members, equal ones of a node as one if ``repeats``; their id says nothing then."""
+        if not repeats:
+            return members.select("tree", "leaf", "x", "y", "w", F.lit(1).cast("long").alias("count"), "id")
+        sums = F.sum("w").cast("long").alias("w"), F.count(F.lit(1)).alias("count")
+        return members.groupBy("tree", "leaf", "x", "y").agg(*sums).withColumn("id", F.lit(0).cast("long"))
+
+    def _split_oversized(self, tops: _Tops, rows: DataFrame, repeats: bool, s: dict) -> None:
         """Give nodes with far more rows than a task should grow a tree of their own, until none can be split."""
         if tops.forest is None:
             return
@@ -201,7 +216,7 @@ class DeepForest(Estimator, _Shared, HasSeed, DefaultParamsReadable, DefaultPara
         first = 1 << 32
         while True:
             members = self._members(tops, rows)
-            sizes = members.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > OVERSIZED * NODE_ROWS)
+            sizes = self._together(members, repeats).groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > OVERSIZED * NODE_ROWS)
             large = [r for r in sizes.collect() if (r["tree"], r["leaf"]) not in settled]  # few nodes are so large
             if not large:
                 return
@@ -223,11 +238,12 @@ class DeepForest(Estimator, _Shared, HasSeed, DefaultParamsReadable, DefaultPara
         features = F.col(self.getFeaturesCol())
         rows = dataset.select(features.alias("_vector"), vector_to_array(features).alias("x"), F.col(self.getLabelCol()).cast("double").alias("y"))
         rows = written(rows.withColumn("id", F.monotonically_increasing_id()), "forest-rows")
-        n = rows.count()
-        if not n:
+        size = rows.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("x", "y")).alias("different")).first()
+        if not size["n"]:
             raise ValueError("no rows to learn from")
-        tops, depth = self._top(rows, n, s)
-        self._split_oversized(tops, rows, s)
+        repeats = size["n"] >= REPEATS * size["different"]
+        tops, depth = self._top(rows, size["different"] if repeats else size["n"], s)
+        self._split_oversized(tops, rows, repeats, s)
         seed, left_depth = self.getSeed(), s["max_depth"] and max(s["max_depth"] - depth, 0)
         closed = bool(s["max_depth"]) and left_depth == 0
 
@@ -235,17 +251,18 @@ class DeepForest(Estimator, _Shared, HasSeed, DefaultParamsReadable, DefaultPara
             import numpy as np
             import pandas as pd
 
-            pdf = pdf.sort_values("id")
-            x, y, w = np.stack(pdf["x"].to_numpy()), pdf["y"].to_numpy(), pdf["w"].to_numpy(float)
+            x, y = np.stack(pdf["x"].to_numpy()), pdf["y"].to_numpy()
+            order = np.lexsort((y, *x.T)) if repeats else np.argsort(pdf["id"].to_numpy())
+            x, y, w, count = x[order], y[order], pdf["w"].to_numpy(float)[order], pdf["count"].to_numpy()[order]
             tree, leaf = int(pdf["tree"].iloc[0]), int(pdf["leaf"].iloc[0])
             tries = max(1, math.isqrt(x.shape[1])) if s["classes"] else x.shape[1]
-            least = len(y) + 1 if closed else s["min_split"]
-            *arrays, deepest = grow(x, y, w, s["classes"], tries, least, s["min_leaf"], left_depth, [seed, tree, leaf])
+            least = count.sum() + 1 if closed else s["min_split"]
+            *arrays, deepest = grow(x, y, w, s["classes"], tries, least, s["min_leaf"], left_depth, [seed, tree, leaf], count)
             return pd.DataFrame(
                 [(tree, leaf, *[a.tobytes() for a in arrays], len(arrays[0]), deepest)], columns=[c.split(" ")[0] for c in SUBTREES.split(", ")]
             )
 
-        members = self._members(tops, rows).drop("_vector")
+        members = self._together(self._members(tops, rows), repeats)
         grown = written(members.groupBy("tree", "leaf").applyInPandas(finish, SUBTREES), "forest-trees")
         total = grown.agg(F.sum("nodes")).first()[0]
         if total > MODEL_NODES:

@@ -78,3 +78,31 @@ def test_odd_tables(spark):
     with pytest.raises(ValueError, match="no rows"):
         model_of = build_model("random_forest", {"max_depth": None}, "classification", FeatureTable(("a", "b"), 1, 2))
         model_of.estimator.fit(df.limit(0))
+
+
+def test_equal_rows_travel_as_one(spark, monkeypatch):
+    """A few different rows, many times each: no top, no split of pure nodes, one row a tree and different row."""
+    monkeypatch.setattr(D, "NODE_ROWS", 40)
+    monkeypatch.setattr(D, "OVERSIZED", 1)
+    x = np.c_[np.repeat(np.arange(12), 100), np.tile(np.arange(3), 400)]
+    y = (x[:, 0] * 7 % 12).astype(float)
+    seen = []
+    together = D.DeepForest._together
+    monkeypatch.setattr(D.DeepForest, "_together", lambda self, *a: seen.append(together(self, *a)) or seen[-1])
+    df = frame(spark, x, y)
+    for classes in (0, 12):
+        model = fitted(df, classes, max_depth=None)
+        assert model.tops.forest is None and not model.tops.splits
+        assert seen[-1].groupBy("tree").count().agg(F.max("count")).first()[0] <= 36
+        assert model.transform(df).filter("abs(prediction - label) > 1e-9").count() == 0
+
+
+@pytest.mark.parametrize("classes", [3, 0])
+def test_counted_rows_grow_the_tree_of_their_copies(classes):
+    rng = np.random.default_rng(8)
+    x, count = rng.integers(0, 6, (80, 2)).astype(float), rng.integers(1, 5, 80)
+    y, drawn = rng.integers(0, 3, 80).astype(float), rng.integers(1, 3, 80)
+    each = [np.repeat(a, count, axis=0) for a in (x, y, drawn)]
+    whole = D.grow(each[0], each[1], each[2].astype(float), classes, 2, 9, 4, 0, 5)
+    short = D.grow(x, y, (drawn * count).astype(float), classes, 2, 9, 4, 0, 5, count)
+    assert all(np.allclose(a, b) for a, b in zip(whole, short))
