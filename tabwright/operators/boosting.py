@@ -10,6 +10,10 @@ the sums lie, so the driver sees one candidate per node and partition. Where the
 sums of all tasks are few (``NEAR_BYTES``), the driver adds and searches them
 itself, with the same whole numbers and so the same trees.
 
+Where rows repeat, ``REPEATS`` times on average at least, equal ones travel as
+one with their number. They have the same key, so a round draws all or none of
+them, and whole numbers add up to the same sums.
+
 Growth is best first: leaves wait in a queue by gain until ``num_leaves`` or the
 depth is reached. One pass serves all leaves that may still be split, so a tree
 takes about as many passes as it has levels, with the splits that one leaf at a
@@ -48,8 +52,10 @@ ROWS_PER_PART = 500_000
 HISTOGRAM_BYTES = 128 << 20  # sums that one task holds in a pass
 NEAR_BYTES = 1 << 20  # sums of a node, over all tasks and outputs, that the driver adds up itself
 STRETCH = 8
+REPEATS = 4  # rows to a different one from which equal rows travel as one
 SUM_BITS, ROW_BITS = 62, 38  # of a total, and of one row's gradient at most
 
+ROWS = "key long, y double, count long, bins binary, scores binary"
 HISTOGRAMS = "output int, node long, feature int, sums binary"
 CANDIDATES = (
     "output int, node long, feature int, bin int, gain double, best boolean, "
@@ -160,7 +166,7 @@ def bin_edges(rows: DataFrame, width: int) -> list[list[float]]:
 
 
 def binned(rows: DataFrame, edges: list[list[float]], start: list[float], n: int) -> DataFrame:
-    """(key, y, bins, scores): one byte a feature, and the scores the boosting starts from."""
+    """(key, y, count, bins, scores): one byte a feature, and the scores the boosting starts from."""
 
     def work(batches: Iterator) -> Iterator:
         import numpy as np
@@ -178,14 +184,15 @@ def binned(rows: DataFrame, edges: list[list[float]], start: list[float], n: int
                 [
                     batch["key"],
                     batch["y"],
+                    batch["count"],
                     pa.array([r.tobytes() for r in out], pa.binary()),
                     pa.array([scores[:width]] * batch.num_rows, pa.binary()),
                 ],
-                ["key", "y", "bins", "scores"],
+                ["key", "y", "count", "bins", "scores"],
             )
 
     dealt = rows.coalesce(max(1, math.ceil(n / ROWS_PER_PART)))
-    return written(dealt.mapInArrow(work, "key long, y double, bins binary, scores binary"), "boost-bins")
+    return written(dealt.mapInArrow(work, ROWS), "boost-bins")
 
 
 # ---- passes over the rows --------------------------------------------------------------------
@@ -276,6 +283,8 @@ def _row_sums(rows: DataFrame, plan: BoostPlan, stretch, growing: list[Tree], wa
             y = batch["y"].to_numpy(zero_copy_only=False)
             g, h = _slopes(_scores(batch, bins, plan, stretch), y, plan)
             g, h = np.rint(g * scale[0]), np.rint(h * scale[1])
+            count = batch["count"].to_numpy(zero_copy_only=False)
+            single = (count == 1).all()
             drawn = _sampled(batch["key"].to_numpy(zero_copy_only=False), plan, turn)
             for k, nodes in by_output.items():
                 place = growing[k].places(bins)
@@ -285,10 +294,14 @@ def _row_sums(rows: DataFrame, plan: BoostPlan, stretch, growing: list[Tree], wa
                     here = np.flatnonzero(place == node)
                     if not len(here):
                         continue
-                    gk, hk = g[here, k], h[here, k]
+                    gk, hk, nk = g[here, k], h[here, k], count[here]
                     for slot, j in enumerate(columns[k]):
                         b = bins[here, j]
                         sums = total[k, node][slot]
+                        if not single:
+                            for at, one in enumerate((gk, hk, np.ones_like(gk))):
+                                np.add.at(sums[at], b, one.astype(np.int64) * nk)
+                            continue
                         # float sums of whole numbers below 2**53 are exact
                         sums[0] += np.bincount(b, gk, sizes[j]).astype(np.int64)
                         sums[1] += np.bincount(b, hk, sizes[j]).astype(np.int64)
@@ -587,11 +600,11 @@ def _with_scores(rows: DataFrame, plan: BoostPlan, stretch, width: int) -> DataF
             if batch.num_rows:
                 scores = _scores(batch, _matrix(batch, width), plan, stretch)
                 yield pa.RecordBatch.from_arrays(
-                    [batch["key"], batch["y"], batch["bins"], pa.array([s.tobytes() for s in scores], pa.binary())],
-                    ["key", "y", "bins", "scores"],
+                    [batch["key"], batch["y"], batch["count"], batch["bins"], pa.array([s.tobytes() for s in scores], pa.binary())],
+                    ["key", "y", "count", "bins", "scores"],
                 )
 
-    return written(rows.mapInArrow(work, "key long, y double, bins binary, scores binary"), "boost-scores")
+    return written(rows.mapInArrow(work, ROWS), "boost-scores")
 
 
 def _exact_mean(rows: DataFrame, n: int, low: float, high: float) -> float:
@@ -605,7 +618,11 @@ def boost(rows: DataFrame, plan: BoostPlan) -> dict:
     """Fit to ``rows`` (x array<double>, y double): start scores and the trees of all rounds, with thresholds for cuts."""
     keyed = rows.withColumn("key", F.xxhash64("x", "y"))
     shape = rows.agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("width"), F.min("y").alias("low"), F.max("y").alias("high")
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.size("x")).alias("width"),
+        F.min("y").alias("low"),
+        F.max("y").alias("high"),
+        F.approx_count_distinct(F.xxhash64("x", "y")).alias("different"),
     ).first()
     if not shape["n"]:
         raise ValueError("no rows to learn from")
@@ -622,8 +639,13 @@ def boost(rows: DataFrame, plan: BoostPlan) -> dict:
     scale = (2.0**bits / spread, 2.0**bits)  # of gradients and of curvatures
     edges = bin_edges(keyed, width)
     sizes = [len(e) + 1 for e in edges]
-    table = binned(keyed, edges, start, n).persist(StorageLevel.MEMORY_AND_DISK)
-    tasks = math.ceil(n / ROWS_PER_PART)
+    if n >= REPEATS * shape["different"]:
+        counted = keyed.groupBy("key", "x", "y").agg(F.count(F.lit(1)).alias("count"))
+        held = shape["different"]
+    else:
+        counted, held = keyed.withColumn("count", F.lit(1).cast("long")), n
+    table = binned(counted, edges, start, held).persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = math.ceil(held / ROWS_PER_PART)
     near = 24 * sum(sizes) * plan.outputs * tasks <= NEAR_BYTES
     stretch: list[list[Tree]] = []
     trees: list[list[Tree]] = []

@@ -140,3 +140,22 @@ def test_odd_tables(spark):
     many = spark.range(3000).select(F.array(F.col("id").cast("double")).alias("x"), (F.col("id") >= 1500).cast("double").alias("y"))
     t = B.boost(many, B.BoostPlan(rounds=1, max_depth=1))["trees"][0][0]
     assert abs(t["cut"][0] - 1500) < 15  # more values than bins
+
+
+@pytest.mark.parametrize("objective, outputs", [("binary", 1), ("softmax", 3), ("squared", 1)])
+def test_equal_rows_travel_as_one(spark, monkeypatch, objective, outputs):
+    """Rows many times over give the very model they give one by one, sampled rounds included."""
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 6, (40, 2)).astype(float)
+    y = rng.integers(0, 2 if objective == "binary" else 3, 40).astype(float) * (1.7 if objective == "squared" else 1)
+    times = rng.integers(5, 40, 40)
+    df = frame(spark, np.repeat(x, times, axis=0), np.repeat(y, times))
+    plan = B.BoostPlan(objective=objective, outputs=outputs, rounds=10, max_depth=4, subsample=0.8, min_rows=3)
+    seen = []
+    binned = B.binned
+    monkeypatch.setattr(B, "binned", lambda *a: seen.append(binned(*a)) or seen[-1])
+    short = B.boost(df, plan)
+    monkeypatch.setattr(B, "REPEATS", 10**9)
+    whole = B.boost(df, plan)
+    assert [t.count() for t in seen] == [len(np.unique(np.c_[x, y], axis=0)), times.sum()]
+    assert short == whole
