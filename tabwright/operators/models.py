@@ -11,6 +11,7 @@ import math
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -19,13 +20,18 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tabwright.operators.boosting import HistogramBooster
 from tabwright.operators.forest import DeepForest
 from tabwright.operators.fourier import FourierFeatures
 from tabwright.operators.penalised import PenalisedLogistic
 from tabwright.operators.support import DualSupport
+from tabwright.session import written
 
 # The search space, in search order.
 GRIDS = [
@@ -108,6 +114,7 @@ DEFAULT_TREES = 100
 DEFAULT_SEED = 42
 MAX_DEPTH = 30  # deepest tree MLlib builds; stands for "no limit"
 PER_CLASS_PARALLEL = 4
+REPEATS = 4  # rows to a different one from which equal rows are trained on as one
 NORMAL_SOLVER_FEATURES = 4096
 DUAL_ROWS = 20_000  # training rows up to which a Gaussian kernel is solved exactly unless asked otherwise
 
@@ -154,6 +161,29 @@ class Model:
     dropped: list[str] = field(default_factory=list)
 
 
+class EqualRowsAsOne(Estimator, HasFeaturesCol, HasLabelCol):
+    """Fit ``learner``, which draws no rows, to the different rows, weighted by their number, where rows repeat.
+
+    The model is the learner's own.
+    """
+
+    @keyword_only
+    def __init__(self, *, learner=None, featuresCol="features", labelCol="label"):
+        super().__init__()
+        self.learner = learner
+        self._set(featuresCol=featuresCol, labelCol=labelCol)
+
+    def _fit(self, dataset: DataFrame):
+        features, label = self.getFeaturesCol(), self.getLabelCol()
+        rows = dataset.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"))
+        size = rows.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("x", "y")).alias("different")).first()
+        if size["n"] < REPEATS * max(size["different"], 1):
+            return self.learner.fit(dataset)
+        weighted = rows.groupBy("x", "y").agg(F.count(F.lit(1)).cast("double").alias("rows"))
+        weighted = written(weighted.select(array_to_vector("x").alias(features), F.col("y").alias(label), "rows"), "equal-rows")
+        return self.learner.copy({self.learner.weightCol: "rows"}).fit(weighted)
+
+
 def family_for(family: str, task: str) -> str:
     """Family that is trained; an unknown name falls back to the forest."""
     known = CLASSIFIERS if task == "classification" else REGRESSORS
@@ -323,6 +353,8 @@ def build_model(family: str, params: dict[str, Any], task: str, table: FeatureTa
         )
         if classify:
             estimator = _per_class(estimator, table, table.features)
+        if used.get("subsample", 1.0) >= 1.0:
+            estimator = EqualRowsAsOne(learner=estimator, **common)
     elif family == "logistic_regression":
         settings = {
             "regParam": 1.0 / (used["C"] * table.n_train),

@@ -329,3 +329,30 @@ def test_info_row_holds_the_summary(separable, prepared):
     summary = json.loads(row["summary"])
     assert summary["target"] == "target" and summary["n_rows"] == 400 and summary["columns"] == separable.columns
     assert summary["types"]["c"] == "categorical" and row["n_samples"] == 400
+
+
+@pytest.mark.parametrize("classes", [2, 3, 0])
+def test_boosting_trains_on_equal_rows_as_one(spark, monkeypatch, classes):
+    """MLlib's booster gives the same answers for weighted rows, of which there are as many as different ones."""
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector
+    from tabwright.operators import models as M
+
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.integers(0, 5, (30, 2)), rng.integers(5, 30, 30), axis=0)
+    y = (x[:, 0] * 2 + x[:, 1]) % (classes or 7)
+    df = spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x.astype(float), y)], "x array<double>, label double")
+    df = df.select(array_to_vector("x").alias("features"), "label")
+    seen = []
+    monkeypatch.setattr(M, "written", lambda rows, name: seen.append(rows) or rows)
+    task = "classification" if classes else "regression"
+    params = {"n_estimators": 5, "max_depth": 3, "engine": "mllib"}
+
+    def answers():
+        fitted = build_model("gradient_boosting", params, task, FeatureTable(("a", "b"), len(x), classes)).estimator.fit(df)
+        return [r["prediction"] for r in fitted.transform(df).select("prediction").collect()]
+
+    weighted = answers()
+    assert [r.count() for r in seen] == [len(np.unique(np.c_[x, y], axis=0))]
+    monkeypatch.setattr(M, "REPEATS", 10**9)
+    assert np.allclose(weighted, answers()) and len(seen) == 1
