@@ -12,6 +12,10 @@ Rows are drawn for each tree by a digest of the row, with the counts that
 drawing with replacement gives. Nodes try a random choice of features, as many
 as asked for that are not constant there. The result does not depend on the
 partitioning, given the top.
+
+A forest of up to ``HELD_NODES`` nodes is sent to all tasks that score. The
+subtrees of a larger one stay in their table: rows go to the subtrees they are
+in, and the answers of a row's trees are added up in the order of the trees.
 """
 
 from __future__ import annotations
@@ -56,7 +60,8 @@ OVERSIZED = 4  # times as many rows make a node split once more
 REPEATS = 4  # rows to a different one from which equal rows travel as one
 TOP_DEPTH = 20
 SPLIT_DEPTH = 8
-MODEL_NODES = 20_000_000  # nodes that every scoring task can hold
+HELD_NODES = 500_000  # nodes that the driver and every scoring task hold; a larger forest meets the rows by joins
+MEETING_ROWS = 50_000  # rows that meet a subtree in one task, about
 # Shares of rows drawn at most 0, 1, 2, ... times.
 DRAWN = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676, 0.99998975]
 
@@ -133,6 +138,15 @@ def _leaf_of(tree, x):
     return node
 
 
+def _arrays(row: dict, width: int) -> tuple:
+    """Arrays (feature, cut, left, right, value) of a row of subtrees; ``width`` numbers a value."""
+    import numpy as np
+
+    kinds = (np.int32, np.float64, np.int32, np.int32, np.float64)
+    arrays = [np.frombuffer(row[c], kind) for c, kind in zip(("feature", "cut", "left", "right", "value"), kinds)]
+    return (*arrays[:4], arrays[4].reshape(-1, width))
+
+
 class _Tops:
     """The trees' tops: which node of which tree a row is in."""
 
@@ -264,9 +278,6 @@ class DeepForest(Estimator, _Shared, HasSeed, DefaultParamsReadable, DefaultPara
 
         members = self._together(self._members(tops, rows), repeats)
         grown = written(members.groupBy("tree", "leaf").applyInPandas(finish, SUBTREES), "forest-trees")
-        total = grown.agg(F.sum("nodes")).first()[0]
-        if total > MODEL_NODES:
-            raise ValueError(f"a forest of {total} nodes is too large to score with: raise min_samples_leaf or limit the depth")
         model = DeepForestModel(
             featuresCol=self.getFeaturesCol(),
             labelCol=self.getLabelCol(),
@@ -291,19 +302,16 @@ class DeepForestModel(Model, _Shared, MLWritable, MLReadable):
 
     def subtrees(self) -> dict:
         """Arrays (feature, cut, left, right, value) by (tree, node of the top)."""
-        import numpy as np
+        return {(r["tree"], r["leaf"]): _arrays(r, self._width) for r in self.grown.toArrow().to_pylist()}
 
-        k = max(json.loads(self.getOrDefault(self.settings))["classes"], 1)
-        kinds = (np.int32, np.float64, np.int32, np.int32, np.float64)
-        out = {}
-        for r in self.grown.toArrow().to_pylist():  # at most MODEL_NODES nodes
-            arrays = [np.frombuffer(r[c], kind) for c, kind in zip(("feature", "cut", "left", "right", "value"), kinds)]
-            out[r["tree"], r["leaf"]] = (*arrays[:4], arrays[4].reshape(-1, k))
-        return out
+    @property
+    def _width(self) -> int:
+        return max(json.loads(self.getOrDefault(self.settings))["classes"], 1)
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        held = dataset.sparkSession.sparkContext.broadcast(self.subtrees())
-        k = max(json.loads(self.getOrDefault(self.settings))["classes"], 1)
+    def _with_shares(self, placed: DataFrame) -> DataFrame:
+        """``placed`` (with ``_vector`` and ``_nodes``) and ``_shares`` by a model that every task holds."""
+        held = placed.sparkSession.sparkContext.broadcast(self.subtrees())
+        k = self._width
 
         @F.arrow_udf("array<double>")
         def answer(x, nodes):
@@ -324,9 +332,45 @@ class DeepForestModel(Model, _Shared, MLWritable, MLReadable):
             offsets = np.arange(0, total.size + 1, k, dtype=np.int32)
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(total.ravel()))
 
-        features = F.col(self.getFeaturesCol())
-        placed = self.tops.place(dataset.withColumn("_vector", features))
-        scored = placed.withColumn("_shares", answer(vector_to_array("_vector"), F.col("_nodes"))).drop("_vector", "_nodes")
+        return placed.withColumn("_shares", answer(vector_to_array("_vector"), F.col("_nodes"))).drop("_vector", "_nodes")
+
+    def _with_met_shares(self, placed: DataFrame) -> DataFrame:
+        """The same where rows meet the subtrees they are in, and no task holds more than some subtrees."""
+        k = self._width
+        rows = written(placed.withColumn("_row", F.monotonically_increasing_id()), "forest-scored")
+        each = rows.select(F.col("_row").alias("row"), vector_to_array("_vector").alias("x"), F.posexplode("_nodes").alias("tree", "leaf"))
+        most = each.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+        slices = math.ceil(most / MEETING_ROWS)
+        each = each.withColumn("slice", F.pmod(F.xxhash64("row"), F.lit(slices)).cast("int"))
+        grown = self.grown.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+        keys = ["tree", "leaf", "slice"]
+
+        def meet(left, right):
+            import pyarrow as pa
+
+            if not left.num_rows or not right.num_rows:  # a node no row was drawn for has no say
+                return pa.table([pa.array([], t) for t in types], names)
+            x = left["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(left.num_rows, -1)
+            tree = _arrays(right.slice(0, 1).to_pylist()[0], k)
+            shares = pa.array(tree[4][_leaf_of(tree, x)].tolist(), types[2])
+            return pa.table([left["row"].combine_chunks(), left["tree"].combine_chunks().cast(types[1]), shares], names)
+
+        import pyarrow as pa
+
+        names, types = ["row", "tree", "shares"], [pa.int64(), pa.int32(), pa.list_(pa.float64())]
+        met = each.groupBy(*keys).cogroup(grown.groupBy(*keys)).applyInArrow(meet, "row long, tree int, shares array<double>")
+        said = met.groupBy(F.col("row").alias("_row")).agg(F.array_sort(F.collect_list(F.struct("tree", "shares"))).alias("_said"))
+        total = F.aggregate(
+            "_said", F.array_repeat(F.lit(0.0), k), lambda acc, s: F.zip_with(acc, s["shares"], lambda a, b: a + b)
+        )
+        none = F.array_repeat(F.lit(0.0), k)
+        shares = F.coalesce(F.transform(total, lambda v: v / F.size("_said")), none)
+        return rows.join(said, "_row", "left").withColumn("_shares", shares).drop("_row", "_said", "_vector", "_nodes")
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        placed = self.tops.place(dataset.withColumn("_vector", F.col(self.getFeaturesCol())))
+        small = (self.grown.agg(F.sum("nodes")).first()[0] or 0) <= HELD_NODES
+        scored = self._with_shares(placed) if small else self._with_met_shares(placed)
         if not json.loads(self.getOrDefault(self.settings))["classes"]:
             return scored.withColumn(self.getPredictionCol(), F.col("_shares")[0]).drop("_shares")
         top = F.array_position("_shares", F.array_max("_shares")) - 1  # equal shares go to the lowest class

@@ -106,3 +106,24 @@ def test_counted_rows_grow_the_tree_of_their_copies(classes):
     whole = D.grow(each[0], each[1], each[2].astype(float), classes, 2, 9, 4, 0, 5)
     short = D.grow(x, y, (drawn * count).astype(float), classes, 2, 9, 4, 0, 5, count)
     assert all(np.allclose(a, b) for a, b in zip(whole, short))
+
+
+@pytest.mark.parametrize("classes", [3, 0])
+def test_rows_meet_the_subtrees_of_a_large_forest(spark, monkeypatch, classes):
+    """Subtrees that no task holds together give the answers of those that all do."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(0, 1, (400, 3))
+    y = rng.integers(0, 3, 400) if classes else x[:, 0] * 2 + rng.normal(0, 1, 400)
+    df = frame(spark, x, y)
+    monkeypatch.setattr(D, "NODE_ROWS", 100)
+    model = fitted(df, classes, max_depth=None)
+    columns = ["features", "prediction"] + (["probability"] if classes else [])
+
+    def answers():
+        return sorted(map(str, model.transform(df).select(*columns).collect()))
+
+    held = answers()
+    monkeypatch.setattr(D, "HELD_NODES", 0)
+    monkeypatch.setattr(D, "MEETING_ROWS", 30)
+    monkeypatch.setattr(D.DeepForestModel, "subtrees", None)
+    assert len(held) == 400 and answers() == held
