@@ -7,6 +7,10 @@ All rows are then held against that solution: rows that violate it, and are not
 in the set, go through the cascade again together with the set, until there is
 no violator. The solution is then that of all rows, to the tolerance.
 
+Where rows repeat, ``REPEATS`` times on average at least, equal ones are one row
+whose weight may grow to as many times the limit of one: the same problem, as
+only the sum of the weights of equal rows counts.
+
 Classes are compared in pairs that vote. For regression the loss is zero inside
 a tube of width ``epsilon``, so rows inside carry no weight.
 
@@ -35,10 +39,11 @@ BLOCK_ROWS = 2_000
 GAP = 1e-3  # largest violation of a solved block
 VIOLATION = 2e-3  # of a row that goes through the cascade again
 COLUMN_BYTES = 64 << 20  # kernel columns that a task keeps
+REPEATS = 4  # rows to a different one from which equal rows are one
 MAX_STEPS = 2_000_000
 MAX_ROUNDS = 100
 
-CARRIERS = "pair int, id long, x array<double>, y double, weight double"
+CARRIERS = "pair int, id long, x array<double>, y double, weight double, count long"
 
 
 def gaussian(a, b, gamma: float):
@@ -66,9 +71,10 @@ class _Columns:
         return column
 
 
-def solve(x, y, c: float, gamma: float, epsilon: float | None, weights):
+def solve(x, y, c, gamma: float, epsilon: float | None, weights):
     """(weights, bias) of the dual problem of the rows, from feasible ``weights``.
 
+    ``c`` is the limit of all weights or of each.
     A classifier has y of -1 and 1; with ``epsilon`` y is the number to fit. A
     row's weight is its coefficient in the decision function. Pairs are chosen by
     the second-order gain and moved to their best places inside the box, until
@@ -77,6 +83,7 @@ def solve(x, y, c: float, gamma: float, epsilon: float | None, weights):
     import numpy as np
 
     n = len(x)
+    c = np.broadcast_to(np.asarray(c, float), n)
     kernel = _Columns(x, gamma)
     if epsilon is None:
         sign, linear = y.astype(float), -np.ones(n)
@@ -86,7 +93,7 @@ def solve(x, y, c: float, gamma: float, epsilon: float | None, weights):
         sign = np.r_[np.ones(n), -np.ones(n)]
         linear = np.r_[epsilon - y, epsilon + y]
         a = np.r_[np.maximum(weights, 0), np.maximum(-weights, 0)]
-        row = np.r_[np.arange(n), np.arange(n)]
+        row, c = np.r_[np.arange(n), np.arange(n)], np.r_[c, c]
     decision = np.zeros(n)
     for i in np.flatnonzero(weights):
         decision += weights[i] * kernel[i]
@@ -107,8 +114,8 @@ def solve(x, y, c: float, gamma: float, epsilon: float | None, weights):
         curve = np.maximum(2 - 2 * column[row], 1e-12)  # a Gaussian kernel is 1 on the diagonal
         j = int(np.where(gap > 0, gap * gap / curve, -np.inf).argmax())
         step = gap[j] / curve[j]
-        room_i = c - a[i] if sign[i] > 0 else a[i]
-        room_j = a[j] if sign[j] > 0 else c - a[j]
+        room_i = c[i] - a[i] if sign[i] > 0 else a[i]
+        room_j = a[j] if sign[j] > 0 else c[j] - a[j]
         step = min(step, room_i, room_j)
         a[i] += sign[i] * step
         a[j] -= sign[j] * step
@@ -135,24 +142,25 @@ def _solved(group: DataFrame, c: float, gamma: float, epsilon: float | None, bas
         import pandas as pd
 
         pair = int(pdf["pair"].iloc[0])
-        ids, y, w = pdf["id"].to_numpy(), pdf["y"].to_numpy(float), pdf["weight"].to_numpy(float)
+        ids, y, w, count = pdf["id"].to_numpy(), pdf["y"].to_numpy(float), pdf["weight"].to_numpy(float), pdf["count"].to_numpy()
         x = np.stack(pdf["x"].to_numpy()).astype(float)
         if pair in base:
-            held_id, held_x, held_y, held_w = base[pair]
+            held_id, held_x, held_y, held_w, held_count = base[pair]
             # the set itself is feasible; what the group brings starts from nothing
             fresh = ~np.isin(ids, held_id)
             ids, y = np.r_[held_id, ids[fresh]], np.r_[held_y, y[fresh]]
             w, x = np.r_[held_w, np.zeros(fresh.sum())], np.vstack([held_x, x[fresh]])
+            count = np.r_[held_count, count[fresh]]
         else:
             # carriers of two blocks: each half is feasible, and a row may come from both
             ids, first = np.unique(ids, return_index=True)
-            x, y, w = x[first], y[first], np.zeros(len(first))
-        w, bias = solve(x, y, c, gamma, epsilon, w)
+            x, y, w, count = x[first], y[first], np.zeros(len(first)), count[first]
+        w, bias = solve(x, y, c * count, gamma, epsilon, w)
         held = w != 0
         if not held.any():
             held[:1] = True  # the bias needs a row to travel with
         return pd.DataFrame(
-            {"pair": np.int32(pair), "id": ids[held], "x": list(x[held]), "y": y[held], "weight": w[held], "bias": bias}
+            {"pair": np.int32(pair), "id": ids[held], "x": list(x[held]), "y": y[held], "weight": w[held], "count": count[held], "bias": bias}
         )
 
     return group.groupBy("pair", *keys).applyInPandas(work, ", ".join(bias_too))
@@ -173,18 +181,18 @@ def _cascade(rows: DataFrame, n: int, c: float, gamma: float, epsilon: float | N
 
 
 def _carriers(found: DataFrame) -> dict:
-    """(ids, x, y, weights, bias) by pair: the model."""
+    """(ids, x, y, weights, counts, bias) by pair: the model."""
     import numpy as np
 
     table = found.toArrow()  # carriers only
     pairs = table["pair"].to_numpy()
     x = np.stack(table["x"].to_pylist()) if len(pairs) else np.empty((0, 0))
-    columns = [table[name].to_numpy() for name in ("id", "y", "weight", "bias")]
+    columns = [table[name].to_numpy() for name in ("id", "y", "weight", "count", "bias")]
     out = {}
     for pair in np.unique(pairs).tolist():
         at = np.flatnonzero(pairs == pair)
-        ids, y, weight, bias = (column[at] for column in columns)
-        out[pair] = (ids, x[at], y, weight, float(bias[0]))
+        ids, y, weight, count, bias = (column[at] for column in columns)
+        out[pair] = (ids, x[at], y, weight, count, float(bias[0]))
     return out
 
 
@@ -202,7 +210,7 @@ def _violators(rows: DataFrame, model: dict, gamma: float, epsilon: float | None
             y = batch["y"].to_numpy(zero_copy_only=False)
             pairs, ids = batch["pair"].to_numpy(), batch["id"].to_numpy()
             out = np.zeros(batch.num_rows, bool)
-            for pair, (held, hx, _, weight, bias) in model.items():
+            for pair, (held, hx, _, weight, _, bias) in model.items():
                 at = np.flatnonzero((pairs == pair) & ~np.isin(ids, held))
                 for part in np.array_split(at, max(1, len(at) * len(held) // 4_000_000)):
                     value = gaussian(x[part], hx, gamma) @ weight + bias
@@ -215,18 +223,24 @@ def _violators(rows: DataFrame, model: dict, gamma: float, epsilon: float | None
 
 def fit_dual(rows: DataFrame, c: float, gamma: float, epsilon: float | None = None) -> dict:
     """Carriers and bias by pair of (pair, id, x, y), over all rows; ids are unique in a pair."""
-    table = written(rows.select("pair", "id", "x", "y", F.lit(0.0).alias("weight")), "support-rows")
-    todo, n = table, table.count()
-    if not n:
+    table = written(
+        rows.select("pair", "id", "x", "y", F.lit(0.0).alias("weight"), F.lit(1).cast("long").alias("count")), "support-rows"
+    )
+    size = table.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("pair", "x", "y")).alias("different")).first()
+    if not size["n"]:
         raise ValueError("no rows to learn from")
+    if size["n"] >= REPEATS * size["different"]:
+        equal = table.groupBy("pair", "x", "y").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("count"))
+        table = written(equal.select("pair", "id", "x", "y", F.lit(0.0).alias("weight"), "count"), "support-equal")
+    todo, n = table, table.count()
     model: dict = {}
     for _ in range(MAX_ROUNDS):
-        base = {pair: held[:4] for pair, held in model.items()}
+        base = {pair: held[:5] for pair, held in model.items()}
         model |= _carriers(_cascade(todo, n, c, gamma, epsilon, base))
         todo = written(_violators(table, model, gamma, epsilon), "support-violators")
         n = todo.count()
         if not n:
-            return model
+            return {pair: (*held[:4], held[5]) for pair, held in model.items()}
     raise RuntimeError("rows still violate the solution; the approximate kernel may serve")
 
 

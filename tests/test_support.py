@@ -94,3 +94,25 @@ def test_odd_rows(spark):
     assert not weight.any() and bias < 0
     with pytest.raises(ValueError, match="no rows"):
         S.fit_dual(same.limit(0), 1.0, 1.0)
+
+
+@pytest.mark.parametrize("epsilon", [None, 0.2])
+def test_equal_rows_are_one(spark, monkeypatch, epsilon):
+    """Rows many times over give the decisions they give one by one, and only different rows go into the cascade."""
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.integers(0, 4, (14, 2)), rng.integers(5, 15, 14), axis=0).astype(float)
+    y = np.sin(x[:, 0]) + x[:, 1] if epsilon else np.where(x[:, 0] + rng.normal(0, 1, len(x)) > 1.5, 1.0, -1.0)
+    grid = np.array([[a, b] for a in range(4) for b in range(4)], float)
+
+    def decisions():
+        _, hx, _, weight, bias = S.fit_dual(pairs_of(spark, x, y), 2.0, 0.7, epsilon)[0]
+        return S.gaussian(grid, hx, 0.7) @ weight + bias
+
+    sizes = []
+    cascade = S._cascade
+    monkeypatch.setattr(S, "_cascade", lambda rows, n, *a: sizes.append(n) or cascade(rows, n, *a))
+    short = decisions()
+    assert sizes[0] == len(np.unique(np.c_[x, y], axis=0))
+    monkeypatch.setattr(S, "REPEATS", 10**9)
+    whole = decisions()
+    assert np.allclose(short, whole, atol=2e-2)
