@@ -108,3 +108,22 @@ def test_probes_come_in_the_order_of_the_cuts_crossed():
         for order, cut in zip(row, cuts):
             cost = [sum(cut[b] ** 2 for b in range(bits) if (code ^ order[0]) >> b & 1) for code in order.tolist()]
             assert cost == sorted(cost)
+
+
+def test_manhattan_passes_over_most_rows_and_stays_exact():
+    """Candidates hold every nearest row, ties, near ties, huge and missing numbers included, and seldom any other."""
+    rng = np.random.default_rng(9)
+    train = rng.normal(0, 1, (3000, 16))
+    train[:40] = train[40:80]
+    queries = np.r_[train[:5], rng.normal(0, 1, (20, 16))]
+    sizes = [len(c) for c in K._manhattan_candidates(queries, train, 4)]
+    assert max(sizes) <= 20
+    shifted = train + 1e7  # single precision tells few of these apart
+    tiny = train * 1e-40
+    odd = np.where(rng.random((3000, 16)) < 1e-4, 1e300, train)
+    for t, q in ((train, queries), (shifted, queries + 1e7), (tiny, queries * 1e-40), (odd, queries)):
+        ids = rng.permutation(len(t))
+        for i, rows, d in K._block_neighbours(q, t, ids, 4, "manhattan"):
+            exact = np.abs(t - q[i]).sum(axis=1)
+            best = np.lexsort((ids, exact))[:4]
+            assert rows.tolist() == best.tolist() and d.tolist() == exact[best].tolist()
