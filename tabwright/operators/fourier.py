@@ -18,6 +18,12 @@ from pyspark.sql import functions as F
 COMPONENTS = 128
 
 
+def projection(d: int, n: int, gamma: float, seed: int):
+    """Weights (d x n) and shifts of ``n`` waves."""
+    rng = np.random.default_rng(seed)
+    return rng.normal(0.0, math.sqrt(2.0 * gamma), (d, n)), rng.uniform(0.0, 2.0 * math.pi, n)
+
+
 class FourierFeatures(
     Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable
 ):
@@ -37,9 +43,7 @@ class FourierFeatures(
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         d, n = self.getOrDefault(self.dim), self.getOrDefault(self.components)
-        rng = np.random.default_rng(self.getSeed())
-        weights = rng.normal(0.0, math.sqrt(2.0 * self.getOrDefault(self.gamma)), (d, n))
-        shifts = rng.uniform(0.0, 2.0 * math.pi, n)
+        weights, shifts = projection(d, n, self.getOrDefault(self.gamma), self.getSeed())
 
         @F.arrow_udf("array<double>")
         def project(x: pa.Array) -> pa.Array:

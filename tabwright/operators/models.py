@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from tabwright.operators.boosting import HistogramBooster
 from tabwright.operators.forest import DeepForest
-from tabwright.operators.fourier import FourierFeatures
+from tabwright.operators.fourier import COMPONENTS, FourierFeatures
+from tabwright.operators.fourier_fit import WaveMachine
 from tabwright.operators.penalised import PenalisedLogistic
 from tabwright.operators.support import DualSupport
 from tabwright.session import written
@@ -116,6 +117,7 @@ MAX_DEPTH = 30  # deepest tree MLlib builds; stands for "no limit"
 PER_CLASS_PARALLEL = 4
 REPEATS = 4  # rows to a different one from which equal rows are trained on as one
 NORMAL_SOLVER_FEATURES = 4096
+STORED_ROWS = 200_000  # training rows whose Fourier features MLlib may store: 200 MB
 DUAL_ROWS = 20_000  # training rows up to which a Gaussian kernel is solved exactly unless asked otherwise
 
 CLASSIFIERS = [
@@ -310,7 +312,8 @@ def build_model(family: str, params: dict[str, Any], task: str, table: FeatureTa
     A Gaussian kernel is solved in the dual, with the epsilon tube for
     regression, up to ``DUAL_ROWS`` training rows or with ``solver="dual"``;
     beyond, or with ``solver="fourier"``, by random Fourier features and a Huber
-    loss. A forest without a depth limit, or with ``min_samples_split``, is grown
+    loss; above ``STORED_ROWS`` training rows the features are drawn anew in each
+    pass, for the same objective. A forest without a depth limit, or with ``min_samples_split``, is grown
     to the end below MLlib's top. Gaps: boosting knows no ``min_samples_split``
     and splits by histogram. ``solver="liblinear"`` of the logistic family
     penalises the intercept too; ``penalty="l1"`` works with both solvers.
@@ -374,6 +377,17 @@ def build_model(family: str, params: dict[str, Any], task: str, table: FeatureTa
         estimator = DualSupport(
             c=used["C"], gamma=_gamma(used["gamma"], table), epsilon=used.get("epsilon"), classes=table.n_classes or 2, **common
         )
+    elif family in ("svm", "svr") and used["kernel"] == "rbf" and table.n_train > STORED_ROWS:
+        settings = {
+            "dim": len(table.names),
+            "gamma": _gamma(used["gamma"], table),
+            "seed": used["random_state"],
+            "components": COMPONENTS,
+            "reg": 1.0 / (used["C"] * table.n_train),
+            "steps": used["max_iter"],
+            "classes": max(table.n_classes, 2) if family == "svm" else 0,
+        }
+        estimator = WaveMachine(settings=json.dumps(settings), **common)
     elif family in ("svm", "svr"):
         stages, features = [], table.features
         if used["kernel"] == "rbf":
