@@ -348,20 +348,25 @@ def removed_ranges(candidates: DataFrame, window: int = WINDOW, gram: int = GRAM
     )
     if not many:
         return ranges
-    windows = (
-        written(dense.select("key", "tag", "start", "words"), "passage-dense")
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.floor(F.octet_length("words") / 8).cast("int") - window)))
-        .select(
-            "key",
-            "tag",
-            (F.col("start") + F.col("i")).alias("start"),
-            F.substring("words", F.col("i") * 8 + 1, F.lit(window * 8)).alias("run"),
-        )
+    dense = written(dense.select("key", "tag", "start", "words"), "passage-dense")
+    # of equal segments only those of the smallest key are looked into; the others go whole
+    different = dense.groupBy("words").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.count(F.lit(1)).alias("rows"))
+    different = written(different, "passage-different")
+    windows = different.withColumn("i", F.explode(F.sequence(F.lit(0), F.floor(F.octet_length("words") / 8).cast("int") - window))).select(
+        "words", "first", "i", F.substring("words", F.col("i") * 8 + 1, F.lit(window * 8)).alias("run")
     )
-    owners = windows.groupBy("run").agg(F.min("key").alias("owner"), F.max("key").alias("last"), F.count(F.lit(1)).alias("n"))
-    owners = written(owners.filter(F.col("owner") < F.col("last")).drop("last"), "passage-runs")
-    later = hot_key_join(windows, owners, "run", "n").filter(F.col("owner") < F.col("key"))
-    return ranges.unionByName(later.select("key", "tag", "start", (F.col("start") + window).alias("end")))
+    owners = windows.groupBy("run").agg(F.min("first").alias("owner"), F.max("first").alias("latest"), F.count(F.lit(1)).alias("n"))
+    owners = written(owners.filter(F.col("owner") < F.col("latest")).drop("latest"), "passage-runs")
+    seen = hot_key_join(windows, owners, "run", "n").filter(F.col("owner") < F.col("first"))
+    seen = seen.groupBy("words").agg(F.collect_list("i").alias("seen"))  # no more than a segment has windows
+    known = different.join(seen, "words", "left").filter((F.col("first") < F.col("last")) | F.col("seen").isNotNull())
+    known = written(known.select("words", "first", "seen", "rows"), "passage-known")
+    size = F.floor(F.octet_length("words") / 8)
+    gone = F.when(F.col("key") > F.col("first"), F.array(F.struct(F.col("start"), (F.col("start") + size).alias("end")))).otherwise(
+        F.transform("seen", lambda i: F.struct((F.col("start") + i).alias("start"), (F.col("start") + i + window).alias("end")))
+    )
+    later = hot_key_join(dense, known, "words", "rows").select("key", "tag", F.inline(gone))
+    return ranges.unionByName(later)
 
 
 def shared_anchors(tagged: DataFrame) -> DataFrame:

@@ -206,6 +206,25 @@ def test_passages_equal_brute_force(spark, monkeypatch):
     check_passages(docs, 13)
 
 
+def test_equal_hot_segments_are_looked_into_once(spark, monkeypatch):
+    passage = " ".join(f"p{x}" for x in range(60))
+    rows = [(i, f"a{i} b{i} {passage} c{i} d{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole, sizes, store = substring.removed_ranges, {}, substring.written
+
+    def noted(df, label):
+        out = store(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(substring, "written", noted)
+    monkeypatch.setattr(substring, "DRAWN", 1)
+    monkeypatch.setattr(substring, "removed_ranges", lambda t, w, g, hot: whole(t, w, g, 3))
+    check_passages(docs, 13)
+    inner = sizes["passage-dense"] / 40  # segments of a document
+    assert sizes["passage-different"] <= inner + 2 * 40  # those at its ends differ
+
+
 def test_automaton_matches_equal_search():
     rng = np.random.default_rng(2)
     texts = [rng.integers(0, 3, 30).tolist() for _ in range(12)]
