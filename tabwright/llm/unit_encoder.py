@@ -5,7 +5,9 @@ visible characters: no alternative of its pattern holds a space after another
 character. A line break between two visible characters is a token of its own.
 Text is split there; a unit not seen before is cut further by the tokenizer's
 own pattern and each new pre-token goes through the library's model. The ids of
-a text are its units' ids in a row. Texts with runs of white space, and units
+a text are its units' ids in a row. Units seen before are looked up all at once,
+in an open-addressing table of arrays that holds their bytes and length, so no
+two units are taken for one; those over ``KEY_BYTES`` in a dictionary. Texts with runs of white space, and units
 that hold a special token, go through the library whole.
 """
 
@@ -15,7 +17,10 @@ import os
 import re
 from array import array
 
-CACHE_UNITS = 150_000  # of each of two generations
+CACHE_UNITS = 1_000_000  # about 60 MB
+PIECES = 50_000
+KEY_BYTES = 23  # of a unit that is looked up in arrays
+CHUNK_UNITS = 1 << 16
 PLAIN_MARKS = (".", ",", ";", ":", "!", "?")
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed by the file format
 _CERTAIN = re.compile(r"(?<=\S) (?=\S)")
@@ -51,9 +56,8 @@ class UnitEncoder:
         self.letters = byte_letters()
         self.marks = {c: self._piece(c) for c in PLAIN_MARKS if c}
         self.cache_units = cache_units
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self._forget()
 
     def whole(self, text: str) -> bytes:
         import numpy as np
@@ -67,63 +71,189 @@ class UnitEncoder:
             spelled = piece.encode().decode("latin-1").translate(self.letters)
         return array(self.code, [t.id for t in self.tokenize(spelled)]).tobytes()
 
-    def _learn(self, units: set[str]) -> None:
-        older, pieces, cache = self.older, self.pieces, self.cache
-        known = units.intersection(older)
-        cache.update((u, older[u]) for u in known)
-        if len(pieces) > self.cache_units:
+    def _learn(self, raws: list[bytes]) -> list[bytes]:
+        """Ids of units with the space or break before them."""
+        pieces, heads, out = self.pieces, {}, []
+        if len(pieces) > PIECES:
             pieces.clear()
         tokenize, code, space = self.tokenize, self.code, self.letters[0x20]
-        for unit in units - known if known else units:
+        for raw in raws:
+            text = raw.decode()
+            unit = text[1:] if text[0] == " " else text
             if unit.isalpha():  # one pre-token with the space before it
-                if unit.isascii():
-                    cache[unit] = array(code, [t.id for t in tokenize(space + unit)]).tobytes()
-                else:
-                    cache[unit] = self._piece(" " + unit)
+                ids = heads.get(unit)
+                if ids is None:
+                    plain = unit.isascii()
+                    ids = array(code, [t.id for t in tokenize(space + unit)]).tobytes() if plain else self._piece(text)
+                    heads[unit] = ids
+                out.append(ids)
                 continue
             head = unit[:-1]
             if unit[-1:] in PLAIN_MARKS and head.isalpha():  # a word and a mark
-                ids = cache.get(head) or older.get(head) or self._piece(" " + head)
-                cache[head] = ids
-                cache[unit] = ids + self.marks[unit[-1]]
+                ids = heads.get(head)
+                if ids is None:
+                    ids = heads[head] = self._piece(" " + head)
+                out.append(ids + self.marks[unit[-1]])
                 continue
-            text = unit if unit[:1] == "\n" else " " + unit
             if self.special(text):
-                cache[unit] = self.whole(text)
+                out.append(self.whole(text))
                 continue
             ids = []
             for piece in self.findall(text):
                 if piece not in pieces:
                     pieces[piece] = self._piece(piece)
                 ids.append(pieces[piece])
-            cache[unit] = b"".join(ids)
+            out.append(b"".join(ids))
+        return out
+
+    def _forget(self, room: int = 1 << 12) -> None:
+        import numpy as np
+
+        self.known = 0
+        self.keys = np.zeros((room, 3), np.uint64)
+        self.first, self.size = np.zeros(room, np.int64), np.zeros(room, np.int64)
+        self.pool, self.held = np.zeros(4 * room, self.dtype), 0
+        self.slots = np.full(4 * room, -1, np.int32)
+        self.long: dict[bytes, int] = {}
+
+    def _place(self, entries) -> None:
+        """Give each entry the next free slot after that of its hash."""
+        import numpy as np
+
+        last = np.uint64(len(self.slots) - 1)
+        slot = (_hashed(self.keys[entries]) & last).astype(np.int64)
+        while len(entries):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = entries[free]
+            left = self.slots[slot] != entries
+            entries, slot = entries[left], (slot[left] + 1) & int(last)
+
+    def _add(self, raws: list[bytes], keys) -> None:
+        """Learn new units; their entries are the next ones."""
+        import numpy as np
+
+        ids = self._learn(raws)
+        n = self.known + len(raws)
+        if n > len(self.first):
+            room = max(2 * len(self.first), n) - len(self.first)
+            self.keys = np.r_[self.keys, np.zeros((room, 3), np.uint64)]
+            self.first, self.size = (np.r_[x, np.zeros(room, np.int64)] for x in (self.first, self.size))
+        flat = np.frombuffer(b"".join(ids), self.dtype)
+        if self.held + len(flat) > len(self.pool):
+            self.pool = np.r_[self.pool, np.zeros(len(self.pool) + len(flat), self.dtype)]
+        self.pool[self.held : self.held + len(flat)] = flat
+        new = np.arange(self.known, n)
+        sizes = np.array([len(x) for x in ids], np.int64) // self.dtype.itemsize
+        self.first[new], self.size[new] = self.held + np.cumsum(sizes) - sizes, sizes
+        self.keys[new] = keys
+        self.known, self.held = n, self.held + len(flat)
+        short = np.array([len(r) <= KEY_BYTES for r in raws], bool)
+        self.long.update((raws[i], int(new[i])) for i in np.flatnonzero(~short).tolist())
+        if 2 * n > len(self.slots):
+            size = len(self.slots)
+            while 2 * n > size:
+                size *= 2
+            self.slots = np.full(size, -1, np.int32)
+            whole = np.ones(n, bool)
+            whole[list(self.long.values())] = False
+            self._place(np.flatnonzero(whole))
+        else:
+            self._place(new[short])
+
+    def _entries(self, data: bytes, starts, ends):
+        """Entry of each unit ``data[start:end]``; ``data`` ends with ``KEY_BYTES`` + 1 zeros."""
+        import numpy as np
+
+        sizes = ends - starts
+        words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+        low = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+        keys = np.empty((len(starts), 3), np.uint64)
+        for i in range(3):
+            keys[:, i] = words[starts + 8 * i] & low[np.clip(sizes - 8 * i, 0, 8)]
+        keys[:, 2] |= np.minimum(sizes, KEY_BYTES).astype(np.uint64) << np.uint64(56)
+        found = np.full(len(starts), -1, np.int64)
+        long = sizes > KEY_BYTES
+        for i in np.flatnonzero(long).tolist():
+            found[i] = self.long.get(data[starts[i] : ends[i]], -1)
+        todo = np.flatnonzero(~long)
+        last = len(self.slots) - 1
+        slot = (_hashed(keys[todo]) & np.uint64(last)).astype(np.int64)
+        while len(todo):
+            got = self.slots[slot]
+            there = got >= 0
+            if not there.all():
+                todo, got, slot = todo[there], got[there], slot[there]
+            own, asked = self.keys[got], keys[todo]
+            same = (own[:, 0] == asked[:, 0]) & (own[:, 1] == asked[:, 1]) & (own[:, 2] == asked[:, 2])
+            found[todo[same]] = got[same]
+            todo, slot = todo[~same], (slot[~same] + 1) & last
+        lacking = np.flatnonzero(found < 0)
+        if len(lacking):
+            raws = [data[a:b] for a, b in zip(starts[lacking].tolist(), ends[lacking].tolist())]
+            numbers: dict[bytes, int] = {}
+            at = [numbers.setdefault(r, len(numbers)) for r in raws]
+            where = np.empty(len(numbers), np.int64)
+            where[at] = lacking
+            found[lacking] = np.array(at) + self.known
+            self._add(list(numbers), keys[where])
+        return found
+
+    def _ids(self, data: bytes, starts, ends):
+        """Ids of all units in a row, and where those of each unit end."""
+        import numpy as np
+
+        data += bytes(KEY_BYTES + 1)
+        parts, counts = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
+        for a in range(0, len(starts), CHUNK_UNITS):
+            entries = self._entries(data, starts[a : a + CHUNK_UNITS], ends[a : a + CHUNK_UNITS])
+            sizes = self.size[entries]
+            before = np.cumsum(sizes) - sizes
+            parts.append(self.pool[np.repeat(self.first[entries] - before, sizes) + np.arange(sizes.sum())])
+            counts.append(sizes)
+        return np.concatenate(parts), np.cumsum(np.concatenate(counts))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian integers of ``dtype``."""
-        cut = []
-        for text in texts:
+        import numpy as np
+
+        if self.known > self.cache_units:
+            self._forget()
+        out, plain = [b""] * len(texts), []
+        for i, text in enumerate(texts):
             if not text:
-                cut.append((b"", []))
-            elif _RUN.search(text) or text[0].isspace():
-                first, *rest = _CERTAIN.split(text)
-                cut.append((self.whole(first), rest))
-            else:
-                units = text.replace("\n", " \n").split(" ")
-                units[0] = "\n" + units[0]
-                cut.append((None, units))
-        if len(self.cache) > self.cache_units:
-            self.older, self.cache = self.cache, {}
-        known, width = self.cache.get, self.dtype.itemsize
-        found = [list(map(known, units)) for _, units in cut]
-        lacking = [i for i, ids in enumerate(found) if None in ids]
-        if lacking:
-            self._learn({u for i in lacking for u, ids in zip(cut[i][1], found[i]) if ids is None})
-            for i in lacking:
-                found[i] = map(known, cut[i][1])
-        # without the break put before the text
-        return [
-            b"".join(ids)[width:] if first is None else first + b"".join(ids) for (first, _), ids in zip(cut, found)
-        ]
+                continue
+            if not (_RUN.search(text) or text[0].isspace()):
+                plain.append(i)
+                continue
+            first, *rest = _CERTAIN.split(text)
+            raws = [b" " + unit.encode() for unit in rest]
+            ends = np.cumsum([len(r) for r in raws], dtype=np.int64)
+            starts = np.r_[0, ends][:-1].astype(np.int64)
+            out[i] = self.whole(first) + self._ids(b"".join(raws), starts, ends)[0].tobytes()
+        if plain:
+            parts = [texts[i].encode() for i in plain]
+            data = b"\n" + b"\n".join(parts)
+            begin = np.cumsum([0, *(len(p) + 1 for p in parts)])
+            raw = np.frombuffer(data, np.uint8)
+            starts = np.flatnonzero((raw == 0x20) | (raw == 0x0A))
+            ids, stops = self._ids(data, starts, np.r_[starts[1:], len(data)])
+            cuts = np.r_[0, stops][np.searchsorted(starts, begin)].tolist()
+            # without the break put before the text
+            for i, a, b in zip(plain, cuts, cuts[1:]):
+                out[i] = ids[a + 1 : b].tobytes()
+        return out
+
+
+def _hashed(keys):
+    """Spread 64-bit hashes of rows of three numbers."""
+    import numpy as np
+
+    h = keys[:, 0] * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    h = (h + keys[:, 1]) * np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(29)
+    h = (h + keys[:, 2]) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(32))
 
 
 def opened(path: str) -> UnitEncoder:

@@ -29,6 +29,31 @@ def test_unit_encoder_equals_library(byte_tokenizer):
         assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_unit_encoder_keeps_units_apart(byte_tokenizer):
+    stems = ["a", "é", "1", "ab\x00", "x\x00y"]
+    texts = [s * n + tail for s in stems for n in (1, 3, 11, 21, 22, 23, 24, 40) for tail in ("", ".", "\x00", "\x00\x00")]
+    texts += ["q " + " ".join(texts), "\nq " + "\n".join(texts)]
+    library = Tokenizer.from_file(byte_tokenizer)
+    encoder = UnitEncoder(byte_tokenizer)
+    for _ in range(2):
+        got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_unit_encoder_learns_many_units_once(byte_tokenizer):
+    names = ["".join("abcdefghij"[int(d)] for d in str(n)) for n in range(400_000)]
+    texts = ["x " + " ".join(names[i : i + 1000]) for i in range(0, len(names), 1000)]
+    encoder, calls = UnitEncoder(byte_tokenizer), []
+    tokenize = encoder.tokenize
+    encoder.tokenize = lambda unit: calls.append(1) or tokenize(unit)
+    first = encoder.encode(texts)
+    learned = len(calls)
+    assert encoder.encode(texts) == first
+    assert len(calls) == learned
+    library = Tokenizer.from_file(byte_tokenizer)
+    assert np.frombuffer(first[-1], encoder.dtype).tolist() == library.encode(texts[-1], add_special_tokens=False).ids
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list(" \n\ta.b'sé日 \x1c1,<|>Σİ")), max_size=40))
 def test_encoders_equal_library_on_any_text(byte_tokenizer, word_tokenizer, text):
