@@ -125,8 +125,11 @@ def place_of(ids, ranks) -> int:
     """The three lowest ranks of a piece as one number."""
     import numpy as np
 
-    own = np.unique(ranks[ids])
-    own = own[np.searchsorted(own, 0) :][:3].tolist()
+    rest, own = ranks[ids], []
+    rest = rest[rest >= 0]
+    while len(rest) and len(own) < 3:
+        own.append(int(rest.min()))
+        rest = rest[rest > own[-1]]
     if not own:
         return NO_PLACE
     own += [(1 << PLACE_BITS) - 1] * (3 - len(own))
@@ -157,8 +160,10 @@ class Bm25:
 
         self.n = len(pieces)
         sizes = np.array([len(p) for p in pieces], np.int64)
-        flat = np.concatenate(pieces).astype(np.int64)
-        pairs, counts = np.unique(flat * self.n + np.repeat(np.arange(self.n), sizes), return_counts=True)
+        flat = np.concatenate(pieces)
+        kind = np.int32 if (int(flat.max()) + 1) * self.n < 1 << 31 else np.int64  # short numbers sort faster
+        pairs = flat.astype(kind) * kind(self.n) + np.repeat(np.arange(self.n, dtype=kind), sizes)
+        pairs, counts = np.unique(pairs, return_counts=True)
         token, self.doc = np.divmod(pairs, self.n)
         starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
         self.starts, self.ends = starts, np.r_[starts[1:], len(token)]
