@@ -224,7 +224,7 @@ def _tallies(window: int, gram: int):
 
 
 def _segments(window: int, gram: int, handle=None, inside: bool = False):
-    """Segments of the documents whose anchors are in ``shared``, as 64-bit word hashes."""
+    """Segments of the documents whose anchors are in ``shared``, as 64-bit word hashes; equal ones of a text are one row."""
 
     def kernel(batches: Iterator) -> Iterator:
         import numpy as np
@@ -232,43 +232,56 @@ def _segments(window: int, gram: int, handle=None, inside: bool = False):
 
         for batch in batches:
             for part in slices(batch, SLICE_BYTES, "_text"):
-                rows, anchors, starts, words = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+                rows, anchors, starts, words = [], [], [], []
                 for row, hashes, first, last, anchor in _stretches(part, window, gram, handle, inside):
-                    rows += [row] * len(first)
-                    anchors.append(anchor)
-                    starts.append(first.astype(np.int64))
-                    words += [hashes[a:b].tobytes() for a, b in zip(first.tolist(), (last + window).tolist())]
+                    own: dict[bytes, list[int]] = {}  # equal segments have equal anchors
+                    for a, b, c in zip(first.tolist(), (last + window).tolist(), anchor.tolist()):
+                        run = hashes[a:b].tobytes()
+                        if run in own:
+                            own[run].append(a)
+                            continue
+                        own[run] = [a]
+                        anchors.append(c)
+                    rows += [row] * len(own)
+                    starts += own.values()
+                    words += own
                 at = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate(anchors), pa.int64()),
+                        pa.array(anchors, pa.int64()),
                         part["key"].take(at),
                         part["tag"].take(at),
-                        pa.array(np.concatenate(starts), pa.int64()),
+                        pa.array(starts, pa.list_(pa.int64())),
                         pa.array(words, pa.binary()),
                     ],
-                    names=["anchor", "key", "tag", "start", "words"],
+                    names=["anchor", "key", "tag", "starts", "words"],
                 )
 
     return kernel
 
 
 def _stream(window: int):
-    """Ranges of words (key, tag, start, end) to remove; rows come sorted by anchor and key."""
+    """Ranges of words (key, tag, ranges) to remove; rows come sorted by anchor and key."""
 
     def kernel(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        out: list[tuple[int, int, int, int]] = []
+        out: list[tuple[int, int, list, list]] = []  # key, tag, starts and ends of ranges
+        held = 0
 
         def flushed():
-            columns = [pa.array(c, pa.int64()) for c in zip(*out)]
+            nonlocal held
+            keys, tags, starts, ends = zip(*out)
+            offsets = pa.array(np.cumsum([0, *map(len, starts)]), pa.int32())
+            flat = [pa.array([x for own in c for x in own], pa.int64()) for c in (starts, ends)]
             out.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["key", "tag", "start", "end"])
+            held = 0
+            ranges = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(flat, ["start", "end"]))
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(tags, pa.int64()), ranges], ["key", "tag", "ranges"])
 
         for table in groups(batches, ["anchor"]):
-            keys, starts = table["key"].to_pylist(), table["start"].to_pylist()
+            keys, starts = table["key"].to_pylist(), table["starts"].to_pylist()
             tags, words = table["tag"].to_pylist(), table["words"].to_pylist()
             if len(keys) < 2:
                 continue
@@ -283,19 +296,22 @@ def _stream(window: int):
                 new: dict[bytes, list] = {}  # what of each segment has been seen
                 for j in range(i, end):
                     if words[j] in seen:
-                        out.append((keys[j], tags[j], starts[j], starts[j] + len(words[j]) // 8))
-                        continue
-                    if words[j] not in new:
-                        for w in waiting:
-                            automaton.add(np.frombuffer(w, np.int64).tolist())
-                        waiting = []
-                        run = np.frombuffer(words[j], np.int64).tolist()
-                        new[words[j]] = automaton.matches(run, window) if seen else []
-                    out += [(keys[j], tags[j], starts[j] + a, starts[j] + b) for a, b in new[words[j]]]
+                        runs = [(0, len(words[j]) // 8)]
+                    else:
+                        if words[j] not in new:
+                            for w in waiting:
+                                automaton.add(np.frombuffer(w, np.int64).tolist())
+                            waiting = []
+                            run = np.frombuffer(words[j], np.int64).tolist()
+                            new[words[j]] = automaton.matches(run, window) if seen else []
+                        runs = new[words[j]]
+                    if runs:
+                        out.append((keys[j], tags[j], [s + a for s in starts[j] for a, _ in runs], [s + b for s in starts[j] for _, b in runs]))
+                        held += len(starts[j]) * len(runs)
                 seen.update(new)
                 waiting += new
                 i = end
-            if len(out) > 20_000:
+            if held > 20_000:
                 yield flushed()
         if out:
             yield flushed()
@@ -326,8 +342,8 @@ def _kept(batches: Iterator) -> Iterator:
 
 
 def removed_ranges(candidates: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """Ranges of words (key, tag, start, end) of the candidates (key, tag, _text, shared) that an earlier one has."""
-    spark, schema = candidates.sparkSession, "anchor long, key long, tag long, start long, words binary"
+    """Ranges of words (key, tag, ranges) of the candidates (key, tag, _text, shared) that an earlier one has."""
+    spark, schema = candidates.sparkSession, "anchor long, key long, tag long, starts array<long>, words binary"
     drawn = candidates.filter(F.pmod("tag", F.lit(DRAWN)) == 0).mapInArrow(_tallies(window, gram), "anchor long, n long")
     tallies = drawn.groupBy("anchor").agg(F.sum("n").alias("n"))
     crowded = written(tallies.filter(F.col("n") * DRAWN > hot).select("anchor"), "passage-hot")
@@ -343,12 +359,12 @@ def removed_ranges(candidates: DataFrame, window: int = WINDOW, gram: int = GRAM
         plain, dense = segments.join(crowded, "anchor", "left_anti"), segments.join(crowded, "anchor", "left_semi")
     ranges = (
         plain.repartition(F.col("anchor"))
-        .sortWithinPartitions("anchor", "key", "start")
-        .mapInArrow(_stream(window), "key long, tag long, start long, end long")
+        .sortWithinPartitions("anchor", "key")
+        .mapInArrow(_stream(window), "key long, tag long, ranges array<struct<start: long, end: long>>")
     )
     if not many:
         return ranges
-    dense = written(dense.select("key", "tag", "start", "words"), "passage-dense")
+    dense = written(dense.select("key", "tag", "starts", "words"), "passage-dense")
     # of equal segments only those of the smallest key are looked into; the others go whole
     different = dense.groupBy("words").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.count(F.lit(1)).alias("rows"))
     different = written(different, "passage-different")
@@ -362,10 +378,12 @@ def removed_ranges(candidates: DataFrame, window: int = WINDOW, gram: int = GRAM
     known = different.join(seen, "words", "left").filter((F.col("first") < F.col("last")) | F.col("seen").isNotNull())
     known = written(known.select("words", "first", "seen", "rows"), "passage-known")
     size = F.floor(F.octet_length("words") / 8)
-    gone = F.when(F.col("key") > F.col("first"), F.array(F.struct(F.col("start"), (F.col("start") + size).alias("end")))).otherwise(
-        F.transform("seen", lambda i: F.struct((F.col("start") + i).alias("start"), (F.col("start") + i + window).alias("end")))
+    whole = F.transform("starts", lambda s: F.struct(s.alias("start"), (s + size).alias("end")))
+    parts = F.transform(
+        "starts", lambda s: F.transform("seen", lambda i: F.struct((s + i).alias("start"), (s + i + window).alias("end")))
     )
-    later = hot_key_join(dense, known, "words", "rows").select("key", "tag", F.inline(gone))
+    gone = F.when(F.col("key") > F.col("first"), whole).otherwise(F.flatten(parts))
+    later = hot_key_join(dense, known, "words", "rows").select("key", "tag", gone.alias("ranges")).filter("ranges is not null")
     return ranges.unionByName(later)
 
 
@@ -437,7 +455,7 @@ def remove_repeats(
         rows.join(chosen, ["key", "tid"]).dropDuplicates(["key", "tid"]).select("key", "tid", "tag", "_text", "shared"), "passage-texts"
     )
     ranges = removed_ranges(texts, window, gram, hot)
-    by_key = ranges.distinct().groupBy("key", "tag").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    by_key = ranges.groupBy("key", "tag").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
     parts = (
         texts.select("key", "tid", "tag", "_text")
         .join(by_key, ["key", "tag"])

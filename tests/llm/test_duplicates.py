@@ -225,6 +225,24 @@ def test_equal_hot_segments_are_looked_into_once(spark, monkeypatch):
     assert sizes["passage-different"] <= inner + 2 * 40  # those at its ends differ
 
 
+def test_equal_segments_of_a_text_are_one_row(spark, monkeypatch):
+    rows = [(i, f"a{i} b{i} " + "to be " * 60 + f"c{i} " + "to be " * i) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check_passages(docs, 13)
+    whole, sizes, store = substring.removed_ranges, {}, substring.written
+
+    def noted(df, label):
+        out = store(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(substring, "written", noted)
+    monkeypatch.setattr(substring, "DRAWN", 1)
+    monkeypatch.setattr(substring, "removed_ranges", lambda t, w, g, hot: whole(t, w, g, 3))
+    check_passages(docs, 13)
+    assert sizes["passage-dense"] <= 10 * 30  # a text has over 50 segments, most of them equal
+
+
 def test_automaton_matches_equal_search():
     rng = np.random.default_rng(2)
     texts = [rng.integers(0, 3, 30).tolist() for _ in range(12)]
