@@ -121,32 +121,40 @@ def rank_tables(df, n: int, end_id: int, rounds: int) -> list:
     return tables
 
 
-def place_of(ids, ranks) -> int:
-    """The three lowest ranks of a piece as one number."""
+def places_of(ids, starts, ranks):
+    """The three lowest ranks of each piece as one number; pieces are not empty and lie in a row from ``starts``."""
     import numpy as np
 
-    rest, own = ranks[ids], []
-    rest = rest[rest >= 0]
-    while len(rest) and len(own) < 3:
-        own.append(int(rest.min()))
-        rest = rest[rest > own[-1]]
-    if not own:
-        return NO_PLACE
-    own += [(1 << PLACE_BITS) - 1] * (3 - len(own))
-    return own[0] << 2 * PLACE_BITS | own[1] << PLACE_BITS | own[2]
+    none = np.int32((1 << PLACE_BITS) - 1)
+    rest = np.where(ranks < 0, none, ranks).astype(np.int32)[ids]
+    sizes = np.diff(np.append(starts, len(ids)))
+    lowest = np.minimum.reduceat(rest, starts)
+    places, some = lowest.astype(np.int64), lowest < none
+    for _ in range(2):
+        rest[rest == np.repeat(lowest, sizes)] = none
+        lowest = np.minimum.reduceat(rest, starts)
+        places = places << PLACE_BITS | lowest
+    return np.where(some, places, NO_PLACE)
 
 
 def _placed(handle, number: int):
     def kernel(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         ranks = handle.value[number]
         for batch in batches:
-            places = [
-                place_of(np.frombuffer(rest, f"<u{width}"), ranks) if rest else NO_PLACE
-                for rest, width in zip(batch["rest"].to_pylist(), batch["width"].to_pylist())
-            ]
+            sizes = pc.fill_null(pc.binary_length(batch["rest"]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            widths = batch["width"].to_numpy(zero_copy_only=False)
+            places = np.full(batch.num_rows, NO_PLACE)
+            for width in np.unique(widths).tolist():
+                own = np.flatnonzero((widths == width) & (sizes > 0))
+                for part in np.split(own, np.flatnonzero(np.diff(np.cumsum(sizes[own]) // SLICE_BYTES)) + 1):
+                    if len(part):
+                        ids = np.frombuffer(b"".join(batch["rest"].take(pa.array(part)).to_pylist()), f"<u{width}")
+                        ends = np.cumsum(sizes[part] // width)
+                        places[part] = places_of(ids, ends - sizes[part] // width, ranks)
             yield batch.append_column("place", pa.array(places, pa.int64()))
 
     return kernel
@@ -167,21 +175,36 @@ class Bm25:
         token, self.doc = np.divmod(pairs, self.n)
         starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
         self.starts, self.ends = starts, np.r_[starts[1:], len(token)]
+        self.numbers = np.arange(len(token))
         df = self.ends - self.starts
         idf = np.log1p((self.n - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * sizes[self.doc] / max(1.0, sizes.mean()))
-        self.weight = (np.repeat(idf, df) * counts * (K1 + 1) / (counts + norm)).astype(np.float32)
+        self.weight = (np.repeat(idf, df) * counts * (K1 + 1) / (counts + norm)).astype(np.float32).astype(float)
         term = np.repeat(np.arange(len(starts)), df)
         by_doc = np.argsort(self.doc, kind="stable")
         self.terms = np.split(term[by_doc], np.cumsum(np.bincount(self.doc, minlength=self.n))[:-1])
+        self.doc = self.doc.astype(np.int64)
+
+    def drop(self, gone) -> None:
+        """Forget the postings of the pieces marked in ``gone``; their score is 0 from now on."""
+        import numpy as np
+
+        kept = ~gone[self.doc]
+        before = np.zeros(len(kept) + 1, np.int64)
+        np.cumsum(kept, out=before[1:])
+        self.starts, self.ends = before[self.starts], before[self.ends]
+        self.doc, self.weight = self.doc[kept], self.weight[kept]
 
     def scores(self, seed: int):
         """BM25 score of every piece of the shard for the distinct tokens of the seed."""
         import numpy as np
 
         terms = self.terms[seed]
-        sizes = self.ends[terms] - self.starts[terms]
-        at = np.repeat(self.starts[terms] - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
+        starts = self.starts[terms]
+        sizes = self.ends[terms] - starts
+        ends = np.cumsum(sizes)
+        at = np.repeat(starts - ends + sizes, sizes)
+        at += self.numbers[: len(at)]
         return np.bincount(self.doc[at], weights=self.weight[at], minlength=self.n)
 
 
@@ -195,12 +218,19 @@ def fill(pieces: list, window: int, close: float = 0.0) -> list[list[tuple[int,
     index = Bm25(pieces)
     sizes = [len(p) for p in pieces]
     used = np.zeros(index.n, bool)
-    out, carried, first = [], None, 0
+    out, carried, first, held = [], None, 0, index.n
     while True:
         while first < index.n and used[first]:
             first += 1
         if carried is None and first == index.n:
             return out
+        unused = index.n - int(np.count_nonzero(used))
+        if 3 * unused < 2 * held:  # used pieces are scored no more
+            gone = used.copy()
+            if carried:
+                gone[carried[0]] = False
+            index.drop(gone)
+            held = unused
         seed, start = carried or (first, 0)
         carried = None
         used[seed] = True

@@ -2,7 +2,8 @@
 
 A byte-level tokenizer cuts before every single space that stands between two
 visible characters: no alternative of its pattern holds a space after another
-character. A line break between two visible characters is a token of its own.
+character. A line break between two visible characters is a token of its own,
+and so is a plain mark between an ASCII letter or digit and the end of its word.
 Text is split there; a unit not seen before is cut further by the tokenizer's
 own pattern and each new pre-token goes through the library's model. The ids of
 a text are its units' ids in a row. Units seen before are looked up all at once,
@@ -55,6 +56,11 @@ class UnitEncoder:
         self.findall = regex.compile(PATTERN).findall
         self.letters = byte_letters()
         self.marks = {c: self._piece(c) for c in PLAIN_MARKS if c}
+        self.is_mark, self.before_mark = np.zeros(256, bool), np.zeros(256, bool)
+        # a special token with a mark in it must stay whole
+        self.is_mark[[ord(c) for c in PLAIN_MARKS if not any(c in token for token in special)]] = True
+        self.low = np.array([[(1 << 8 * min(max(n - 8 * i, 0), 8)) - 1 for i in range(3)] for n in range(KEY_BYTES + 1)], np.uint64)
+        self.before_mark[[b for b in range(128) if chr(b).isalnum()]] = True
         self.cache_units = cache_units
         self.pieces: dict[str, bytes] = {}
         self._forget()
@@ -76,17 +82,13 @@ class UnitEncoder:
         pieces, heads, out = self.pieces, {}, []
         if len(pieces) > PIECES:
             pieces.clear()
-        tokenize, code, space = self.tokenize, self.code, self.letters[0x20]
+        tokenize, code, space, letters = self.tokenize, self.code, self.letters[0x20], self.letters
         for raw in raws:
             text = raw.decode()
             unit = text[1:] if text[0] == " " else text
             if unit.isalpha():  # one pre-token with the space before it
-                ids = heads.get(unit)
-                if ids is None:
-                    plain = unit.isascii()
-                    ids = array(code, [t.id for t in tokenize(space + unit)]).tobytes() if plain else self._piece(text)
-                    heads[unit] = ids
-                out.append(ids)
+                spelled = space + unit if raw.isascii() else raw.decode("latin-1").translate(letters)
+                out.append(array(code, [t.id for t in tokenize(spelled)]).tobytes())
                 continue
             head = unit[:-1]
             if unit[-1:] in PLAIN_MARKS and head.isalpha():  # a word and a mark
@@ -165,28 +167,24 @@ class UnitEncoder:
         import numpy as np
 
         sizes = ends - starts
-        words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
-        low = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
-        keys = np.empty((len(starts), 3), np.uint64)
-        for i in range(3):
-            keys[:, i] = words[starts + 8 * i] & low[np.clip(sizes - 8 * i, 0, 8)]
-        keys[:, 2] |= np.minimum(sizes, KEY_BYTES).astype(np.uint64) << np.uint64(56)
-        found = np.full(len(starts), -1, np.int64)
-        long = sizes > KEY_BYTES
-        for i in np.flatnonzero(long).tolist():
-            found[i] = self.long.get(data[starts[i] : ends[i]], -1)
-        todo = np.flatnonzero(~long)
+        held = np.minimum(sizes, KEY_BYTES)
+        keys = np.ndarray((len(data) - KEY_BYTES, 3), "<u8", data, strides=(1, 8))[starts]
+        keys &= self.low.take(held, axis=0)
+        keys[:, 2] |= held.astype(np.uint64) << np.uint64(56)
         last = len(self.slots) - 1
-        slot = (_hashed(keys[todo]) & np.uint64(last)).astype(np.int64)
+        slot = (_hashed(keys) & np.uint64(last)).view(np.int64)
+        found = self.slots[slot].astype(np.int64)  # a free slot says -1; no long unit is in the table
+        own = self.keys.take(found, axis=0, mode="wrap")
+        same = (own[:, 0] == keys[:, 0]) & (own[:, 1] == keys[:, 1]) & (own[:, 2] == keys[:, 2])
+        todo = np.flatnonzero(~same & (found >= 0))
         while len(todo):
-            got = self.slots[slot]
-            there = got >= 0
-            if not there.all():
-                todo, got, slot = todo[there], got[there], slot[there]
-            own, asked = self.keys[got], keys[todo]
+            slot[todo] = (slot[todo] + 1) & last
+            got = found[todo] = self.slots[slot[todo]]
+            own, asked = self.keys.take(got, axis=0, mode="wrap"), keys[todo]
             same = (own[:, 0] == asked[:, 0]) & (own[:, 1] == asked[:, 1]) & (own[:, 2] == asked[:, 2])
-            found[todo[same]] = got[same]
-            todo, slot = todo[~same], (slot[~same] + 1) & last
+            todo = todo[~same & (got >= 0)]
+        for i in np.flatnonzero(sizes > KEY_BYTES).tolist():
+            found[i] = self.long.get(data[starts[i] : ends[i]], -1)
         lacking = np.flatnonzero(found < 0)
         if len(lacking):
             raws = [data[a:b] for a, b in zip(starts[lacking].tolist(), ends[lacking].tolist())]
@@ -235,7 +233,10 @@ class UnitEncoder:
             data = b"\n" + b"\n".join(parts)
             begin = np.cumsum([0, *(len(p) + 1 for p in parts)])
             raw = np.frombuffer(data, np.uint8)
-            starts = np.flatnonzero((raw == 0x20) | (raw == 0x0A))
+            cut = (raw == 0x20) | (raw == 0x0A)
+            ends_word = np.append(cut[1:], True)
+            cut[1:] |= self.is_mark[raw[1:]] & self.before_mark[raw[:-1]] & ends_word[1:]
+            starts = np.flatnonzero(cut)
             ids, stops = self._ids(data, starts, np.r_[starts[1:], len(data)])
             cuts = np.r_[0, stops][np.searchsorted(starts, begin)].tolist()
             # without the break put before the text

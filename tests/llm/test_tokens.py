@@ -182,6 +182,42 @@ def test_fill_takes_the_best_neighbour_first():
     assert [p[0] for p in first][:2] == [0, 2]
 
 
+def test_a_mark_after_a_word_is_a_unit_of_its_own(byte_tokenizer):
+    words = [f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(100)]
+    texts = ["q " + " ".join(w + mark for w in words) for mark in ("", ".", ",", ";", ":", "!", "?")]
+    texts += ["x\u0301, é. a., b!? 'S. 's, 12:30: \u00a0. x<|endoftext|>, y", ",", "a\n.\nb.", "q.", "q .", "a.\u00a0b, c"]
+    library = Tokenizer.from_file(byte_tokenizer)
+    encoder = UnitEncoder(byte_tokenizer)
+    got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoder.known < 2 * len(words)
+
+
+def test_places_are_the_three_lowest_ranks():
+    rng = np.random.default_rng(4)
+    ranks = rng.permutation(40)
+    ranks[ranks > 30] = -1
+    pieces = [rng.integers(0, 40, n) for n in (1, 2, 3, 5, 30, 200)] + [np.flatnonzero(ranks < 0)]
+    starts = np.cumsum([0, *map(len, pieces)])[:-1]
+    got = packing.places_of(np.concatenate(pieces), starts, ranks).tolist()
+    none = (1 << packing.PLACE_BITS) - 1
+    for piece, place in zip(pieces, got):
+        own = [*sorted({int(r) for r in ranks[piece] if r >= 0}), none, none][:3]
+        want = packing.NO_PLACE if own[0] == none else own[0] << 2 * packing.PLACE_BITS | own[1] << packing.PLACE_BITS | own[2]
+        assert place == want
+
+
+def test_dropped_pieces_leave_the_other_scores():
+    rng = np.random.default_rng(5)
+    pieces = [rng.integers(0, 50, int(n)) for n in rng.integers(1, 40, 30)]
+    whole, part = packing.Bm25(pieces), packing.Bm25(pieces)
+    gone = rng.random(30) < 0.5
+    part.drop(gone)
+    for seed in np.flatnonzero(~gone).tolist():
+        assert (whole.scores(seed)[~gone] == part.scores(seed)[~gone]).all()
+        assert not part.scores(seed)[gone].any()
+
+
 def test_forced_cuts_change_nothing(word_tokenizer):
     forced = bpe.opened(word_tokenizer)
     library = _library(word_tokenizer)
