@@ -125,7 +125,9 @@ def neighbour_information(df: DataFrame, features: Sequence[str], label: str, k:
     points = written(_points(df, features, label), "information-points")
     classes = points.groupBy("class").agg(F.sum("n").alias("n_class"), F.count(F.lit(1)).alias("_rows"))
     points = written(hot_key_join(points, classes, "class", "_rows").filter("n_class > 1"), "information-classes")
-    counted = _range_counts(points, _reach(points, k))
+    # both ends of a range and the sample of their order read it
+    reach = written(_reach(points, k), "information-reach")
+    counted = _range_counts(points, reach)
     total = F.sum("weight")
 
     def mean(c: str) -> Column:

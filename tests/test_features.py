@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.values import float_text
 from tabwright.operators import encode as E
+from tabwright.operators import information
 from tabwright.operators import metrics as M
 from tabwright.operators import select as S
 from tabwright.operators import order as O
@@ -232,3 +233,17 @@ def test_evaluate_chooses_the_family(spark):
     df = spark.createDataFrame([(float(i), float(i)) for i in range(3)], "y double, p double")
     assert {r["metric"] for r in M.evaluate(df, "y", "p").collect()} == {"mse", "rmse", "mae", "r2"}
     assert {r["metric"] for r in M.evaluate(df, "y", "p", "classification").collect()} == {"accuracy", "precision", "recall", "f1"}
+
+
+def test_ranges_of_neighbours_are_worked_out_once(spark, monkeypatch):
+    rows = [(float(i * 7 % 50), i % 3) for i in range(200)]
+    df = spark.createDataFrame(rows, "x double, label int")
+    total, plans = information.running_total, []
+
+    def noted(events, *rest):
+        plans.append(events._jdf.queryExecution().optimizedPlan().toString())
+        return total(events, *rest)
+
+    monkeypatch.setattr(information, "running_total", noted)
+    assert information.neighbour_information(df, ["x"], "label").first()["mi"] is not None
+    assert len(plans) == 1 and "Window" not in plans[0]
