@@ -26,6 +26,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.operators.binned import EqualBinsAsOne
 from tabwright.operators.boosting import HistogramBooster
 from tabwright.operators.forest import DeepForest
 from tabwright.operators.fourier import COMPONENTS, FourierFeatures
@@ -357,7 +358,8 @@ def build_model(family: str, params: dict[str, Any], task: str, table: FeatureTa
         if classify:
             estimator = _per_class(estimator, table, table.features)
         if used.get("subsample", 1.0) >= 1.0:
-            estimator = EqualRowsAsOne(learner=estimator, **common)
+            plain = EqualRowsAsOne(learner=estimator, **common)
+            estimator = plain if classify else EqualBinsAsOne(learner=estimator, plain=plain, **common)
     elif family == "logistic_regression":
         settings = {
             "regParam": 1.0 / (used["C"] * table.n_train),
