@@ -342,6 +342,8 @@ def build_model(family: str, params: dict[str, Any], task: str, table: FeatureTa
             seed=used["random_state"],
             **common,
         )
+        if not classify:
+            estimator = EqualBinsAsOne(learner=estimator, draws=True, **common)
     elif "engine" not in used and (family in ("xgboost", "lightgbm") or family == "gradient_boosting" and classify and table.n_classes > 2):
         estimator = HistogramBooster(plan=json.dumps(_boost_settings(family, used, classify, table)), seed=used["random_state"], **common)
     elif family in ("gradient_boosting", "xgboost", "lightgbm"):

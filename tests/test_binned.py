@@ -42,6 +42,35 @@ def test_boosting_on_equal_bins_gives_the_trees_of_all_rows(spark, noisy, monkey
     assert np.array_equal(answers(PipelineModel.load(folder), df), answers(bins, df))
 
 
+def test_forest_parts_hold_all_rows_and_split_hot_ones(spark, noisy, monkeypatch):
+    x, y, df = noisy
+    seen = {}
+    monkeypatch.setattr(E, "written", lambda rows, name: seen.setdefault(name, rows.cache()))
+    monkeypatch.setattr(E, "PART_ROWS", 1000)
+    monkeypatch.setattr(E, "HOT", 100)
+    skewed = df.unionAll(df.filter("label > 2").limit(1).crossJoin(spark.range(4000)).drop("id"))
+    fitted(skewed, "random_forest", n_estimators=3, max_depth=4)
+    parts = seen["equal-bins"].select(F.sum("rows"), F.sum(F.col("y") * F.col("rows")), F.max("rows"), F.count("rows")).first()
+    assert parts[0] == 8000 and np.isclose(parts[1], skewed.agg(F.sum("label")).first()[0])
+    assert parts[2] < 100 and 500 < parts[3] <= 2200
+
+
+def test_forest_on_parts_answers_like_one_on_rows(noisy, monkeypatch):
+    _, _, df = noisy
+    rows = answers(fitted(df, "random_forest", n_estimators=40, max_depth=5), df)
+    monkeypatch.setattr(E, "PART_ROWS", 1000)
+    parts = answers(fitted(df, "random_forest", n_estimators=40, max_depth=5), df)
+    assert not np.array_equal(rows, parts) and np.abs(rows - parts).mean() < 0.1 * rows.std()
+
+
+def test_tables_that_hardly_repeat_go_to_the_learner(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(rng.normal(size=3).tolist(), float(i % 7)) for i in range(600)]
+    df = spark.createDataFrame(rows, "x array<double>, label double").select(array_to_vector("x").alias("features"), "label")
+    monkeypatch.setattr(E, "PART_ROWS", 100)
+    assert not isinstance(fitted(df, "random_forest", n_estimators=2, max_depth=2), PipelineModel)
+
+
 def test_cuts_are_mllibs(spark):
     """A tree of MLlib grown to the end cuts nowhere else."""
     from pyspark.ml.regression import DecisionTreeRegressor
