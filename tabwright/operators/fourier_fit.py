@@ -2,8 +2,9 @@
 
 MLlib's machines keep all their training rows as blocks of doubles: 1 KB a row
 for ``COMPONENTS`` features, many times the table. Here the rows are written
-once as they are, in blocks, and every pass draws the waves of a block anew and
-adds up loss and slope. The objectives are MLlib's: the hinge loss, or Huber's
+once as they are, a few to a record, and every pass draws the waves of a block
+of rows anew and adds up loss and slope. Records stay small, as Spark holds
+thousands of them at once for each task. The objectives are MLlib's: the hinge loss, or Huber's
 with its scale among the unknowns, and half the squared weights times ``reg``.
 The driver takes limited-memory quasi-Newton steps on one number a feature, over
 standardised waves (and a standardised target for Huber's loss), which does not
@@ -35,6 +36,7 @@ from tabwright.operators.fourier import projection
 from tabwright.session import written
 
 BLOCK_ROWS = 2_048
+RECORD_BYTES = 1_024  # of a record of written rows, or one row where that is more
 MEMORY = 10  # steps the quasi-Newton directions remember
 TOL = 1e-6  # as MLlib's
 HALVINGS = 30
@@ -63,34 +65,37 @@ class Waves:
         return np.multiply(single, self.height, out=angles, casting="same_kind")
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Rows (x, y) as raw doubles, ``BLOCK_ROWS`` or fewer to a row."""
+def _records(rows: DataFrame) -> DataFrame:
+    """Rows (x, y) as raw doubles, y last, as many to a record as ``RECORD_BYTES`` holds."""
 
     def pack(batches: Iterator) -> Iterator:
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK_ROWS):
-                part = batch.slice(at, BLOCK_ROWS)
-                sides = [part["x"].flatten(), part["y"]]
-                cells = [pa.array([v.to_numpy(zero_copy_only=False).tobytes()], pa.binary()) for v in sides]
-                yield pa.RecordBatch.from_arrays(cells, ["x", "y"])
+            if not batch.num_rows:
+                continue
+            x = batch["x"].flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            table = np.column_stack([x, batch["y"].to_numpy(zero_copy_only=False)])
+            each = max(1, RECORD_BYTES // (8 * table.shape[1]))
+            records = [table[at : at + each].tobytes() for at in range(0, len(table), each)]
+            yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], ["rows"])
 
-    return written(rows.mapInArrow(pack, "x binary, y binary"), "fourier-rows")
+    return written(rows.mapInArrow(pack, "rows binary"), "fourier-rows")
 
 
-def _summed(blocks: DataFrame, weights, shifts, add):
-    """Sum over all blocks of the arrays ``add(waves, y)``; one row a task comes to the driver."""
+def _summed(records: DataFrame, weights, shifts, add):
+    """Sum over blocks of all rows of the arrays ``add(waves, y)``; one row a task comes to the driver."""
 
     def kernel(batches: Iterator) -> Iterator:
         total, waves_of = None, Waves(weights, shifts)
         for batch in batches:
-            for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist()):
-                y = np.frombuffer(y)
-                found = add(waves_of(np.frombuffer(x).reshape(len(y), -1)), y)
+            table = np.frombuffer(b"".join(batch["rows"].to_pylist())).reshape(-1, len(weights) + 1)
+            for at in range(0, len(table), BLOCK_ROWS):
+                part = table[at : at + BLOCK_ROWS]
+                found = add(waves_of(part[:, :-1]), part[:, -1])
                 total = found if total is None else total + found
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["cells"])
 
-    return sum(np.frombuffer(r["cells"]) for r in blocks.mapInArrow(kernel, "cells binary").collect())
+    return sum(np.frombuffer(r["cells"]) for r in records.mapInArrow(kernel, "cells binary").collect())
 
 
 def hinge(margin, y, sigma):
@@ -148,14 +153,14 @@ def minimise(value_and_slope, start, steps: int):
     return at
 
 
-def fit_waves(blocks: DataFrame, weights, shifts, reg: float, steps: int, target: float | None) -> list[float]:
+def fit_waves(records: DataFrame, weights, shifts, reg: float, steps: int, target: float | None) -> list[float]:
     """Weight of each wave and the intercept: of class ``target`` against the rest, or of a number."""
     n_waves = len(shifts)
 
     def moments(waves, y):
         return np.r_[len(y), y.sum(), (y * y).sum(), waves.sum(axis=0), np.einsum("ij,ij->j", waves, waves)]
 
-    n, y_sum, y_square, *sums = _summed(blocks, weights, shifts, moments)
+    n, y_sum, y_square, *sums = _summed(records, weights, shifts, moments)
     mean, square = np.array(sums[:n_waves]) / n, np.array(sums[n_waves:]) / n
     spread = np.sqrt(np.maximum(square - mean * mean, 0))
     inverse = np.where(spread > 1e-12, 1 / np.maximum(spread, 1e-300), 0.0)  # a constant wave has no weight
@@ -178,7 +183,7 @@ def fit_waves(blocks: DataFrame, weights, shifts, reg: float, steps: int, target
             loss, by_margin, by_sigma = loss_of(waves @ own + offset, goal, sigma)
             return np.r_[loss.sum(), by_margin @ waves, by_margin.sum(), by_sigma.sum()]
 
-        found = _summed(blocks, weights, shifts, add) / n
+        found = _summed(records, weights, shifts, add) / n
         slope = (found[1 : n_waves + 1] - mean * found[n_waves + 1]) * inverse
         # half the squared weights on the waves as they are, in units of the target
         value = found[0] + 0.5 * reg * unit * (own @ own)
@@ -212,12 +217,12 @@ class WaveMachine(Estimator, _Shared, DefaultParamsReadable, DefaultParamsWritab
         rows = dataset.select(
             vector_to_array(F.col(self.getFeaturesCol())).alias("x"), F.col(self.getLabelCol()).cast("double").alias("y")
         )
-        blocks = _blocks(rows)
-        if blocks.isEmpty():
+        records = _records(rows)
+        if records.isEmpty():
             raise ValueError("no rows to learn from")
         weights, shifts = projection(s["dim"], s["components"], s["gamma"], s["seed"])
         targets = [None] if not s["classes"] else [1.0] if s["classes"] <= 2 else [float(k) for k in range(s["classes"])]
-        fitted = [fit_waves(blocks, weights, shifts, s["reg"], s["steps"], t) for t in targets]
+        fitted = [fit_waves(records, weights, shifts, s["reg"], s["steps"], t) for t in targets]
         return WaveModel(
             featuresCol=self.getFeaturesCol(),
             labelCol=self.getLabelCol(),

@@ -7,10 +7,11 @@ import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from tabwright.operators import models
+from tabwright.operators import fourier_fit, models
 from tabwright.operators.fourier import projection
 from tabwright.operators.fourier_fit import HUBER, WaveMachine, WaveModel, Waves, huber, minimise
 from tabwright.operators.models import FeatureTable, build_model
+from tabwright.session import written
 
 N = 600
 
@@ -75,6 +76,30 @@ def test_classes_come_back_and_the_model_can_be_saved(spark, monkeypatch, tmp_pa
         assert fitted.transform(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("d", [3, 300])
+def test_written_records_are_small_and_hold_every_row(spark, monkeypatch, d):
+    """Spark holds thousands of records at once for each task that reads them."""
+    kept = []
+
+    def keep(df, label):
+        kept.append(written(df, label))
+        return kept[-1]
+
+    monkeypatch.setattr(fourier_fit, "written", keep)
+    rng = np.random.default_rng(8)
+    x, y = rng.normal(size=(5_000, d)), rng.normal(size=5_000)
+    plain = spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x, y)], "x array<double>, label double").repartition(3)
+    settings = {"dim": d, "gamma": 1 / d, "seed": 1, "components": 16, "reg": 1e-3, "steps": 2, "classes": 0}
+    WaveMachine(settings=json.dumps(settings)).fit(plain.select(array_to_vector("x").alias("features"), "label"))
+    records = kept[0].select(kept[0].columns[0]).collect()
+    assert max(len(r[0]) for r in records) <= max(1024, 8 * (d + 1))
+    found = np.concatenate([np.frombuffer(r[0]).reshape(-1, d + 1) for r in records])
+    assert sorted(map(tuple, found)) == sorted(map(tuple, np.column_stack([x, y])))
+    summed = fourier_fit._summed(kept[0], *projection(d, 16, 1 / d, 1), lambda waves, y: np.r_[len(y), y.sum(), waves.sum()])
+    weights, shifts = projection(d, 16, 1 / d, 1)
+    assert np.allclose(summed, [5_000, y.sum(), (np.sqrt(2 / 16) * np.cos(x @ weights + shifts)).sum()], rtol=1e-5, atol=1e-2)
+
+
 def test_long_angles_keep_their_cosine():
     weights, shifts = projection(2, 16, 1.0, 1)
     x = np.random.default_rng(1).normal(size=(50, 2)) * 1e5
