@@ -20,6 +20,7 @@ in, and the answers of a row's trees are added up in the order of the trees.
 
 from __future__ import annotations
 
+import itertools
 import json
 import math
 
@@ -147,11 +148,41 @@ def _arrays(row: dict, width: int) -> tuple:
     return (*arrays[:4], arrays[4].reshape(-1, width))
 
 
+def _shape(node, numbers):
+    """A tree of MLlib's as nested (feature, cut or categories, left, right), and numbers of its leaves from left to right as its ``leafCol``."""
+    if node.getClass().getSimpleName() == "LeafNode":
+        return next(numbers)
+    split = node.split()
+    continuous = split.getClass().getSimpleName() == "ContinuousSplit"
+    test = split.threshold() if continuous else list(split.leftCategories())
+    return (split.featureIndex(), test, _shape(node.leftChild(), numbers), _shape(node.rightChild(), numbers))
+
+
+def _numbers(shape, x):
+    """The number of the leaf of every row in a tree given by :func:`_shape`."""
+    import numpy as np
+
+    out = np.zeros(len(x), np.int64)
+    todo = [(shape, np.arange(len(x)))]
+    while todo:
+        node, rows = todo.pop()
+        if not len(rows):
+            continue
+        if not isinstance(node, tuple):
+            out[rows] = node
+            continue
+        feature, test, left, right = node
+        goes = np.isin(x[rows, feature], test) if isinstance(test, list) else x[rows, feature] <= test
+        todo += [(left, rows[goes]), (right, rows[~goes])]
+    return out
+
+
 class _Tops:
     """The trees' tops: which node of which tree a row is in."""
 
     def __init__(self, trees: int, forest=None, splits=()):
         self.trees, self.forest, self.splits = trees, forest, list(splits)  # (tree, node, first new node, model)
+        self.shapes: list = []  # of the models of ``splits``, as far as they were read
 
     def place(self, df: DataFrame) -> DataFrame:
         """``df`` (with ``_vector``) and ``_nodes``, the node in each tree."""
@@ -162,12 +193,26 @@ class _Tops:
             quiet |= {"rawPredictionCol": "", "probabilityCol": ""}
         df = self.forest.copy({self.forest.getParam(k): v for k, v in quiet.items()}).transform(df)
         df = df.withColumn("_nodes", F.transform(vector_to_array("_leaf"), lambda v: v.cast("long"))).drop("_leaf")
-        for tree, node, first, model in self.splits:
-            df = model.copy({model.getParam(k): v for k, v in quiet.items() if model.hasParam(k)}).transform(df)
-            inner = F.when(F.get("_nodes", F.lit(tree)) == node, F.col("_leaf").cast("long") + first)
-            moved = F.transform("_nodes", lambda v, i: F.when(i == tree, F.coalesce(inner, v)).otherwise(v))
-            df = df.withColumn("_nodes", moved).drop("_leaf")
-        return df
+        if not self.splits:
+            return df
+        self.shapes += [_shape(model._java_obj.rootNode(), itertools.count()) for _, _, _, model in self.splits[len(self.shapes) :]]
+        moves = [(*split[:3], shape) for split, shape in zip(self.splits, self.shapes)]
+
+        # one step for all splits: a column for each would name the one before it twice
+        @F.arrow_udf("array<long>")
+        def move(x, nodes):
+            import numpy as np
+            import pyarrow as pa
+
+            table = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
+            places = nodes.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1).copy()
+            for tree, node, first, shape in moves:
+                at = np.flatnonzero(places[:, tree] == node)
+                places[at, tree] = first + _numbers(shape, table[at])
+            offsets = np.arange(0, places.size + 1, places.shape[1], dtype=np.int32)
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(places.ravel()))
+
+        return df.withColumn("_nodes", move(vector_to_array("_vector"), F.col("_nodes")))
 
 
 def _drawn(tree, seed: int):

@@ -3,7 +3,10 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+from pyspark.ml.feature import VectorIndexer
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from tabwright.operators import forest as D
@@ -127,3 +130,35 @@ def test_rows_meet_the_subtrees_of_a_large_forest(spark, monkeypatch, classes):
     monkeypatch.setattr(D, "MEETING_ROWS", 30)
     monkeypatch.setattr(D.DeepForestModel, "subtrees", None)
     assert len(held) == 400 and answers() == held
+
+
+@pytest.mark.parametrize("regress", [False, True])
+def test_many_splits_are_one_step_of_the_plan(spark, regress):
+    """Each split once named the column before it twice, so the plan doubled with every one of them."""
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.normal(size=400), rng.integers(0, 4, 400)])
+    df = frame(spark, x, (x[:, 0] > 0) ^ (x[:, 1] > 1)).withColumnRenamed("features", "_vector")
+    indexed = VectorIndexer(inputCol="_vector", outputCol="v", maxCategories=4).fit(df).transform(df)  # the second is a category
+    rows = indexed.select(F.col("v").alias("_vector"), "label")
+    make = DecisionTreeRegressor if regress else DecisionTreeClassifier
+    model = make(featuresCol="_vector", labelCol="label", maxDepth=3, seed=1).fit(rows)
+    assert model.numNodes > 3
+    trees, splits = 3, [(0, 0, 100, model), (1, 0, 200, model), (0, 101, 300, model), (1, 7, 400, model), (0, 302, 500, model)]
+    whole = RandomForestRegressor if regress else RandomForestClassifier
+    forest = whole(featuresCol="_vector", labelCol="label", numTrees=trees, maxDepth=1, seed=1).fit(rows)
+    placed = D._Tops(trees, forest, splits).place(rows)
+    plain = D._Tops(trees, forest).place(rows).withColumnRenamed("_nodes", "nodes")
+    named = model.copy({model.getParam("leafCol"): "leaf"}).transform(plain)
+    assert named.select("leaf").distinct().count() > 2
+
+    def settle(nodes, leaf):
+        for tree, node, first, _ in splits:
+            if nodes[tree] == node:
+                nodes[tree] = first + leaf
+        return nodes
+
+    expected = sorted((tuple(r["_vector"]), tuple(settle(list(r["nodes"]), int(r["leaf"])))) for r in named.collect())
+    assert sorted((tuple(r["_vector"]), tuple(r["_nodes"])) for r in placed.collect()) == expected
+    many = [D._Tops(trees, forest, [(0, n, 100 + n, model) for n in range(size)]) for size in (1, 10)]
+    plans = [t.place(rows).select(F.posexplode("_nodes"))._jdf.queryExecution().optimizedPlan().toString() for t in many]
+    assert len(plans[1]) < 2 * len(plans[0])
