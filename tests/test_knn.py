@@ -5,6 +5,7 @@ import pytest
 
 from tabwright.operators import knn as K
 from tabwright.operators import knn_hashed as H
+from tabwright.session import written
 
 
 def brute(q, t, tid, k, metric):
@@ -95,6 +96,43 @@ def test_hash_tables_meet_their_recall(spark, monkeypatch, block):
     assert H.hashed_neighbors(queries, empty, 5, "x", "id").collect() == []
 
 
+@pytest.mark.parametrize("size, held", [(8 * 12 * 300, 50_000), (1 << 25, 7)])
+def test_queries_travel_to_groups_and_meet_all_rows_of_their_buckets(spark, monkeypatch, size, held):
+    """A copy of the vector for every bucket visited filled the disk."""
+    kept, tables, fit = {}, [], H.fit_tables
+
+    def keep(df, label):
+        kept[label] = written(df, label)
+        return kept[label]
+
+    def fitting(*args):
+        tables.append(fit(*args))
+        return tables[-1]
+
+    monkeypatch.setattr(H, "written", keep)
+    monkeypatch.setattr(H, "fit_tables", fitting)
+    monkeypatch.setattr(H, "TRAIN_BLOCK", 60)
+    monkeypatch.setattr(H, "QUERY_BLOCK", 40)
+    monkeypatch.setattr(H, "GROUP_BYTES", size, raising=False)
+    monkeypatch.setattr(H, "ANSWERS", held, raising=False)
+    x = np.random.default_rng(4).normal(size=(1200, 12))
+    x[700:1000] = x[0]  # a bucket above the size of a block
+    train = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>")
+    queries = train.filter("id % 4 = 0")
+    found = H.hashed_neighbors(queries, train, 5, "x", "id", bucket_rows=40).collect()
+    fitted = tables[0]
+    visits = fitted.visits(fitted.sides(x[::4]), fitted.probes)
+    assert fitted.probes > 1
+    assert not any("qx" in df.columns for label, df in kept.items())
+    own = fitted.buckets(fitted.sides(x))
+    expected = []
+    for at, i in enumerate(range(0, len(x), 4)):
+        near = np.flatnonzero((own[:, :, None] == visits[at][None]).any(axis=(1, 2)))
+        d = np.sqrt(((x[near] - x[i]) ** 2).sum(axis=1))
+        expected += [(i, int(near[j]), rank) for rank, j in enumerate(np.lexsort((near, d))[:5], 1)]
+    assert sorted((r.qid, r.tid, r["rank"]) for r in found) == sorted(expected)
+
+
 def test_probes_come_in_the_order_of_the_cuts_crossed():
     rng = np.random.default_rng(2)
     sample = rng.normal(size=(500, 6))
